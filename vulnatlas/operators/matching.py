@@ -27,6 +27,26 @@ def match_all(postings: DataFrame, tokens: list[str], field: str | None = None)
     )
 
 
+def match_terms(postings: DataFrame, terms: list[list[str]], field: str | None = None) -> DataFrame:
+    """Rows that match every term, each a token or, if it has several, a phrase.
+
+    One pass and one shuffle for all terms: partitioned by id, both the positions per field and
+    the verdict per row are found in place.
+    """
+    wanted = sorted({token for term in terms for token in term})
+    by_id = in_field(postings, field).filter(F.col("token").isin(wanted)).repartition("id")
+    grouped, positions = _positions(by_id, wanted)
+    of = dict(zip(wanted, positions))
+    held = [F.size(_phrase_starts([of[t] for t in term])) > 0 if len(term) > 1 else of[term[0]].isNotNull()
+            for term in terms]
+    return (
+        grouped.groupBy("id")
+        .agg(*(F.bool_or(F.coalesce(h, F.lit(False))).alias(f"has_{i}") for i, h in enumerate(held)))
+        .filter(reduce(Column.__and__, (F.col(f"has_{i}") for i in range(len(terms)))))
+        .select("id")
+    )
+
+
 def match_any(postings: DataFrame, tokens: list[str], field: str | None = None) -> DataFrame:
     return in_field(postings, field).filter(F.col("token").isin(tokens)).select("id").distinct()
 
@@ -46,27 +66,32 @@ def match_first(postings: DataFrame, token: str, field: str | None = None) -> Da
     return in_field(postings, field).filter(first).select("id").distinct()
 
 
-def _positions(postings: DataFrame, tokens: list[str], field: str | None) -> tuple[DataFrame, list[Column]]:
+def _positions(postings: DataFrame, tokens: list[str]) -> tuple[DataFrame, list[Column]]:
     """One row per id and field with the positions of each token in a column of its own."""
     columns = [F.first(F.when(F.col("token") == t, F.col("positions")), ignorenulls=True).alias(f"p{i}")
                for i, t in enumerate(tokens)]
-    grouped = (
-        in_field(postings, field).filter(F.col("token").isin(tokens)).groupBy("id", "field").agg(*columns)
-    )
+    grouped = postings.filter(F.col("token").isin(tokens)).groupBy("id", "field").agg(*columns)
     return grouped, [F.col(f"p{i}") for i in range(len(tokens))]
 
 
+def _phrase_starts(positions: list[Column]) -> Column:
+    """Positions at which the tokens follow one another; null if one of them does not occur."""
+
+    def start(place: int):
+        return lambda position: position - place
+
+    return reduce(F.array_intersect, (F.transform(p, start(i)) for i, p in enumerate(positions)))
+
+
 def match_phrase(postings: DataFrame, tokens: list[str], field: str | None = None) -> DataFrame:
     """Rows with the tokens directly after one another within one field."""
-    grouped, positions = _positions(postings, tokens, field)
-    shifted = [F.transform(p, lambda x, i=i: x - i) for i, p in enumerate(positions)]
-    starts = reduce(F.array_intersect, shifted)
-    return grouped.filter(F.size(starts) > 0).select("id").distinct()
+    grouped, positions = _positions(in_field(postings, field), tokens)
+    return grouped.filter(F.size(_phrase_starts(positions)) > 0).select("id").distinct()
 
 
 def match_near(postings: DataFrame, left: str, right: str, distance: int = 10, field: str | None = None) -> DataFrame:
     """Rows with both tokens in one field, in either order, at most ``distance`` tokens between."""
-    grouped, (p, q) = _positions(postings, [left, right], field)
+    grouped, (p, q) = _positions(in_field(postings, field), [left, right])
     reach = distance + 1
     around = F.flatten(F.transform(p, lambda x: F.sequence(x - reach, x + reach)))
     return grouped.filter(F.arrays_overlap(around, q)).select("id").distinct()

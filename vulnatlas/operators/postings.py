@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,20 @@ def _grouped(df: DataFrame) -> DataFrame:
     return df.select("id", "field", F.transform("starts", run).alias("runs"))
 
 
+def _wanted(only: list[str] | None, stem: bool):
+    """Condition on a word that can yield one of the tokens ``only``, or None for all words.
+
+    Stripping suffixes changes at most the last letter of what it keeps, so a word starts with all
+    but the last letter of its stem; the words let through are stemmed and compared later.
+    """
+    if only is None:
+        return None
+    if not stem:
+        return lambda word: word.isin(only)
+    prefixes = sorted({token[: max(1, len(token) - 1)] for token in only})
+    return lambda word: reduce(Column.__or__, (word.startswith(prefix) for prefix in prefixes))
+
+
 def build_postings(
     df: DataFrame,
     key: str = "id",
@@ -43,17 +59,16 @@ def build_postings(
     often a token occurs. ``only`` keeps just the tokens a search asks for, before grouping;
     it holds stems when ``stem`` is set.
     """
+    wanted = _wanted(only, stem)
     per_field = F.array(*(F.struct(F.lit(f).alias("field"), tokens(F.col(f)).alias("words")) for f in fields))
     df = df.select(F.col(key).alias("id"), F.inline(per_field))
-    if only is not None and not stem:
-        df = df.filter(F.arrays_overlap("words", F.array(*map(F.lit, only))))
 
     def occurrence(word: Column, i: Column) -> Column:
         return F.struct(word.alias("token"), F.array(i).alias("positions"))
 
     occurrences = F.transform("words", occurrence)
-    if only is not None and not stem:
-        occurrences = F.filter(occurrences, lambda o: o["token"].isin(only))
+    if wanted:
+        occurrences = F.filter(occurrences, lambda o: wanted(o["token"]))
     df = _grouped(df.select("id", "field", F.sort_array(occurrences).alias("occurrences")))
     if stem:
         df = df.select("id", "field", "runs", stems(F.col("runs.token")).alias("stems"))

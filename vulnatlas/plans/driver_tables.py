@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vulnatlas.operators.normalize import normalize_exploits
 from vulnatlas.operators.postings import build_postings
 from vulnatlas.sources.advisories import parse_items
+from vulnatlas.sources.tables import spread
 
 CVE_ID = "'CVE-' || CAST(1999 + doc_id % 26 AS STRING) || '-' || lpad(CAST(doc_id AS STRING), 5, '0')"
 PUBLISHED = (
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The advisories' searched columns alone, without the join for the score."""
+    return spread(table(spark, sf_dir, "documents")).selectExpr(f"{CVE_ID} AS id", "text AS description")
+
+
 def cves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One advisory per document; scored where the document is labelled."""
     labelled = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("labelled")).distinct()
@@ -87,7 +93,7 @@ def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             named_struct('url', 'https://example.org/' || source, 'tags', array(lang, 'Patch')),
             named_struct('url', CAST(NULL AS STRING), 'tags', CAST(NULL AS ARRAY<STRING>)),
             named_struct('url', 'https://example.org/' || lang, 'tags', array('Patch', source, lang)))))"""
-    items = table(spark, sf_dir, "documents").select(
+    items = spread(table(spark, sf_dir, "documents")).select(
         F.struct(F.col("lang").alias("file"), F.col("doc_id").alias("n")).alias("source_order"),
         F.to_json(F.expr(item)).alias("raw"),
     )
@@ -116,4 +122,4 @@ def patches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def postings(spark: SparkSession, sf_dir: str, only: list[str] | None = None, stem: bool = False) -> DataFrame:
-    return build_postings(cves(spark, sf_dir), only=only, stem=stem)
+    return build_postings(texts(spark, sf_dir), only=only, stem=stem)

@@ -57,12 +57,9 @@ def match_terms(postings: DataFrame, terms: str | Iterable[str], stem: bool = Tr
     words = query_tokens(postings.sparkSession, terms, stem)
     if not all(words):
         raise ValueError(f"search terms without letters or digits: {terms}")
-    singles = [w[0] for w in words if len(w) == 1]
-    phrases = [w for w in words if len(w) > 1]
-    hits = matching.match_all(postings, singles) if singles else matching.match_phrase(postings, phrases.pop())
-    for phrase in phrases:
-        hits = hits.join(matching.match_phrase(postings, phrase), "id", "left_semi")
-    return hits
+    if all(len(word) == 1 for word in words):
+        return matching.match_all(postings, [word for (word,) in words])
+    return matching.match_terms(postings, words)
 
 
 def product(cves: DataFrame, name: str, limit: int | None = DEFAULT_LIMIT, **filters) -> DataFrame:

@@ -221,8 +221,8 @@ def search_all_filters(spark, sf_dir):
 
 @query
 def stemmed_search(spark, sf_dir):
-    index = D.postings(spark, sf_dir, ["relat", "tion", "ing"], stem=True)
-    return Q.search(index, D.cves(spark, sf_dir), ["tions"], limit=None)
+    index = D.postings(spark, sf_dir, ["tion", "reat"], stem=True)
+    return Q.search(index, D.cves(spark, sf_dir), ["tions", "reating"], limit=None)
 
 
 @query

@@ -15,10 +15,20 @@ ENRICHMENT_PREFIX = "hf_"
 
 def read_shards(spark: SparkSession, path: str | list[str], limit: int | None = None) -> DataFrame:
     """All Parquet shards below ``path`` as one dataset, columns of all shards merged."""
-    rows = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
+    paths = [path] if isinstance(path, str) else path
+    rows = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(*paths)
     return rows if limit is None else rows.limit(limit)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of few splits spread over all cores, for work that costs far more than a shuffle.
+
+    A scan with a split per core or more is left alone, so no core ever sends more than one split.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_published(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """A published table: every part of ``<directory>/<name>/train``."""
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}/train")

@@ -41,113 +41,85 @@ STEP_4 = dict.fromkeys(
 MIN_BYTES, MAX_BYTES = 3, 64
 
 
-def _without(word: Column, n: int) -> Column:
-    return F.left(word, F.length(word) - n)
+def _without(n: int) -> str:
+    return f"left(w, length(w) - {n})"
 
 
-def _plural(word: Column) -> Column:
-    return (
-        F.when(~word.endswith("s") | word.endswith("ss"), word)
-        .when(word.rlike("(?:.ss|.i)es$"), _without(word, 2))
-        .otherwise(_without(word, 1))
-    )
+def _case(*branches: tuple[str, str], otherwise: str = "w") -> str:
+    """SQL for the value of the first branch whose condition holds, else ``w`` as it is."""
+    return "CASE " + " ".join(f"WHEN {test} THEN {value}" for test, value in branches) + f" ELSE {otherwise} END"
 
 
-def _past_and_progressive(word: Column) -> Column:
-    """Step 1b; a removed ``ed``/``ing`` leaves a trailing ``|`` for the repair step."""
-    return (
-        F.when(word.rlike(".eed$"), F.when(_without(word, 3).rlike(MEASURE_GT_0), _without(word, 1)).otherwise(word))
-        .when(word.endswith("ed") & _without(word, 2).rlike(HAS_VOWEL), F.concat(_without(word, 2), F.lit("|")))
-        .when(word.endswith("ing") & _without(word, 3).rlike(HAS_VOWEL), F.concat(_without(word, 3), F.lit("|")))
-        .otherwise(word)
-    )
+def _ends(suffix: str) -> str:
+    return f"endswith(w, '{suffix}')"
 
 
-def _repair(word: Column) -> Column:
-    bare = _without(word, 1)
-    return (
-        F.when(~word.endswith("|"), word)
-        .when(bare.rlike("(?:at|bl|iz)$"), F.concat(bare, F.lit("e")))
-        .when(bare.rlike(DOUBLE_CONSONANT), _without(word, 2))
-        .when(bare.rlike(SHORT_CVC), F.concat(bare, F.lit("e")))
-        .otherwise(bare)
-    )
+def _matches(value: str, pattern: str) -> str:
+    return f"{value} RLIKE r'{pattern}'"
 
 
-def _final_y(word: Column) -> Column:
-    bare = _without(word, 1)
-    return F.when(word.endswith("y") & bare.rlike(HAS_VOWEL), F.concat(bare, F.lit("i"))).otherwise(word)
-
-
-def _case(word: Column, branches: list[tuple[str, Column]]) -> Column:
-    """The value of the first branch whose ending ``word`` has, else ``word`` itself."""
-    (ending, value), *rest = branches
-    chain = F.when(word.endswith(ending), value)
-    for ending, value in rest:
-        chain = chain.when(word.endswith(ending), value)
-    return chain.otherwise(word)
-
-
-def _suffix_table(rules: dict[str, str], measure: str, ion_after: str | None = None):
+def _suffix_table(rules: dict[str, str], measure: str, ion_after: str | None = None) -> str:
     """Replace the longest listed suffix if the part before it has the wanted measure."""
 
-    def replaced(word: Column, suffix: str) -> Column:
-        before = _without(word, len(suffix))
-        fits = before.rlike(measure)
+    def replaced(suffix: str) -> str:
+        before = _without(len(suffix))
+        fits = _matches(before, measure)
         if suffix == "ion" and ion_after:
-            fits = before.rlike(ion_after) & fits
-        return F.when(fits, F.concat(before, F.lit(rules[suffix]))).otherwise(word)
+            fits = f"{_matches(before, ion_after)} AND {fits}"
+        return _case((fits, f"concat({before}, '{rules[suffix]}')"))
 
     # Longest first, so that a suffix never hides behind its own ending; by last letter, so that
     # most words are settled after a handful of comparisons.
     by_letter: dict[str, list[str]] = {}
     for suffix in sorted(rules, key=len, reverse=True):
         by_letter.setdefault(suffix[-1], []).append(suffix)
-
-    def step(word: Column) -> Column:
-        return _case(word, [
-            (letter, _case(word, [(suffix, replaced(word, suffix)) for suffix in suffixes]))
-            for letter, suffixes in by_letter.items()
-        ])
-
-    return step
-
-
-def _final_e(word: Column) -> Column:
-    bare = _without(word, 1)
-    drop = bare.rlike(MEASURE_GT_1) | (bare.rlike(MEASURE_EQ_1) & ~bare.rlike(SHORT_CVC))
-    return F.when(word.endswith("e") & drop, bare).otherwise(word)
-
-
-def _final_ll(word: Column) -> Column:
-    bare = _without(word, 1)
-    return F.when(word.endswith("ll") & bare.rlike(MEASURE_GT_1), bare).otherwise(word)
+    return _case(*(
+        (_ends(letter), _case(*((_ends(suffix), replaced(suffix)) for suffix in suffixes)))
+        for letter, suffixes in by_letter.items()
+    ))
 
 
+# The steps as SQL over the word ``w``. Step 1b marks a removed ``ed`` or ``ing`` with a trailing
+# ``|``, which the repair after it takes away.
 STEPS = (
-    lambda word: F.when(word.startswith("y"), F.overlay(word, F.lit("Y"), F.lit(1))).otherwise(word),
-    _plural,
-    _past_and_progressive,
-    _repair,
-    _final_y,
+    _case(("startswith(w, 'y')", "concat('Y', substring(w, 2))")),
+    _case(
+        (f"NOT {_ends('s')} OR {_ends('ss')}", "w"),
+        (_matches("w", "(?:.ss|.i)es$"), _without(2)),
+        otherwise=_without(1),
+    ),
+    _case(
+        (_matches("w", ".eed$"), _case((_matches(_without(3), MEASURE_GT_0), _without(1)))),
+        (f"{_ends('ed')} AND {_matches(_without(2), HAS_VOWEL)}", f"concat({_without(2)}, '|')"),
+        (f"{_ends('ing')} AND {_matches(_without(3), HAS_VOWEL)}", f"concat({_without(3)}, '|')"),
+    ),
+    _case(
+        (f"NOT {_ends('|')}", "w"),
+        (_matches(_without(1), "(?:at|bl|iz)$"), f"concat({_without(1)}, 'e')"),
+        (_matches(_without(1), DOUBLE_CONSONANT), _without(2)),
+        (_matches(_without(1), SHORT_CVC), f"concat({_without(1)}, 'e')"),
+        otherwise=_without(1),
+    ),
+    _case((f"{_ends('y')} AND {_matches(_without(1), HAS_VOWEL)}", f"concat({_without(1)}, 'i')")),
     _suffix_table(STEP_2, MEASURE_GT_0),
     _suffix_table(STEP_3, MEASURE_GT_0),
     _suffix_table(STEP_4, MEASURE_GT_1, ion_after="[st]$"),
-    _final_e,
-    _final_ll,
-    F.lower,
+    _case((
+        f"{_ends('e')} AND ({_matches(_without(1), MEASURE_GT_1)} OR "
+        f"({_matches(_without(1), MEASURE_EQ_1)} AND NOT {_matches(_without(1), SHORT_CVC)}))",
+        _without(1),
+    )),
+    _case((f"{_ends('ll')} AND {_matches(_without(1), MEASURE_GT_1)}", _without(1))),
+    "lower(w)",
 )
 
 
-def stems(words: Column) -> Column:
-    """Stem of every element of an array of tokens.
+def stems(words: str) -> Column:
+    """Stem of every element of an array of tokens, given as SQL.
 
-    Every step is its own ``transform``: the lambda variable holds the result of the step before,
-    so each is computed once however often the next step looks at it.
+    Every step is its own ``transform``: its variable holds the result of the step before, so each
+    is computed once however often the next step looks at it.
     """
-
-    def chosen(word: Column, stem: Column) -> Column:
-        size = F.octet_length(word)
-        return F.when((size < MIN_BYTES) | (size > MAX_BYTES), word).otherwise(stem)
-
-    return F.zip_with(words, reduce(F.transform, STEPS, words), chosen)
+    stepped = reduce(lambda array, step: f"transform({array}, w -> {step})", STEPS, words)
+    kept = f"octet_length(word) NOT BETWEEN {MIN_BYTES} AND {MAX_BYTES}"
+    return F.expr(f"zip_with({words}, {stepped}, (word, stem) -> CASE WHEN {kept} THEN word ELSE stem END)")

@@ -71,7 +71,7 @@ def build_postings(
         occurrences = F.filter(occurrences, lambda o: wanted(o["token"]))
     df = _grouped(df.select("id", "field", F.sort_array(occurrences).alias("occurrences")))
     if stem:
-        df = df.select("id", "field", "runs", stems(F.col("runs.token")).alias("stems"))
+        df = df.select("id", "field", "runs", stems("runs.token").alias("stems"))
         stemmed = F.zip_with(
             "stems", "runs", lambda s, r: F.struct(s.alias("token"), r["positions"].alias("positions"))
         )
@@ -105,13 +105,11 @@ def write_postings(postings: DataFrame, path: str, partitions: int | None = None
 def query_tokens(spark: SparkSession, terms: list[str], stem: bool = False) -> list[list[str]]:
     """The tokens of each search term, through the same functions as the indexed text.
 
-    Work and result are the size of the caller's own term list.
+    The terms are literals, so the optimizer evaluates all of it and no job runs.
     """
-    words = tokens(F.col("term"))
-    rows = (
-        spark.range(1, numPartitions=1)
-        .select(F.posexplode(F.array(*map(F.lit, terms))).alias("n", "term"))
-        .select("n", (stems(words) if stem else words).alias("words"))
-        .collect()
-    )
-    return [row.words for row in sorted(rows, key=lambda row: row.n)]
+    values = ", ".join(f"({n}, :t{n})" for n in range(len(terms)))
+    given = spark.sql(f"SELECT * FROM VALUES {values} AS t(n, term)", {f"t{n}": t for n, t in enumerate(terms)})
+    words = given.select("n", tokens(F.col("term")).alias("words"))
+    if stem:
+        words = words.select("n", stems("words").alias("words"))
+    return [row.words for row in sorted(words.collect(), key=lambda row: row.n)]

@@ -18,9 +18,10 @@ MEASURE_GT_0 = f"^(?:{_CONS})?{_VOWEL}{_CONS}"
 MEASURE_EQ_1 = f"^(?:{_CONS})?{_VOWEL}{_CONS}(?:{_VOWEL})?$"
 MEASURE_GT_1 = f"^(?:{_CONS})?{_VOWEL}{_CONS}{_VOWEL}{_CONS}"
 HAS_VOWEL = f"^(?:{_CONS})?[aeiouy]"
-# Measure 1 ending consonant-vowel-consonant, the last one not ``w``, ``x`` or ``y``.
-SHORT_CVC = f"^{_CONS}[aeiouy][^aeiouwxy]$"
-DOUBLE_CONSONANT = r"(?i)([^aeioulsz])\1$"
+# Measure 1 ending consonant-vowel-consonant, the last one not ``w``, ``x`` or ``y``. Letters outside
+# ASCII count as several consonants in a row, so neither pattern ends in one.
+SHORT_CVC = rf"^{_CONS}[aeiouy][\x00-\x7f&&[^aeiouwxy]]$"
+DOUBLE_CONSONANT = r"(?i)([\x00-\x7f&&[^aeioulsz]])\1$"
 
 # Suffix tables of the published algorithm.
 STEP_2 = {

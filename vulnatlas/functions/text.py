@@ -12,16 +12,16 @@ TOKEN_PATTERN = r"([\p{L}\p{N}\p{Co}]+)"
 
 
 def _folding() -> tuple[str, str]:
-    """``translate`` arguments: accented Latin letters to their base, combining marks to nothing.
+    """``translate`` arguments: Latin letters to their ASCII base, combining marks to nothing.
 
-    Only letters with exactly one mark are folded, as the ``unicode61`` tokenizer does.
+    Letters with more than one mark are kept, as the ``unicode61`` tokenizer does.
     """
     accented, base = [], []
     for code in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
-        decomposed = unicodedata.normalize("NFD", chr(code))
-        if len(decomposed) == 2 and decomposed[0].isascii() and unicodedata.combining(decomposed[1]):
+        letter, *marks = unicodedata.normalize("NFD", chr(code).casefold())
+        if letter.isascii() and len(marks) < 2 and all(map(unicodedata.combining, marks)):
             accented.append(chr(code))
-            base.append(decomposed[0].lower())
+            base.append(letter)
     marks = "".join(map(chr, range(0x0300, 0x0332)))
     return "".join(accented) + marks, "".join(base)
 

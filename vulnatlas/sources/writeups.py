@@ -23,8 +23,8 @@ def _glob() -> str:
 def read_writeups(spark: SparkSession, root: str) -> DataFrame:
     """All text files below ``root``; ``path`` is relative to it.
 
-    The file source does not list names that start with ``_`` or ``.``. Where such files are
-    wanted, land them as rows ``(path, content)`` instead.
+    The file source does not list names that start with ``_`` or ``.`` and does not open empty
+    files. Where those are wanted, land them as rows ``(path, content, size)`` instead.
     """
     files = (
         spark.read.format("binaryFile")

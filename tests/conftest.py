@@ -10,7 +10,7 @@ def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
-        spark__ui__showConsoleProgress="false", spark__driver__memory="6g",
+        spark__ui__showConsoleProgress="false", spark__sql__maxMetadataStringLength="2000", spark__driver__memory="6g",
         spark__sql__warehouse__dir=str(base / "warehouse"), spark__checkpoint__dir=str(base / "shared"),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -35,7 +35,7 @@ def cves(spark):
 
 @pytest.fixture(scope="module", params=["built", "stored"])
 def index(request, cves, tmp_path_factory):
-    built = build_postings(cves, stem=True)
+    built = build_postings(cves, stem=True).cache()
     if request.param == "built":
         return built
     return write_postings(built, str(tmp_path_factory.mktemp("postings") / "p"), partitions=3)

@@ -10,6 +10,16 @@ from vulnatlas.operators.postings import build_postings
 from vulnatlas.sources.advisories import parse_items
 from vulnatlas.sources.tables import spread
 
+# Given schemas save a job per scan that would only look them up.
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "benchmark": "item_id bigint, text string",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+}
+
 CVE_ID = "'CVE-' || CAST(1999 + doc_id % 26 AS STRING) || '-' || lpad(CAST(doc_id AS STRING), 5, '0')"
 PUBLISHED = (
     "CAST(1999 + doc_id % 26 AS STRING) || '-' || lpad(CAST(1 + doc_id % 12 AS STRING), 2, '0') || '-01T00:00:00.000'"
@@ -17,7 +27,7 @@ PUBLISHED = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vulnatlas.functions.text import fold, tokens
+
 
 def in_field(postings: DataFrame, field: str | None) -> DataFrame:
     return postings.filter(F.col("field") == field) if field else postings
@@ -47,6 +49,24 @@ def match_terms(postings: DataFrame, terms: list[list[str]], field: str | None =
     )
 
 
+def text_matches(text: Column, terms: list[list[str]]) -> Column:
+    """Whether a text holds every term, each a token or a phrase, judged inside its own row.
+
+    The substring tests cost little and spare most texts the tokenising.
+    """
+    folded, words = fold(text), tokens(text)
+    wanted = sorted({token for term in terms for token in term})
+    conditions = [folded.contains(token) for token in wanted]
+    conditions.append(F.size(F.array_intersect(words, F.array(*map(F.lit, wanted)))) == len(wanted))
+
+    def places(token: str) -> Column:
+        return F.array_compact(F.transform(words, lambda word, place: F.when(word == token, place)))
+
+    for phrase in (term for term in terms if len(term) > 1):
+        conditions.append(F.size(_phrase_starts([places(token) for token in phrase])) > 0)
+    return reduce(Column.__and__, conditions)
+
+
 def match_any(postings: DataFrame, tokens: list[str], field: str | None = None) -> DataFrame:
     return in_field(postings, field).filter(F.col("token").isin(tokens)).select("id").distinct()
 

@@ -17,7 +17,7 @@ SCHEMAS = {
     "benchmark": "item_id bigint, text string",
     "pages": "page_id bigint, url string, html string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
-    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
 CVE_ID = "'CVE-' || CAST(1999 + doc_id % 26 AS STRING) || '-' || lpad(CAST(doc_id AS STRING), 5, '0')"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from vulnatlas.functions.stemming import STEP_2, STEP_3, STEP_4
+
 ID = "'CVE-' || CAST(1999 + d.doc_id % 26 AS VARCHAR) || '-' || lpad(CAST(d.doc_id AS VARCHAR), 5, '0')"
 PUBLISHED = (
     "CAST(1999 + d.doc_id % 26 AS VARCHAR) || '-' || lpad(CAST(1 + d.doc_id % 12 AS VARCHAR), 2, '0') || '-01T00:00:00.000'"
@@ -64,6 +66,50 @@ FEED = f"""feed AS (
     d.lang || ',Patch,' || d.source AS ref_tags, d.source AS source, 'Analyzed' AS status,
     CAST(1999 + d.doc_id % 26 AS INTEGER) AS year, d.lang AS lang, d.doc_id AS doc_id
   FROM documents d)"""
+# Suffix stripping step by step over the distinct tokens, from the published tables.
+C, V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+M0, M1 = f"^({C})?{V}{C}", f"^({C})?{V}{C}{V}{C}"
+M_EQ_1, VOWEL = f"^({C})?{V}{C}({V})?$", f"^({C})?[aeiouy]"
+CVC = f"^{C}[aeiouy][b-df-hj-np-tvz0-9]$"
+
+
+def less(n: int) -> str:
+    return f"left(w, length(w) - {n})"
+
+
+def has(value: str, pattern: str) -> str:
+    return f"regexp_matches({value}, '{pattern}')"
+
+
+def suffix_step(rules: dict[str, str], measure: str) -> str:
+    suffix = f"regexp_extract(w, '({'|'.join(rules)})$', 1)"
+    stem = f"left(w, length(w) - length({suffix}))"
+    pairs = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in rules.items())
+    ion = f"({suffix} <> 'ion' OR {has(stem, '[st]$')})"
+    return f"CASE WHEN {suffix} <> '' AND {has(stem, measure)} AND {ion} THEN {stem} || CASE {suffix} {pairs} END ELSE w END"
+
+
+STEM_STEPS = (
+    "CASE WHEN token LIKE 'y%' THEN 'Y' || substring(token, 2) ELSE token END",
+    f"CASE WHEN w LIKE '%_sses' OR w LIKE '%_ies' THEN {less(2)} WHEN w LIKE '%s' AND w NOT LIKE '%ss' THEN {less(1)} ELSE w END",
+    f"CASE WHEN w LIKE '%_eed' THEN CASE WHEN {has(less(3), M0)} THEN {less(1)} ELSE w END "
+    f"WHEN w LIKE '%ed' AND {has(less(2), VOWEL)} THEN {less(2)} || '|' "
+    f"WHEN w LIKE '%ing' AND {has(less(3), VOWEL)} THEN {less(3)} || '|' ELSE w END",
+    f"CASE WHEN w NOT LIKE '%|' THEN w WHEN {has('w', '(at|bl|iz)[|]$')} THEN {less(1)} || 'e' "
+    f"WHEN length(w) > 2 AND lower(w[-2]) = lower(w[-3]) AND {has('w', '[b-df-km-np-rtv-yY0-9][|]$')} THEN {less(2)} "
+    f"WHEN {has(less(1), CVC)} THEN {less(1)} || 'e' ELSE {less(1)} END",
+    f"CASE WHEN w LIKE '%y' AND {has(less(1), VOWEL)} THEN {less(1)} || 'i' ELSE w END",
+    suffix_step(STEP_2, M0),
+    suffix_step(STEP_3, M0),
+    suffix_step(STEP_4, M1),
+    f"CASE WHEN w LIKE '%e' AND ({has(less(1), M1)} OR {has(less(1), M_EQ_1)} AND NOT {has(less(1), CVC)}) THEN {less(1)} ELSE w END",
+    f"CASE WHEN w LIKE '%ll' AND {has(less(1), M1)} THEN {less(1)} ELSE w END",
+)
+STEMS = ", ".join(
+    f"s{i} AS (SELECT token, {step} AS w FROM {f's{i - 1}' if i else '(SELECT DISTINCT token FROM occurrences)'})"
+    for i, step in enumerate(STEM_STEPS)
+) + f""", stemmed AS (SELECT id, field, pos, CASE WHEN strlen(o.token) BETWEEN 3 AND 64 THEN lower(s.w) ELSE o.token END AS token
+  FROM occurrences o JOIN s{len(STEM_STEPS) - 1} s ON o.token = s.token)"""
 RESULT = "id, published, severity, cvss, cwe, description"
 
 ORACLES: dict[str, str] = {
@@ -134,6 +180,10 @@ ORACLES: dict[str, str] = {
         SELECT {RESULT} FROM cves WHERE id IN (FROM phrase)
           AND id IN (SELECT id FROM occurrences WHERE token = 'and')
           AND severity IN ('HIGH', 'MEDIUM', 'LOW') AND cwe LIKE '%CWE-8%' AND substring(published, 1, 4) >= '2000'""",
+    "stemmed_search": f"""{SEARCH}, {STEMS} SELECT {RESULT} FROM cves
+        WHERE id IN (SELECT id FROM stemmed WHERE token = 'tion') AND id IN (SELECT id FROM stemmed WHERE token = 'reat')""",
+    "stemmed_postings": f"""{SEARCH}, {STEMS} SELECT token, count(DISTINCT id || field) AS fields, count(*) AS occurrences
+        FROM stemmed GROUP BY token""",
     "product_search": f"""WITH {CVES} SELECT {RESULT} FROM cves
         WHERE lower(description) LIKE '%tion%' AND substring(published, 1, 4) >= '2010' AND severity = 'HIGH'
           AND cwe IN ('CWE-73', 'CWE-81') ORDER BY cvss DESC NULLS LAST, id LIMIT 40""",
@@ -241,3 +291,4 @@ ORACLES: dict[str, str] = {
     "export_counts": """SELECT 'cves' AS "table", count(*) AS n, count(*) AS read_back FROM documents
         UNION ALL SELECT 'exploits', count(*), count(*) FROM events WHERE event_id <> 0""",
 }
+ORACLES["scan_search"] = ORACLES["search_all_filters"]

@@ -50,16 +50,34 @@ def search(
     return top_scored(found, limit)
 
 
+def scan_search(
+    cves: DataFrame, terms: str | Iterable[str], limit: int | None = DEFAULT_LIMIT, **filters
+) -> DataFrame:
+    """Search of descriptions where no postings are stored: one scan, no join and no shuffle.
+
+    The other filters go first, so only the rows they leave are tokenised. Words are compared as
+    they are, not by stem.
+    """
+    words = analyzed_terms(cves.sparkSession, terms, stem=False)
+    found = advisory_filters(cves, **filters).filter(matching.text_matches(F.col("description"), words))
+    return top_scored(found.select(*ADVISORY_RESULT), limit)
+
+
 def match_terms(postings: DataFrame, terms: str | Iterable[str], stem: bool = True) -> DataFrame:
+    words = analyzed_terms(postings.sparkSession, terms, stem)
+    if all(len(word) == 1 for word in words):
+        return matching.match_all(postings, [word for (word,) in words])
+    return matching.match_terms(postings, words)
+
+
+def analyzed_terms(spark: SparkSession, terms: str | Iterable[str], stem: bool) -> list[list[str]]:
     terms = [terms] if isinstance(terms, str) else list(terms)
     if sum(map(len, terms)) < 2:
         raise ValueError("search terms need at least two characters")
-    words = query_tokens(postings.sparkSession, terms, stem)
+    words = query_tokens(spark, terms, stem)
     if not all(words):
         raise ValueError(f"search terms without letters or digits: {terms}")
-    if all(len(word) == 1 for word in words):
-        return matching.match_all(postings, [word for (word,) in words])
-    return matching.match_terms(postings, words)
+    return words
 
 
 def product(cves: DataFrame, name: str, limit: int | None = DEFAULT_LIMIT, **filters) -> DataFrame:

@@ -219,6 +219,14 @@ def search_all_filters(spark, sf_dir):
     )
 
 
+@query
+def scan_search(spark, sf_dir):
+    return Q.scan_search(
+        D.cves(spark, sf_dir), ["and", "of the"], severity="HIGH,MEDIUM,LOW", cwe="cwe-8", exact_cwe=False,
+        since=2000, limit=None,
+    )
+
+
 @query
 def stemmed_search(spark, sf_dir):
     index = D.postings(spark, sf_dir, ["tion", "reat"], stem=True)
@@ -228,7 +236,7 @@ def stemmed_search(spark, sf_dir):
 @query
 def stemmed_postings(spark, sf_dir):
     rows = D.postings(spark, sf_dir, stem=True)
-    return rows.groupBy("token").agg(F.count("*").alias("documents"))
+    return rows.groupBy("token").agg(F.count("*").alias("fields"), F.sum(F.size("positions")).alias("occurrences"))
 
 
 @query

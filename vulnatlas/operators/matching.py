@@ -52,19 +52,21 @@ def match_terms(postings: DataFrame, terms: list[list[str]], field: str | None =
 def text_matches(text: Column, terms: list[list[str]]) -> Column:
     """Whether a text holds every term, each a token or a phrase, judged inside its own row.
 
-    The substring tests cost little and spare most texts the tokenising.
+    The substring tests cost little and spare most texts the tokenising, which is done once: the
+    variable of the outer ``exists`` stands for all the words.
     """
-    folded, words = fold(text), tokens(text)
     wanted = sorted({token for term in terms for token in term})
-    conditions = [folded.contains(token) for token in wanted]
-    conditions.append(F.size(F.array_intersect(words, F.array(*map(F.lit, wanted)))) == len(wanted))
 
-    def places(token: str) -> Column:
-        return F.array_compact(F.transform(words, lambda word, place: F.when(word == token, place)))
+    def judged(words: Column) -> Column:
+        def places(token: str) -> Column:
+            return F.array_compact(F.transform(words, lambda word, place: F.when(word == token, place)))
 
-    for phrase in (term for term in terms if len(term) > 1):
-        conditions.append(F.size(_phrase_starts([places(token) for token in phrase])) > 0)
-    return reduce(Column.__and__, conditions)
+        held = [F.size(F.array_intersect(words, F.array(*map(F.lit, wanted)))) == len(wanted)]
+        held += [F.size(_phrase_starts([places(token) for token in term])) > 0 for term in terms if len(term) > 1]
+        return reduce(Column.__and__, held)
+
+    likely = reduce(Column.__and__, (fold(text).contains(token) for token in wanted))
+    return likely & F.exists(F.array(tokens(text)), judged)
 
 
 def match_any(postings: DataFrame, tokens: list[str], field: str | None = None) -> DataFrame:

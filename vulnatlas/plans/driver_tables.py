@@ -37,7 +37,9 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One advisory per document; scored where the document is labelled."""
-    labelled = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("labelled")).distinct()
+    # Distinct on the key alone: the join then needs no second shuffle of this side, and is left out
+    # where no score is asked for.
+    labelled = table(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("labelled", F.lit(True))
     return table(spark, sf_dir, "documents").join(labelled, "doc_id", "left").selectExpr(
         f"{CVE_ID} AS id",
         f"{PUBLISHED} AS published",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vulnatlas.operators import merging
 from vulnatlas.plans import pipeline, stats
-from vulnatlas.session import shared_path
+from vulnatlas.session import path_exists, shared_path, staged
 from vulnatlas.sinks import writers
 from vulnatlas.sources import tables
 
@@ -72,6 +72,26 @@ def test_replace_leaves_other_tables(spark):
     assert tables.enrichment_tables(spark) == ["hf_kept"]
 
 
+def test_replace_checks_the_key_first(spark, rows):
+    writers.replace_table(frame(spark, ("a", 1)), "checked", "id")
+    with pytest.raises(ValueError, match="duplicate id"):
+        writers.replace_table(frame(spark, ("b", 1), ("b", 2)), "checked", "id")
+    assert rows(spark.table("checked")) == [("a", 1)]
+
+
+def test_upsert_table(spark, rows):
+    writers.upsert_table(frame(spark, ("a", 1), ("b", 2)), "link_map", "id")
+    assert rows(writers.upsert_table(frame(spark, ("b", 3), ("c", 4)), "link_map", "id")) == [("a", 1), ("b", 3), ("c", 4)]
+    assert not spark.catalog.tableExists("link_map_merged")
+
+
+def test_staged_rows_are_removed(spark, rows):
+    with staged(frame(spark, ("a", 1)), "x") as stored:
+        path = stored.inputFiles()[0]
+        assert rows(stored) == [("a", 1)] and path_exists(spark, path)
+    assert not path_exists(spark, path)
+
+
 def test_build_keeps_what_it_is_not_given(spark, tmp_path):
     root = tmp_path / "writeups"
     root.mkdir()

@@ -21,6 +21,11 @@ def link_exploits(exploits: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def exploit_cve_map(exploits: DataFrame) -> DataFrame:
+    """The CVE ids of each exploit that names any. They are in one row already, so nothing is grouped."""
+    return exploits.filter(F.size("cves") > 0).select(F.col("id").alias("exploit_id"), "cves")
+
+
 def exploits_of_advisories(cves: DataFrame, exploits: DataFrame, *columns: str) -> DataFrame:
     """Inner join on the whole id. An advisory many exploits name is a skewed key on the link
     side only; adaptive execution splits it, as nothing after the join needs its partitioning."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vulnatlas.functions.stemming import stems
 from vulnatlas.functions.text import tokens
+from vulnatlas.session import staged
 
 
 def _grouped(df: DataFrame) -> DataFrame:
@@ -91,14 +92,15 @@ def write_postings(postings: DataFrame, path: str, partitions: int | None = None
     everything that cannot hold its tokens.
     """
     keys = ["token", "id"]
-    ranged = postings.repartitionByRange(partitions, *keys) if partitions else postings.repartitionByRange(*keys)
-    (
-        ranged.sortWithinPartitions(*keys)
-        .write.mode("overwrite")
-        .option("compression", "zstd")
-        .option("parquet.bloom.filter.enabled#token", "true")
-        .parquet(path)
-    )
+    with staged(postings, "postings") as rows:
+        ranged = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
+        (
+            ranged.sortWithinPartitions(*keys)
+            .write.mode("overwrite")
+            .option("compression", "zstd")
+            .option("parquet.bloom.filter.enabled#token", "true")
+            .parquet(path)
+        )
     return postings.sparkSession.read.parquet(path)
 
 

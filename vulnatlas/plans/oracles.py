@@ -204,6 +204,7 @@ ORACLES: dict[str, str] = {
     "sql_join": f"""WITH {CVES} SELECT id, severity, cvss, cwe, description FROM cves
         WHERE list_contains({WORDS.format('description')}, 'with') ORDER BY cvss DESC NULLS LAST, id LIMIT 20""",
     # --- links
+    "exploit_cve_map": f"WITH {EXPLOITS} SELECT id AS exploit_id, cves FROM exploits WHERE cve IS NOT NULL",
     "cve_exploits": f"""WITH {CVES}, {EXPLOITS} SELECT c.id AS cve_id, c.severity, c.cvss, e.id AS exploit_id, e.type, e.platform
         FROM cves c JOIN exploits e ON e.cve = c.id""",
     "cve_with_exploits": f"""WITH {CVES}, {EXPLOITS} SELECT c.id, c.severity, e.id // 100000 AS block,
@@ -272,6 +273,9 @@ ORACLES: dict[str, str] = {
     "any_jsonl": "SELECT * FROM documents UNION ALL BY NAME SELECT * FROM benchmark",
     "enrichment_datasets": """SELECT 'hf_documents: doc_id,lang,n_chars,source,text' AS "table", count(*) AS n FROM documents
         UNION ALL SELECT 'hf_labels: doc_id,quality,toxic', count(*) FROM labels""",
+    "provenance": """SELECT 'own/' || t AS dataset, 'parquet' AS mode, 'default' AS config, 'train' AS split, n AS rows, 'hf_' || t AS "table"
+        FROM (SELECT 'documents' AS t, count(*) AS n FROM documents UNION ALL SELECT 'labels', count(*) FROM labels
+              UNION ALL SELECT 'pages', count(*) FROM pages)""",
     # --- landing, merging and publishing
     "catalogue_csv": """SELECT CAST(doc_id AS VARCHAR) AS id, text AS description, '"' || lang || '",' || source AS tags,
         '' AS port, CAST(NULL AS VARCHAR) AS codes FROM documents""",

@@ -302,6 +302,11 @@ def sql_join(spark, sf_dir):
 # --- links ---------------------------------------------------------------------------------
 
 
+@query
+def exploit_cve_map(spark, sf_dir):
+    return links.exploit_cve_map(D.exploits(spark, sf_dir)).select("exploit_id", joined("cves").alias("cves"))
+
+
 @query
 def cve_exploits(spark, sf_dir):
     rows = links.exploits_of_advisories(
@@ -460,6 +465,14 @@ def enrichment_datasets(spark, sf_dir):
     return S.table_counts({f"{name}: {joined_names(df)}": df for name, df in found.items()})
 
 
+@query
+def provenance(spark, sf_dir):
+    path = shared_path(spark, "enrichment")
+    for name in ("documents", "labels", "pages"):
+        writers.land_enrichment(D.table(spark, sf_dir, name), f"own/{name}", path, f"hf_{name}")
+    return tables.read_provenance(spark, path).select("dataset", "mode", "config", "split", "rows", "table")
+
+
 def joined_names(df: DataFrame) -> str:
     return ",".join(df.columns)
 

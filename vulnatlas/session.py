@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE splits skewed join partitions and coalesces small ones at run time; UTC keeps
 # timestamps comparable between engines; zstd is the format tables are published in.
@@ -50,6 +52,22 @@ def hadoop_path(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder for as long as the block runs.
+
+    For rows that are costly to compute and read more than once, such as by a range shuffle, which
+    samples its input first. A lost executor then costs a read, not the computation.
+    """
+    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        target, fs = hadoop_path(spark, path)
+        fs.delete(target, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target, fs = hadoop_path(spark, path)
     return fs.exists(target)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
 from vulnatlas.functions.columns import json_row, published_year
-from vulnatlas.operators.merging import new_rows, one_per_key, require_unique
-from vulnatlas.session import path_exists, write_text_file
+from vulnatlas.operators.merging import new_rows, one_per_key, require_unique, upsert
+from vulnatlas.session import path_exists, staged, write_text_file
 from vulnatlas.sources.tables import ENRICHMENT_PREFIX
 
 # Published folder of each table.
@@ -68,13 +68,37 @@ def result_lines(df: DataFrame) -> DataFrame:
 
 
 def replace_table(df: DataFrame, table: str, key: str | None = None) -> DataFrame:
-    """Replace one catalog table; all others stay. A ``key`` has to be unique."""
-    if key:
-        df = require_unique(df, key)
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    """Replace one catalog table; all others stay.
+
+    A ``key`` has to be unique, which is checked before the old table goes; the rows are then
+    stored in its order, with a bloom filter for lookups.
+    """
+    if key is None:
+        df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    else:
+        with staged(df, table) as rows:
+            ordered = require_unique(rows, key).repartitionByRange(key).sortWithinPartitions(key)
+            (
+                ordered.write.mode("overwrite").format("parquet")
+                .option(f"parquet.bloom.filter.enabled#{key}", "true").saveAsTable(table)
+            )
     return df.sparkSession.table(table)
 
 
+def upsert_table(new: DataFrame, table: str, key: str) -> DataFrame:
+    """Entries of ``new`` replace those of their key in a catalog table; all others are kept.
+
+    The merged rows become a table of their own, which then takes the old one's name: a table
+    cannot be overwritten while it is read.
+    """
+    spark = new.sparkSession
+    merged = upsert(spark.table(table), new, key) if spark.catalog.tableExists(table) else new
+    merged.write.mode("overwrite").format("parquet").saveAsTable(f"{table}_merged")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {table}_merged RENAME TO {table}")
+    return spark.table(table)
+
+
 def append_new(
     incoming: DataFrame, path: str, key: str, *order,
     partition_by: str | None = None, transient: tuple[str, ...] = (),

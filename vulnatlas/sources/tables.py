@@ -57,6 +57,12 @@ def with_safe_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
+def read_provenance(spark: SparkSession, directory: str) -> DataFrame:
+    """The records of all sidecars in a folder."""
+    schema = "dataset string, mode string, config string, split string, rows bigint, jsonl string, `table` string"
+    return spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*_meta.json").json(directory)
+
+
 def discover_enrichment(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     """One DataFrame per ``<name>_meta.json`` sidecar that names a table and has its ``<name>.jsonl``.
 

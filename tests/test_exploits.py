@@ -81,6 +81,39 @@ def test_links_use_whole_ids(spark, catalogue, rows):
     assert queries.lookup_exploits(cves, table, "CVE-1999-1").count() == 0
 
 
+def test_links_equal_containment_for_ids_of_one_length(spark):
+    numbers = F.array(*(F.format_string("CVE-2020-%05d", (F.col("id") * k) % 50) for k in (1, 3, 7, 7)))
+    exploits = spark.range(1, 200).select("id", numbers.alias("cves"))
+    cves = spark.range(60).select(F.format_string("CVE-2020-%05d", "id").alias("id"))
+    linked = links.exploits_of_advisories(cves, exploits).select("cve_id", "exploit_id")
+    named = exploits.select(F.col("id").alias("exploit_id"), F.to_json("cves").alias("text")).collect()
+    want = sorted((c.id, e.exploit_id) for c in cves.collect() for e in named if c.id in e.text)
+    assert sorted(map(tuple, linked.collect())) == want
+
+
+def test_hot_advisory_is_split_in_the_join(spark):
+    """A third of all links on one advisory: adaptive execution splits its partition in the join."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        number = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+        exploits = spark.range(0, 90_000, 1, 8).select(
+            "id", F.array(F.concat(F.lit("CVE-"), number)).alias("cves"), F.sha2(F.col("id").cast("string"), 512).alias("note"))
+        cves = spark.range(90_000).select(F.concat(F.lit("CVE-"), "id").alias("id"))
+        joined = links.exploits_of_advisories(cves, exploits, "note")
+        assert len(joined.collect()) == 90_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_hot_advisory_is_nested_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(links, "NEST_BLOCK", 10)
     many = spark.range(1, 1000).select(

@@ -14,6 +14,13 @@ from vulnatlas.sinks import writers
 from vulnatlas.sources import tables
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_tables_left(spark):
+    yield
+    for table in spark.catalog.listTables():
+        spark.sql(f"DROP TABLE IF EXISTS {table.name}")
+
+
 def frame(spark, *items, columns="id string, n int"):
     return spark.createDataFrame(list(items), columns)
 

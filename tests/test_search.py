@@ -174,3 +174,16 @@ def test_stored_postings_are_pruned_by_token(spark, cves, tmp_path, plan):
     stored = write_postings(build_postings(cves), str(tmp_path / "p"))
     assert "PushedFilters: [In(token, [apache,log4j])" in plan(matching.match_all(stored, ["apache", "log4j"]))
     assert "StringStartsWith(token,log)" in plan(matching.match_prefix(stored, "log"))
+
+
+def test_phrase_hits_are_among_the_hits_of_all_terms(cves):
+    index = build_postings(cves)
+    for words in (["apache", "log4j"], ["a", "b"], ["b", "a", "c"], ["the", "httpd"]):
+        assert set(ids(matching.match_phrase(index, words))) <= set(ids(matching.match_all(index, words)))
+
+
+def test_matching_texts_in_place_equals_the_index(cves):
+    index = build_postings(cves)
+    for terms in ([["apache"]], [["httpd", "apache"]], [["a", "b"], ["c"]], [["code"], ["child"]], [["cafe"]]):
+        in_place = cves.filter(matching.text_matches(F.col("description"), terms)).select("id")
+        assert ids(in_place) == ids(matching.match_terms(index, terms, field="description"))

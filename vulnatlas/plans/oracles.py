@@ -253,7 +253,7 @@ ORACLES: dict[str, str] = {
             d.doc_id, to_base64(encode(d.text)) AS patch FROM documents d)
         SELECT id, title, cwe FROM p WHERE contains(lower(title), 'src1') OR contains(lower(patch), 'src1')
         ORDER BY id, title LIMIT 25""",
-    "decoded_patch_search": f"""SELECT {ID} AS id, d.source AS title, ['CWE-' || CAST(70 + d.doc_id % 20 AS VARCHAR)] AS cwe,
+    "decoded_patch_search": f"""SELECT {ID} AS id, d.source AS title, 'CWE-' || CAST(70 + d.doc_id % 20 AS VARCHAR) AS cwe,
         CAST(0 AS INTEGER) AS n, 'https://example.org/' || CAST(d.doc_id AS VARCHAR) AS url,
         decode(from_base64(to_base64(encode(d.text)))) AS diff
         FROM documents d WHERE contains(lower(d.text), 'of the')""",

@@ -376,7 +376,8 @@ def year_counts(spark, sf_dir):
 @query
 def stats(spark, sf_dir):
     files = normalize.index_writeups(D.writeup_files(spark, sf_dir))
-    return S.stats(D.cves(spark, sf_dir), D.exploits(spark, sf_dir), files, ["hf_vuln_patches", "hf_vuln_scores"])
+    Q.register_views({"hf_vuln_patches": D.patches(spark, sf_dir), "hf_vuln_scores": D.cves(spark, sf_dir).select("id", "cvss")})
+    return S.stats(D.cves(spark, sf_dir), D.exploits(spark, sf_dir), files, tables.enrichment_tables(spark))
 
 
 # --- enrichment ----------------------------------------------------------------------------
@@ -408,7 +409,8 @@ def patch_search(spark, sf_dir):
 
 @query
 def decoded_patch_search(spark, sf_dir):
-    return enrichment.decoded_patch_search(D.patches(spark, sf_dir), "of the", limit=None)
+    found = enrichment.decoded_patch_search(D.patches(spark, sf_dir), "of the", limit=None)
+    return found.withColumn("cwe", joined("cwe"))
 
 
 @query

@@ -246,7 +246,8 @@ def product_search(spark, sf_dir):
 
 @query
 def lookup_cve(spark, sf_dir):
-    found = Q.lookup(D.cves(spark, sf_dir).withColumn("refs", F.array("source")).withColumn("ref_tags", F.array("status")), "cve-2006-00007")
+    cves = D.cves(spark, sf_dir).withColumns({"refs": F.array("source"), "ref_tags": F.array("status")})
+    found = Q.lookup(cves, "cve-2006-00007")
     return found.withColumn("references", joined("references")).withColumn("refTags", joined("refTags"))
 
 
@@ -386,7 +387,8 @@ def stats(spark, sf_dir):
 def two_tables(spark, sf_dir):
     return {
         "hf_benchmark": D.table(spark, sf_dir, "benchmark").selectExpr("item_id AS id", "text AS description"),
-        "hf_documents": D.table(spark, sf_dir, "documents").selectExpr("doc_id AS id", "source AS title", "text AS description", "lang"),
+        "hf_documents": D.table(spark, sf_dir, "documents").selectExpr(
+            "doc_id AS id", "source AS title", "text AS description", "lang"),
         "hf_pages": D.table(spark, sf_dir, "pages"),
     }
 
@@ -567,7 +569,8 @@ def latest_wins(spark, sf_dir):
 @query
 def map_upsert(spark, sf_dir):
     old = D.exploits(spark, sf_dir).select(F.col("id").alias("exploit_id"), joined("cves").alias("cves"))
-    new = D.exploits(spark, sf_dir).filter("verified").select(F.col("id").alias("exploit_id"), F.concat(F.lit("new:"), joined("tags")).alias("cves"))
+    entry = F.concat(F.lit("new:"), joined("tags"))
+    new = D.exploits(spark, sf_dir).filter("verified").select(F.col("id").alias("exploit_id"), entry.alias("cves"))
     return merging.upsert(old, new, "exploit_id")
 
 

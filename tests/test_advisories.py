@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vulnatlas.operators.normalize import normalize_advisories
-from vulnatlas.plans.pipeline import advisory_table
+from vulnatlas.plans.pipeline import advisory_table, append_advisories
 from vulnatlas.sinks.writers import write_documents
 from vulnatlas.sources.advisories import feed_glob, read_feeds
 from vulnatlas.streaming.ingest import ingest_feeds
@@ -114,6 +114,12 @@ def test_document_store_keeps_first_raw_item(spark, feeds, tmp_path):
     assert raw["cve"]["descriptions"][1]["value"] == "hello"
 
 
+def test_append_skips_stored_advisories(spark, feeds, tmp_path):
+    path = str(tmp_path / "cves")
+    assert [append_advisories(spark, feed_glob(feeds, 2002, last), path) for last in (2021, 2023, 2023)] == [4, 1, 0]
+    assert spark.read.parquet(path).filter("id = 'CVE-2021-0001'").first().description == "hello"
+
+
 def test_incremental_ingest(spark, feeds, tmp_path):
     target, checkpoint = str(tmp_path / "cves"), str(tmp_path / "checkpoint")
     ingest_feeds(spark, feeds, target, checkpoint)

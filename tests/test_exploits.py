@@ -9,7 +9,7 @@ from vulnatlas.functions import columns as C
 from vulnatlas.operators import links
 from vulnatlas.operators.normalize import exploit_cards, normalize_exploits
 from vulnatlas.plans import queries
-from vulnatlas.plans.pipeline import exploit_table
+from vulnatlas.plans.pipeline import append_exploits, exploit_table
 from vulnatlas.sources.exploits import read_catalogue
 
 CSV = '''id,file,description,date_published,author,type,platform,port,date_added,verified,codes,tags
@@ -61,6 +61,14 @@ def test_slug(spark, text, slug):
     assert spark.range(1).select(C.slug(F.lit(text)).alias("s")).first().s == slug
 
 
+def test_append_skips_stored_exploits(spark, catalogue, tmp_path):
+    path = str(tmp_path / "exploits")
+    assert [append_exploits(spark, catalogue, path) for _ in range(2)] == [3, 0]
+    stored = spark.read.parquet(path)
+    assert "source_order" not in stored.columns
+    assert stored.filter("id = 3").first().description.startswith("Café")
+
+
 def test_card(spark, catalogue):
     body = {r.id: r.markdown_body for r in exploit_cards(read_catalogue(spark, catalogue)).collect()}
     assert body[1].splitlines()[:2] == ['# 1 - Say "hi",', "twice"]

@@ -65,8 +65,8 @@ def valid_exploit_rows(catalogue: DataFrame) -> DataFrame:
     return catalogue.withColumn("id", F.col("id").try_cast("bigint")).filter("id <> 0")
 
 
-def normalize_exploits(catalogue: DataFrame) -> DataFrame:
-    """The ``exploits`` table from catalogue rows."""
+def normalize_exploits(catalogue: DataFrame, *columns: str) -> DataFrame:
+    """The ``exploits`` table from catalogue rows. ``columns`` are passed through."""
     return valid_exploit_rows(catalogue).select(
         "id",
         "description",
@@ -78,6 +78,7 @@ def normalize_exploits(catalogue: DataFrame) -> DataFrame:
         exploit_markdown_path().alias("markdown"),
         exploit_source_path().alias("source"),
         exploit_url().alias("url"),
+        *columns,
     )
 
 

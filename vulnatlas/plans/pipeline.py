@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vulnatlas.operators import normalize
 from vulnatlas.operators.merging import one_per_key
 from vulnatlas.operators.postings import build_postings, write_postings
-from vulnatlas.sinks.writers import replace_table
+from vulnatlas.sinks.writers import append_new, replace_table
 from vulnatlas.sources import advisories, exploits, tables, writeups
 
 
@@ -27,6 +27,18 @@ def writeup_table(spark: SparkSession, root: str) -> DataFrame:
     return normalize.index_writeups(writeups.read_writeups(spark, root))
 
 
+def append_advisories(spark: SparkSession, feeds: str | list[str], path: str) -> int:
+    """Append the advisories of the feeds that are not stored yet, by year; how many there were."""
+    rows = normalize.normalize_advisories(advisories.read_feeds(spark, feeds), "source_order")
+    return append_new(rows, path, "id", "source_order", partition_by="year", transient=("source_order",))
+
+
+def append_exploits(spark: SparkSession, catalogue: str, path: str) -> int:
+    """Append the exploits of the catalogue that are not stored yet; how many there were."""
+    rows = normalize.normalize_exploits(exploits.read_catalogue(spark, catalogue), "source_order")
+    return append_new(rows, path, "id", "source_order", transient=("source_order",))
+
+
 def build(
     spark: SparkSession, postings_path: str, feeds: str | list[str] | None = None, catalogue: str | None = None,
     writeup_root: str | None = None, enrichment_dir: str | None = None,

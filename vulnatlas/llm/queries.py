@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vulnatlas.llm import minhash_dedup
+from vulnatlas.llm import minhash_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,27 @@ WITH RECURSIVE worded AS (
 SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
 FROM sized s JOIN least_of l ON s.doc_id = l.node
 """
+
+
+@query
+def op3_substring_dedup(spark, sf_dir):
+    return substring_dedup.digest(substring_dedup.without_repeats(table(spark, sf_dir, "documents")))
+
+
+ORACLES["op3_substring_dedup"] = r"""
+WITH worded AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), placed AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM worded WHERE len(w) >= 13
+), windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM placed
+), least_of AS (SELECT s, min(doc_id) AS first_doc FROM windows GROUP BY s
+), gone AS (
+  SELECT doc_id, list(DISTINCT j) AS g FROM (
+    SELECT w.doc_id, unnest(range(w.i, w.i + 13)) AS j FROM windows w JOIN least_of l ON w.s = l.s WHERE w.doc_id > l.first_doc
+  ) GROUP BY doc_id
+), kept AS (
+  SELECT d.doc_id, len(d.w) AS n, CASE WHEN g.g IS NULL THEN d.w
+    ELSE list_transform(list_filter(range(1, len(d.w) + 1), lambda j: NOT list_contains(g.g, j)), lambda j: d.w[j]) END AS k
+  FROM worded d LEFT JOIN gone g ON d.doc_id = g.doc_id
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(k) AS BIGINT) AS n_removed,
+  sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vulnatlas.llm import minhash_dedup, substring_dedup
+from vulnatlas.llm import minhash_dedup, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +71,10 @@ WITH worded AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x0
 SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(k) AS BIGINT) AS n_removed,
   sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
 """
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
+    return toxicity.judged(toxicity.toxicity_scores(docs, model), 5, 0)

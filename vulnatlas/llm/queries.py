@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vulnatlas.llm import minhash_dedup, substring_dedup, toxicity
+from vulnatlas.llm import decontamination, minhash_dedup, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,8 @@ def op10_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
     return toxicity.judged(toxicity.toxicity_scores(docs, model), 5, 0)
+
+
+@query
+def op5_benchmark_decontamination(spark, sf_dir):
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -34,7 +34,7 @@ DECAY = 0.5
 SYMBOLS = 40
 #: At most so many labelled texts of each class are sampled, by the smallest hash of their id.
 SAMPLE = 1500
-LANDMARKS = 200
+LANDMARKS = 320
 NEGATIVES = 4000
 #: Standard errors above its share in clean texts from which a unit marks toxic ones.
 STRONG = 15

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vulnatlas.llm import decontamination, minhash_dedup, substring_dedup, toxicity
+import corpus_pipeline
+from vulnatlas.llm import decontamination, minhash_dedup, sentencepiece_sampling, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +84,13 @@ def op10_toxicity(spark, sf_dir):
 @query
 def op5_benchmark_decontamination(spark, sf_dir):
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_sentencepiece_sampling(spark, sf_dir):
+    return sentencepiece_sampling.encoded(table(spark, sf_dir, "documents"), ids=False)
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

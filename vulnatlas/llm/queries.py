@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from vulnatlas.llm import decontamination, minhash_dedup, sentencepiece_sampling, substring_dedup, toxicity
+from vulnatlas.llm import decontamination, minhash_dedup, sentencepiece_sampling, substring_dedup, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,8 @@ def op2_sentencepiece_sampling(spark, sf_dir):
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op9_token_files(spark, sf_dir):
+    return token_files.round_trip(table(spark, sf_dir, "documents"))

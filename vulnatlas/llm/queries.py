@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vulnatlas.llm import decontamination, minhash_dedup, sentencepiece_sampling, substring_dedup, token_files, toxicity
+from vulnatlas.llm import decontamination, minhash_dedup, quality_rules, sentencepiece_sampling, substring_dedup, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +100,9 @@ def pipeline(spark, sf_dir):
 @query
 def op9_token_files(spark, sf_dir):
     return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_quality_rules(spark, sf_dir):
+    trains = toxicity.fold(F.col("doc_id"), 3) != 1
+    return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), trains)

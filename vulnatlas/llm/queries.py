@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vulnatlas.llm import decontamination, minhash_dedup, quality_classifier, quality_rules, sentencepiece_sampling, substring_dedup, token_files, toxicity
+from vulnatlas.llm import decontamination, minhash_dedup, quality_classifier, quality_rules, sentencepiece_sampling, substring_dedup, token_counts, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +113,8 @@ def op7_quality_classifier(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality_classifier.trained(docs, labels, toxicity.fold(F.col("doc_id"), 3) != 1)
     return toxicity.judged(quality_classifier.quality_scores(docs, model), 3, 1)
+
+
+@query
+def op6_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))

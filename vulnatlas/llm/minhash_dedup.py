@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 from vulnatlas.llm.components import connected_components
 from vulnatlas.llm.text import LOWER, combined, id_and_text, mixed, slices, span_hashes, stored, text_bytes, word_spans
 
-BANDS, ROWS = 32, 4
-HASHES = BANDS * ROWS
+BANDS, ROWS = 20, 4  # a pair at a similarity of 0.8 shares no band with a probability of 3e-5
+HASHES = 128
 BATCH = 16
-LEADERS = 4
+LEADERS = 2
+#: Ids of documents in shared buckets up to which they are broadcast to pick their texts.
+BROADCAST_IDS = 1_000_000
 #: Buckets of at most so many members compare all pairs of different components; larger ones join by prefixes.
 SMALL = 32
 MISS = 1e-6
@@ -44,7 +46,7 @@ _BAND_SEEDS = _random.integers(0, 1 << 64, BANDS, dtype=np.uint64)
 
 SIGNED = pa.schema([
     ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp", pa.binary()),
-    ("bands", pa.list_(pa.int64())), ("signature", pa.binary()),
+    ("signature", pa.binary()),
 ])
 
 
@@ -58,14 +60,31 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band of a signature; the band's number is part of it."""
-    rows = least.reshape(BANDS, ROWS).astype(np.uint64)
-    key = _BAND_SEEDS.copy()
+    """One 64-bit key per band of each signature (n, HASHES); the band's number is part of it."""
+    rows = least[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
+    key = np.tile(_BAND_SEEDS, (len(rows), 1))
     for k in range(ROWS):
-        key = mixed(key * np.uint64(0xD6E8FEB86659FD93) + rows[:, k])
+        key = mixed(key * np.uint64(0xD6E8FEB86659FD93) + rows[:, :, k])
     return key.view(np.int64)
 
 
+def banded(signatures: DataFrame) -> DataFrame:
+    """``rep, band``: a row for each band of each signature."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = band_keys(_signatures(batch.column("signature")))
+                reps = np.repeat(batch.column("rep").to_numpy(), BANDS)
+                yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(found.ravel())], names=["rep", "band"])
+
+    return signatures.select("rep", "signature").mapInArrow(keys, "rep long, band long")
+
+
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
+
+
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """Distinct shingle hashes of a text's word hashes; a text of fewer words is one shingle."""
     return np.unique(combined(words, min(width, len(words)) or 1))
@@ -88,7 +107,7 @@ def least_matches(threshold: float, miss: float) -> dict[int, int]:
 
 
 def signed_documents(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n_shingles, fp, bands, signature``; the last two only at the first of equal texts of a slice."""
+    """``doc_id, n_shingles, fp, signature``; the last only at the first of equal texts of a slice."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -96,28 +115,27 @@ def signed_documents(docs: DataFrame, width: int) -> DataFrame:
             data = LOWER[data]
             starts, ends, first = word_spans(data, offsets)
             hashes = span_hashes(data, starts, ends)
-            sizes, marks, bands, signatures, seen = [], [], [], [], {}
+            sizes, marks, signatures, seen = [], [], [], {}
             raw = data.tobytes()
             for k in range(part.num_rows):
                 words = hashes[first[k]:first[k + 1]]
                 if not len(words):
-                    sizes.append(0), marks.append(None), bands.append(None), signatures.append(None)
+                    sizes.append(0), marks.append(None), signatures.append(None)
                     continue
                 same = b" ".join(raw[offsets[k]:offsets[k + 1]].split())
                 mark = hashlib.blake2b(same, digest_size=16).digest()
                 marks.append(mark)
                 if mark in seen:
-                    sizes.append(seen[mark]), bands.append(None), signatures.append(None)
+                    sizes.append(seen[mark]), signatures.append(None)
                     continue
                 grams = shingle_hashes(words, width)
                 seen[mark] = len(grams)
-                least = signature(grams)
-                sizes.append(len(grams)), bands.append(band_keys(least)), signatures.append(least.tobytes())
+                sizes.append(len(grams)), signatures.append(signature(grams).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(signatures, pa.binary())], schema=SIGNED)
+                 pa.array(signatures, pa.binary())], schema=SIGNED)
 
-    return id_and_text(docs).mapInArrow(sign, "doc_id long, n_shingles long, fp binary, bands array<long>, signature binary")
+    return id_and_text(docs).mapInArrow(sign, "doc_id long, n_shingles long, fp binary, signature binary")
 
 
 def _pruned(pairs: DataFrame, threshold: float, miss: float) -> DataFrame:
@@ -128,9 +146,7 @@ def _pruned(pairs: DataFrame, threshold: float, miss: float) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, right = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, HASHES) for c in ("sa", "sb")
-            )
+            left, right = _signatures(batch.column("sa")), _signatures(batch.column("sb"))
             alive, equal = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64)
             for n in range(BATCH, HASHES + 1, BATCH):
                 equal[alive] += (left[alive, n - BATCH:n] == right[alive, n - BATCH:n]).sum(axis=1)
@@ -212,27 +228,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     """
     signed = stored(signed_documents(docs, width), "signed")
     known = signed.filter("doc_id IS NOT NULL AND fp IS NOT NULL")
-    classes = known.groupBy("fp").agg(
-        F.min("doc_id").alias("rep"), F.min(F.when(F.col("signature").isNotNull(), F.col("doc_id"))).alias("carrier")
-    )
-    classes = stored(classes, "classes")
-    carriers = known.filter("signature IS NOT NULL").select("fp", F.col("doc_id").alias("carrier"), "bands", "signature")
-    signatures = stored(carriers.join(classes, ["fp", "carrier"]).dropDuplicates(["fp"]).select("rep", "bands", "signature"), "signatures")
-    texts = id_and_text(docs).filter("doc_id IS NOT NULL")
+    carrier = F.when(F.col("signature").isNotNull(), F.col("doc_id"))
+    classes = stored(known.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.min_by("signature", carrier).alias("signature")), "classes")
+
+    # Most bands hold one class alone; only the others are kept.
+    members = banded(classes)
+    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    spots = stored(members.join(shared, "band").select("rep", "band", "n"), "spots")
+    hot = stored(spots.select("rep").distinct(), "hot")
+    few = hot.count() <= BROADCAST_IDS
+    small = F.broadcast(hot) if few else hot
+    signatures = stored(classes.select("rep", "signature").join(small, "rep", "left_semi"), "signatures")
+    ids = small.withColumnRenamed("rep", "doc_id")
+    texts = stored(id_and_text(docs).filter("doc_id IS NOT NULL").join(ids, "doc_id", "left_semi"), "texts")
 
     def links(pairs: DataFrame) -> DataFrame:
         left = signatures.select(F.col("rep").alias("a"), F.col("signature").alias("sa"))
         right = signatures.select(F.col("rep").alias("b"), F.col("signature").alias("sb"))
         alive = stored(_pruned(pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb"), percent / 100, miss).distinct(), "pairs")
-        needed = alive.select(F.col("a").alias("doc_id")).union(alive.select("b")).distinct()
-        wanted = stored(texts.join(needed, "doc_id", "left_semi"), "texts")
-        return stored(_confirmed(alive, wanted, width, percent).distinct(), "links")
+        return stored(_confirmed(alive, texts, width, percent).distinct(), "links")
 
-    members = signatures.select("rep", F.explode("bands").alias("band"))
     chosen = [F.min("rep")] + [F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(1, LEADERS)]
-    buckets = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(*chosen)).alias("leaders")).filter("n > 1")
+    leaders = spots.groupBy("band").agg(F.array_distinct(F.array(*chosen)).alias("leaders"))
     met = (
-        members.join(buckets.select("band", "leaders"), "band")
+        spots.select("rep", "band").join(leaders, "band")
         .select("rep", F.explode("leaders").alias("leader")).filter("rep <> leader")
         .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
     )
@@ -240,13 +259,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     joined = stored(connected_components(first), "components")
 
     placed = stored(
-        signatures.select("rep", "bands").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("rep", F.coalesce("component", "rep").alias("component"), F.explode("bands").alias("band")), "placed")
-    parted = placed.groupBy("band").agg(
-        F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    open_spots = placed.join(parted.select("band", "n"), "band")
-    spots = open_spots.filter(F.col("n") <= SMALL)
-    one, two = spots.alias("one"), spots.alias("two")
+        spots.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+        .select("rep", F.coalesce("component", "rep").alias("component"), "band", "n"), "placed")
+    parted = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    open_spots = placed.join(parted.select("band"), "band", "left_semi")
+    near = open_spots.filter(F.col("n") <= SMALL)
+    one, two = near.alias("one"), near.alias("two")
     rest = one.join(two, (F.col("one.band") == F.col("two.band")) & (F.col("one.component") < F.col("two.component"))).select(
         F.least("one.rep", "two.rep").alias("a"), F.greatest("one.rep", "two.rep").alias("b")
     )

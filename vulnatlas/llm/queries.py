@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vulnatlas.llm import decontamination, minhash_dedup, quality_classifier, quality_rules, sentencepiece_sampling, substring_dedup, token_counts, token_files, toxicity
+from vulnatlas.llm import decontamination, minhash_dedup, quality_classifier, quality_rules, sentencepiece_sampling, substring_dedup, token_counts, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,8 @@ def op7_quality_classifier(spark, sf_dir):
 @query
 def op6_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_warc_derivatives(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))

@@ -3,33 +3,41 @@
 A window is ``width`` consecutive words of one document. Its minimiser is the smallest hash among its runs
 of ``seed`` words. Consecutive windows with the same minimiser are sent as one string (a super-k-mer) to
 the bucket of that minimiser, so equal windows always meet, and a word is sent about three times instead
-of ``width`` times. In a bucket, sorting brings equal window hashes together; those are then compared as
-strings, so no hash decides.
+of ``width`` times. The strings of a task for a bucket are compressed together. In a bucket, sorting brings
+equal window hashes together; those windows are then compared as strings, so no hash decides.
 
-Hot passages: within a slice of rows an equal string is sent once, for its smallest document; the others
-are already known to repeat it. A passage that a third of all rows hold so reaches its bucket once per
-slice, not once per row. Buckets are read sorted by document, in chunks of bounded size; across chunks
-only the distinct windows of the one bucket that is still open are carried over.
+Hot passages: a task sends an equal string once, unless a smaller document holds it later; the others are
+already known to repeat it. A passage that a third of all rows hold so reaches its bucket once per task, not
+once per row. A bucket is worked on in as many ranges of window hashes as keep each at ``RANGE_BYTES`` of text,
+so that beside the compressed strings only one range's hashes and its distinct repeated windows are held.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vulnatlas.llm.text import combined, id_and_text, mixed, slices, span_hashes, stored, text_bytes, word_spans
+from vulnatlas.llm.text import combined, id_and_text, slices, span_hashes, stored, word_spans
 
 WIDTH = 13
 SEED = 4
-#: Bytes of packed strings that a bucket task compares at a time.
-CHUNK_BYTES = 8_000_000
-
-PACKED = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int32()), ("count", pa.int32()), ("packed", pa.binary())])
+#: Bytes of packed strings that a task compresses at a time.
+SEND_BYTES = 24_000_000
+#: Strings a task remembers so as not to send them again.
+KNOWN = 200_000
+#: Bytes of a bucket's strings whose windows are compared at a time.
+RANGE_BYTES = 128_000_000
+#: Buckets for each shuffle partition.
+SPREAD = 4
+#: Bytes of merged ranges up to which they are broadcast to their documents.
+BROADCAST_BYTES = 32_000_000
+
+SENT = pa.schema([("bucket", pa.int32()), ("packed", pa.binary()), ("doc_id", pa.int64()), ("place", pa.int32()), ("count", pa.int32())])
 RANGES = pa.schema([("doc_id", pa.int64()), ("place", pa.int32()), ("count", pa.int32())])
 
 
@@ -43,15 +51,36 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def packed_runs(docs: DataFrame, width: int, seed: int) -> DataFrame:
-    """``bucket, doc_id, place, count, packed``: runs of windows; without ``packed``, windows known to repeat."""
+def packed_runs(docs: DataFrame, width: int, seed: int, buckets: int) -> DataFrame:
+    """``bucket, packed``: compressed runs of windows; or ``doc_id, place, count``: windows known to repeat."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]] = []
+        size = 0
+
+        def send() -> pa.RecordBatch:
+            bucket, doc, place = (np.concatenate([part[k] for part in held]) for k in range(3))
+            strings = [text for part in held for text in part[3]]
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+            shrink = zstandard.ZstdCompressor(level=3)
+            packed = [
+                shrink.compress(b"".join((
+                    np.array([len(part)], "<i8").tobytes(), doc[part].astype("<i8").tobytes(), place[part].astype("<i4").tobytes(),
+                    b"\n".join([strings[k] for k in part.tolist()]))))
+                for part in np.split(order, cuts[1:])
+            ]
+            n = len(packed)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket[order[cuts]], pa.int32()), pa.array(packed, pa.binary()),
+                 *(pa.nulls(n, kind) for kind in (pa.int64(), pa.int32(), pa.int32()))], schema=SENT)
+
         for part in slices(batches):
             ids = part.column("doc_id").to_numpy()
             words = [text.as_buffer().to_pybytes().split() for text in part.column("text").cast(pa.large_binary())]
             sizes = np.array([len(w) for w in words], np.int64)
-            joined = b" ".join(b" ".join(w) for w in words if w)
+            joined = b" ".join([b" ".join(w) for w in words if w])
             del words
             data = np.frombuffer(joined, np.uint8)
             starts, ends, _ = word_spans(data, np.array([0, len(data)]))
@@ -67,99 +96,157 @@ def packed_runs(docs: DataFrame, width: int, seed: int) -> DataFrame:
             fresh[1:] &= ~whole[:-1] | (least[1:] != least[:-1])
             first = np.flatnonzero(fresh)
             stops = np.flatnonzero(whole & ~np.append(whole[1:] & ~fresh[1:], False))
-            count = stops - first + 1
-            doc = ids[owner[first]]
+            doc, place = ids[owner[first]], place[first]
             strings = [joined[a:b] for a, b in zip(starts[first].tolist(), ends[stops + width - 1].tolist(), strict=True)]
-            smallest: dict[bytes, int] = {}
-            for text, d in zip(strings, doc.tolist(), strict=True):
-                if smallest.setdefault(text, d) > d:
-                    smallest[text] = d
-            known = doc > np.array([smallest[text] for text in strings], np.int64) if strings else np.zeros(0, bool)
-            bucket = least[first]
-            # A known repeat only passes through: it may go anywhere, so not where its passage is hot.
-            bucket = np.where(known, mixed(doc.view(np.uint64) * np.uint64(31) + place[first].astype(np.uint64)), bucket)
-            packed = pa.array([None if k else text for k, text in zip(known.tolist(), strings, strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket.view(np.int64)), pa.array(doc), pa.array(place[first].astype(np.int32)),
-                 pa.array(count.astype(np.int32)), packed], schema=PACKED)
+            repeats = np.zeros(len(first), bool)
+            for k, (text, d) in enumerate(zip(strings, doc.tolist(), strict=True)):
+                if (smallest := known.setdefault(text, d)) < d:
+                    repeats[k] = True
+                elif smallest > d:
+                    known[text] = d
+            if len(known) > KNOWN:
+                known.clear()
+            if repeats.any():
+                n = int(repeats.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((np.arange(n) + int(doc[0])) % buckets, pa.int32()), pa.nulls(n, pa.binary()), pa.array(doc[repeats]),
+                     pa.array(place[repeats], pa.int32()), pa.array((stops - first + 1)[repeats], pa.int32())], schema=SENT)
+            sent = [text for text, r in zip(strings, repeats.tolist(), strict=True) if not r]
+            if sent:
+                held.append(((least[first] % np.uint64(buckets)).astype(np.int64)[~repeats], doc[~repeats], place[~repeats], sent))
+                size += sum(map(len, sent))
+            if size >= SEND_BYTES:
+                yield send()
+                held.clear()
+                size = 0
+        if held:
+            yield send()
 
     ids = id_and_text(docs).filter("doc_id IS NOT NULL")
-    return ids.mapInArrow(pack, "bucket long, doc_id long, place int, count int, packed binary")
-
-
-class _Bucketed:
-    """Compares the windows of runs that arrive sorted by bucket and document."""
-
-    def __init__(self, width: int):
-        self.width, self.open, self.carried = width, None, {}
-
-    def repeats(self, rows: pa.Table) -> pa.RecordBatch:
-        """The windows of the rows that a smaller document holds too, as ranges of windows."""
-        width = self.width
-        bucket, doc, place = (rows.column(c).to_numpy() for c in ("bucket", "doc_id", "place"))
-        column = rows.column("packed").combine_chunks()
-        data, offsets = text_bytes(pa.Array.from_buffers(pa.string(), len(column), column.buffers(), offset=column.offset))
-        starts, ends, first = word_spans(data, offsets)
-        hashes = combined(span_hashes(data, starts, ends), width)
-        counts = np.diff(first) - width + 1
-        at = np.repeat(first[:-1] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-        row = np.repeat(np.arange(len(counts)), counts)
-        hashes = hashes[at]
-        order = np.argsort(hashes, kind="stable")
-        same = hashes[order][1:] == hashes[order][:-1]
-        met = np.zeros(len(at), bool)
-        met[order[1:][same]] = True
-        met[order[:-1][same]] = True
-        # The bucket left open by the last chunk, and the one this chunk leaves open, go on in full.
-        last = bucket[-1]
-        met |= (bucket[row] == last) | (bucket[row] == self.open)
-        if self.open != last:
-            old, carried = self.carried, {}
-        else:
-            old = carried = self.carried
-        raw, flagged = data.tobytes(), np.zeros(len(at), bool)
-        seen: dict[bytes, int] = {}
-        picked = np.flatnonzero(met)
-        spots = at[picked]
-        for k, a, b, r in zip(picked.tolist(), starts[spots].tolist(), ends[spots + width - 1].tolist(), row[picked].tolist(), strict=True):
-            text, key, d = raw[a:b], bucket[r], doc[r]
-            held = carried if key == last else old if key == self.open else seen
-            if held.setdefault(text, d) < d:
-                flagged[k] = True
-        self.open, self.carried = last, carried
-        begin = flagged.copy()
-        begin[1:] &= ~flagged[:-1] | (row[1:] != row[:-1])
-        end = flagged.copy()
-        end[:-1] &= ~flagged[1:] | (row[1:] != row[:-1])
-        begin, end = np.flatnonzero(begin), np.flatnonzero(end)
-        within = at - first[:-1][row]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(doc[row[begin]]), pa.array((place[row[begin]] + within[begin]).astype(np.int32)),
-             pa.array((end - begin + 1).astype(np.int32))], schema=RANGES)
+    return ids.mapInArrow(pack, "bucket int, packed binary, doc_id long, place int, count int")
+
+
+class _Windows:
+    """The windows of one compressed batch of runs."""
+
+    def __init__(self, packed: bytes, width: int):
+        raw = zstandard.ZstdDecompressor().decompress(packed)
+        (n,) = np.frombuffer(raw, "<i8", 1).tolist()
+        self.doc, self.place = np.frombuffer(raw, "<i8", n, 8), np.frombuffer(raw, "<i4", n, 8 + 8 * n)
+        self.text = raw[8 + 12 * n:]
+        data = np.frombuffer(self.text, np.uint8)
+        self.starts, self.ends, _ = word_spans(data, np.array([0, len(data)]))
+        lines = np.flatnonzero(data == 10)
+        first = np.searchsorted(self.starts, np.append(-1, lines))
+        counts = np.diff(np.append(first, len(self.starts))) - width + 1
+        self.row = np.repeat(np.arange(n), counts)
+        self.at = np.arange(len(self.row)) + np.repeat(first - np.concatenate(([0], np.cumsum(counts)[:-1])), counts)
+        self.within = self.at - first[self.row]
+        self.hashes = combined(span_hashes(data, self.starts, self.ends), width)[self.at]
+        self.width = width
+
+    def strings(self, chosen: np.ndarray) -> list[bytes]:
+        spots = self.at[chosen]
+        return [self.text[a:b] for a, b in zip(self.starts[spots].tolist(), self.ends[spots + self.width - 1].tolist(), strict=True)]
+
+
+def repeats_in_bucket(bucket: list[bytes], width: int) -> Iterator[pa.RecordBatch]:
+    """``doc_id, place, count``: the windows of a bucket's runs that a smaller document holds too."""
+    total = sum(zstandard.frame_content_size(packed) for packed in bucket)
+    ranges = max(1, -(-total // RANGE_BYTES))
+    for turn in range(ranges):
+        found = []
+        for packed in bucket:
+            hashes = _Windows(packed, width).hashes
+            found.append(hashes if ranges == 1 else hashes[hashes % np.uint64(ranges) == turn])
+        hashes = np.sort(np.concatenate(found))
+        twice = np.unique(hashes[1:][hashes[1:] == hashes[:-1]])
+        del hashes, found
+        if not len(twice):
+            continue
+        keys: dict[bytes, int] = {}
+        smallest: list[int] = []
+        asked = []
+        for packed in bucket:
+            windows = _Windows(packed, width)
+            near = np.minimum(np.searchsorted(twice, windows.hashes), len(twice) - 1)
+            chosen = np.flatnonzero(twice[near] == windows.hashes)
+            docs = windows.doc[windows.row[chosen]]
+            key = np.zeros(len(chosen), np.int64)
+            for k, (text, d) in enumerate(zip(windows.strings(chosen), docs.tolist(), strict=True)):
+                number = key[k] = keys.setdefault(text, len(keys))
+                if number == len(smallest):
+                    smallest.append(d)
+                elif d < smallest[number]:
+                    smallest[number] = d
+            asked.append((docs, windows.place[windows.row[chosen]] + windows.within[chosen], key))
+        least = np.array(smallest, np.int64)
+        for docs, place, key in asked:
+            flagged = docs > least[key]
+            docs, place = docs[flagged], place[flagged]
+            if len(docs):
+                begin = np.append(True, (docs[1:] != docs[:-1]) | (place[1:] != place[:-1] + 1))
+                first = np.flatnonzero(begin)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(docs[first]), pa.array(place[first], pa.int32()),
+                     pa.array(np.diff(np.append(first, len(docs))), pa.int32())], schema=RANGES)
 
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
     """``doc_id, place, count``: runs of windows that also start in a document of smaller ``doc_id``."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, held, size = _Bucketed(width), [], 0
+        now, held = None, []
         for batch in batches:
             known = batch.column("packed").is_null()
             passing = batch.filter(known)
             if passing.num_rows:
                 yield passing.select(["doc_id", "place", "count"])
             batch = batch.filter(pa.compute.invert(known))
-            if batch.num_rows:
-                held.append(batch)
-                size += batch.nbytes
-            if size >= CHUNK_BYTES:
-                yield state.repeats(pa.Table.from_batches(held))
-                held, size = [], 0
+            for bucket, packed in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                if bucket != now and held:
+                    yield from repeats_in_bucket(held, width)
+                    held = []
+                now = bucket
+                held.append(packed)
         if held:
-            yield state.repeats(pa.Table.from_batches(held))
+            yield from repeats_in_bucket(held, width)
 
-    runs = packed_runs(docs, width, seed)
-    return runs.repartition("bucket").sortWithinPartitions("bucket", "doc_id").mapInArrow(compare, "doc_id long, place int, count int")
+    buckets = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = packed_runs(docs, width, seed, buckets)
+    return runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(compare, "doc_id long, place int, count int")
+
+
+def removed_ranges(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
+    """``_id, _ranges``: for each document that repeats others, the merged word ranges to remove, as 32-bit pairs."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            merged = []
+            for found in batch.column("ranges"):
+                flat = found.values.flatten()
+                place, count = (np.asarray(c, np.int64) for c in flat)
+                order = np.argsort(place, kind="stable")
+                begin, end = place[order], np.maximum.accumulate((place + count + width - 1)[order])
+                apart = np.append(True, begin[1:] > end[:-1])
+                last = np.append(np.flatnonzero(apart)[1:] - 1, len(end) - 1)
+                merged.append(np.stack([begin[apart], end[last]], axis=1).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(merged, pa.binary())], names=["_id", "_ranges"])
+
+    found = repeated_windows(docs, width, seed).groupBy("doc_id").agg(F.collect_list(F.struct("place", "count")).alias("ranges"))
+    ranges = stored(found.mapInArrow(merge, "_id long, _ranges binary"), "ranges")
+    size = ranges.agg(F.sum(F.length("_ranges") + 16)).first()[0] or 0
+    return F.broadcast(ranges) if size <= BROADCAST_BYTES else ranges
+
+
+def _cut(text: bytes, ranges: bytes | None) -> tuple[int, list[bytes]]:
+    """Words of the text, and those outside the ranges."""
+    words = text.split()
+    n = len(words)
+    if ranges:
+        for begin, end in reversed(np.frombuffer(ranges, "<i4").reshape(-1, 2).tolist()):
+            del words[begin:end]
+    return n, words
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
@@ -171,31 +258,17 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> Da
     the same text: each loses the windows found at the places of any of them. A row without a ``doc_id``
     comes before or after no other, so it loses nothing and takes nothing away. Other columns are ignored.
     """
-    ranges = stored(repeated_windows(docs, width, seed), "ranges")
-    per_doc = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("place", "count")).alias("ranges"))
+    rows, ranges = id_and_text(docs), removed_ranges(docs, width, seed)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            sizes, removed, texts = [], [], []
-            found = part.column("ranges")
-            for k, text in enumerate(part.column("text").to_pylist()):
-                words = text.encode().split()
-                sizes.append(len(words))
-                if found[k].is_valid:
-                    gone = np.zeros(len(words) + 1, np.int64)
-                    for r in found[k].as_py():
-                        gone[min(r["place"], len(words))] += 1
-                        gone[min(r["place"] + r["count"] + width - 1, len(words))] -= 1
-                    gone = np.cumsum(gone[:-1]) > 0
-                    words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                removed.append(sizes[-1] - len(words))
-                texts.append(b" ".join(words).decode())
+            found = [_cut(t.as_buffer().to_pybytes(), r.as_py()) for t, r in zip(part.column("text"), part.column("_ranges"), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept"])
+                [part.column("doc_id"), pa.array([n for n, _ in found], pa.int64()), pa.array([n - len(w) for n, w in found], pa.int64()),
+                 pa.array([b" ".join(w).decode() for _, w in found], pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    rows = id_and_text(docs).join(per_doc, "doc_id", "left").select("doc_id", "text", "ranges")
-    return rows.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
+    joined = rows.join(ranges, rows["doc_id"] == ranges["_id"], "left").select("doc_id", "text", "_ranges")
+    return joined.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def digest(kept: DataFrame) -> DataFrame:
@@ -207,9 +280,16 @@ def drop_repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataF
 
     A document that loses all its words stays with an empty text.
     """
-    changed = without_repeats(docs, width, seed).filter("n_removed > 0").groupBy("doc_id").agg(F.max("kept").alias("_kept"))
-    changed = changed.withColumnRenamed("doc_id", "_id")
-    joined = docs.join(changed, docs["doc_id"].cast("long") == changed["_id"], "left")
-    text = F.coalesce(changed["_kept"], docs["text"])
-    new = {"text": text} | ({"n_chars": F.when(changed["_id"].isNull(), docs["n_chars"]).otherwise(F.length(changed["_kept"]).cast("long"))} if "n_chars" in docs.columns else {})
-    return joined.select(*(new[c].cast(docs.schema[c].dataType).alias(c) if c in new else docs[c] for c in docs.columns))
+    ranges = removed_ranges(docs, width, seed)
+
+    @F.pandas_udf("string")
+    def cut(texts, found):
+        return texts.__class__([b" ".join(_cut(t.encode(), r)[1]).decode() if r else t for t, r in zip(texts, found, strict=True)])
+
+    joined = docs.join(ranges, docs["doc_id"].cast("long") == ranges["_id"], "left")
+    text = F.when(ranges["_id"].isNull(), docs["text"].cast("string")).otherwise(cut(docs["text"].cast("string"), ranges["_ranges"]))
+    joined = joined.select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns), ranges["_id"].isNotNull().alias("_changed"))
+    if "n_chars" not in docs.columns:
+        return joined.drop("_changed")
+    chars = F.when(F.col("_changed"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return joined.withColumn("n_chars", chars).select(docs.columns)

@@ -58,6 +58,22 @@ def test_safe_columns(spark):
         tables.with_safe_columns(df.toDF("a b", "a-b"))
 
 
+def test_sidecars_keep_long_names_and_refuse_clashes(spark, tmp_path):
+    rows = spark.createDataFrame([(1,)], "a int")
+    for directory, names in (("long", ["hf_" + "x" * 70 + end for end in ("one", "two")]), ("clash", ["hf_a-b", "hf_a_b"])):
+        for k, name in enumerate(names):
+            writers.land_enrichment(rows, f"own/{k}", str(tmp_path / directory), name)
+    assert len(tables.discover_enrichment(spark, str(tmp_path / "long"))) == 2
+    with pytest.raises(ValueError, match="clash"):
+        tables.discover_enrichment(spark, str(tmp_path / "clash"))
+
+
+def test_patches_as_json_text(spark):
+    text = '[{"url": "u", "patch_text_b64": "' + base64.b64encode(b"+ strcpy").decode() + '"}]'
+    patches = spark.createDataFrame([("P", "t", "c", text), ("Q", "t", "c", "not json")], "id string, title string, cwe string, patches string")
+    assert [(r.id, r.n, r.url, r.diff) for r in enrichment.decoded_patches(patches).collect()] == [("P", 0, "u", "+ strcpy")]
+
+
 def test_shards_merge_their_columns(spark, tmp_path):
     spark.range(2).write.parquet(str(tmp_path / "s" / "p1"))
     spark.range(3).withColumn("x", F.lit("v")).write.parquet(str(tmp_path / "s" / "p2"))
@@ -71,7 +87,7 @@ def test_search_over_tables(spark):
     other = spark.createDataFrame([(1, "x", "nginx"), (2, "y", "z")], "a int, b string, c string")
     far = spark.createDataFrame([(1, 2, 3, "nginx")], "a int, b int, c int, d string")
     found = enrichment.search_tables({"hf_one": one, "hf_other": other, "hf_far": far}, "NGINX", limit=1)
-    assert sorted((r.table, r.id or r.a) for r in found.collect()) == [("hf_one", "1"), ("hf_other", "1")]
+    assert sorted((r.table, r.id or int(r.a)) for r in found.collect()) == [("hf_far", 1), ("hf_one", "1"), ("hf_other", 1)]
     counts = enrichment.match_counts(enrichment.search_tables({"hf_one": one, "hf_other": other}, "nginx"))
     assert {r.table: r.n for r in counts.collect()} == {"hf_one": 2, "hf_other": 1}
     assert enrichment.search_tables({"hf_one": one}, "0%").count() == 1

@@ -122,12 +122,19 @@ def test_hot_advisory_is_split_in_the_join(spark):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def test_hot_advisory_is_nested_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(links, "NEST_BLOCK", 10)
+def test_catalogue_files_of_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,description,platform\n1,"one, two",linux\n2,,\n3,short\n')
+    (tmp_path / "b.csv").write_text("id,platform,description\n4,windows,four\n5,mac,five,more\n")
+    found = {r.id: (r.description, r.platform) for r in read_catalogue(spark, str(tmp_path)).collect()}
+    assert found == {"1": ("one, two", "linux"), "2": ("", ""), "3": ("short", None), "4": ("four", "windows"), "5": ("five", "mac")}
+
+
+def test_hot_advisory_is_nested_in_blocks(spark):
     many = spark.range(1, 1000).select(
         "id", F.lit("d").alias("description"), F.lit("t").alias("type"), F.lit("p").alias("platform"),
         F.lit("m").alias("markdown"), F.lit("u").alias("url"), F.array(F.lit("CVE-1")).alias("cves"))
-    nested = links.nested_exploits(many).select(F.size("exploits").alias("n"))
+    assert links.nested_exploits(many).count() == 1
+    nested = links.nested_exploits(many, 10).select(F.size("exploits").alias("n"))
     assert nested.agg(F.max("n"), F.sum("n")).first()[:] == (10, 999)
 
 

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from vulnatlas.operators import merging
-from vulnatlas.plans import pipeline, stats
+from vulnatlas.plans import pipeline, queries, stats
 from vulnatlas.session import path_exists, shared_path, staged
 from vulnatlas.sinks import writers
 from vulnatlas.sources import tables
@@ -92,6 +92,53 @@ def test_upsert_table(spark, rows):
     assert not spark.catalog.tableExists("link_map_merged")
 
 
+def test_upsert_stores_a_repeated_key_once(spark, rows):
+    assert rows(writers.upsert_table(frame(spark, ("a", 2), ("a", 1)), "once", "id")) == [("a", 1)]
+
+
+@pytest.mark.parametrize("statement, nth", [
+    ("halted RENAME TO default.halted__old", 1),
+    ("halted__new RENAME TO default.halted", 1),
+    ("DROP TABLE IF EXISTS default.halted__old", 3),
+])
+def test_a_stopped_swap_loses_nothing(spark, rows, monkeypatch, statement, nth):
+    writers.replace_table(frame(spark, ("a", 1), ("b", 2)), "halted")
+    run, seen = type(spark).sql, []
+
+    def halting(self, text, *args, **more):
+        if statement in text:
+            seen.append(text)
+            if len(seen) == nth:
+                raise RuntimeError("stopped")
+        return run(self, text, *args, **more)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(spark), "sql", halting)
+        with pytest.raises(RuntimeError, match="stopped"):
+            writers.upsert_table(frame(spark, ("b", 3)), "halted", "id")
+    assert rows(writers.upsert_table(frame(spark, ("c", 4)), "halted", "id"))[0] == ("a", 1)
+    assert rows(spark.table("halted"))[-1] == ("c", 4) and spark.table("halted").count() == 3
+    assert not any(spark.catalog.tableExists(f"halted__{end}") for end in ("new", "old"))
+
+
+def test_a_view_of_the_same_name_is_not_the_table(spark, rows):
+    writers.replace_table(frame(spark, ("a", 1)), "shadowed")
+    queries.register_views({"shadowed": frame(spark, ("a", 1))})
+    try:
+        assert rows(writers.replace_table(frame(spark, ("a", 2)), "shadowed")) == [("a", 2)]
+        assert rows(writers.upsert_table(frame(spark, ("b", 1)), "shadowed", "id")) == [("a", 2), ("b", 1)]
+    finally:
+        spark.catalog.dropTempView("shadowed")
+
+
+def test_appends_write_few_files_and_need_no_order(spark, tmp_path):
+    path = str(tmp_path / "few")
+    batch = spark.range(1000).repartition(16).selectExpr("CAST(id AS STRING) AS id", "CAST(id % 5 AS INT) AS year")
+    assert writers.append_new(batch, path, "id", partition_by="year") == 1000
+    assert all(len(list(p.glob("*.parquet"))) <= 2 for p in (tmp_path / "few").glob("year=*"))
+    assert writers.append_new(batch, path, "id", partition_by="year") == 0
+
+
 def test_staged_rows_are_removed(spark, rows):
     with staged(frame(spark, ("a", 1)), "x") as stored:
         path = stored.inputFiles()[0]

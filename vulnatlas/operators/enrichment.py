@@ -37,7 +37,8 @@ def with_text_arrays(df: DataFrame) -> DataFrame:
 
 
 def searched_columns(df: DataFrame) -> list[str]:
-    return [name for name in df.columns if name in SEARCHED_COLUMNS] or df.columns[:3]
+    """The known text columns a table has, or all of its columns if it has none of them."""
+    return [name for name in df.columns if name in SEARCHED_COLUMNS] or df.columns
 
 
 def keyword_matches(df: DataFrame, keyword: str, limit: int | None = None) -> DataFrame:
@@ -73,8 +74,12 @@ def with_parsed_json(df: DataFrame, *columns: str) -> DataFrame:
 def decoded_patches(patches: DataFrame, encoded: str = "patch_text_b64") -> DataFrame:
     """One row per patch with its diff as text, null where it is not base64 or not UTF-8.
 
-    ``patches`` has ``id``, ``title``, ``cwe`` and an array of structs ``patches``.
+    ``patches`` has ``id``, ``title``, ``cwe`` and an array of structs ``patches``, or that array as JSON
+    text; text that is not such an array gives no row.
     """
+    if isinstance(patches.schema["patches"].dataType, T.StringType):
+        schema = f"array<struct<url: string, {encoded}: string>>"
+        patches = patches.withColumn("patches", F.from_json("patches", schema))
     one = patches.select("id", "title", "cwe", F.posexplode("patches").alias("n", "patch"))
     diff = F.try_validate_utf8(F.try_to_binary(F.col(f"patch.{encoded}"), F.lit("base64")).cast("string"))
     return one.select("id", "title", "cwe", "n", F.col("patch.url").alias("url"), diff.alias("diff"))

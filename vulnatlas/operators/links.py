@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from vulnatlas.functions.columns import basename
 
-# Exploits of one advisory are nested in blocks of this many consecutive exploit ids: a block
-# cannot hold more rows than that, however many exploits name the same advisory.
-NEST_BLOCK = 100_000
-
 NESTED_FIELDS = ("exploitdb_id", "description", "type", "platform", "markdown", "url")
 
 
@@ -32,24 +28,27 @@ def exploits_of_advisories(cves: DataFrame, exploits: DataFrame, *columns: str)
     return link_exploits(exploits, *columns).join(cves.withColumnRenamed("id", "cve_id"), "cve_id")
 
 
-def nested_exploits(exploits: DataFrame) -> DataFrame:
-    """Exploits of each CVE as arrays of structs: one row per CVE and block of exploit ids."""
+def nested_exploits(exploits: DataFrame, block: int | None = None) -> DataFrame:
+    """Exploits of each CVE as arrays of structs, one row per CVE.
+
+    With ``block``, a row holds that many consecutive exploit ids at most, however many exploits name the
+    same CVE. For tables without a bound on that, :func:`exploits_of_advisories` is the flat form.
+    """
     links = link_exploits(
         exploits,
         F.struct(F.col("id").alias("exploitdb_id"), *NESTED_FIELDS[1:]).alias("exploit"),
     )
-    return links.groupBy("cve_id", F.expr(f"exploit_id div {NEST_BLOCK}").alias("block")).agg(
-        F.sort_array(F.collect_list("exploit")).alias("exploits")
-    )
+    part = F.lit(0) if block is None else F.expr(f"exploit_id div {block}")
+    return links.groupBy("cve_id", part.alias("block")).agg(F.sort_array(F.collect_list("exploit")).alias("exploits"))
 
 
-def advisories_with_exploits(cves: DataFrame, exploits: DataFrame) -> DataFrame:
-    """Every advisory with its nested exploits; one row, null and empty, where there are none.
+def advisories_with_exploits(cves: DataFrame, exploits: DataFrame, block: int | None = None) -> DataFrame:
+    """Every advisory with its nested exploits, by blocks if asked; one row, null and empty, where there are none.
 
     Matched and unmatched advisories come from an inner and an anti join rather than one outer
     join: only an inner join lets a skewed exploit side be split.
     """
-    nested = nested_exploits(exploits)
+    nested = nested_exploits(exploits, block)
     matched = nested.withColumnRenamed("cve_id", "id").join(cves, "id")
     unmatched = cves.join(link_exploits(exploits).select(F.col("cve_id").alias("id")).distinct(), "id", "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 
 def one_per_key(df: DataFrame, key: str, *order: str | Column) -> DataFrame:
-    """The first row of each key in the given order.
+    """The first row of each key in the given order, or else in that of all columns.
 
     ``row_number() = 1`` is limited per key before the shuffle too, so a key with very many
     copies sends at most one row per task.
     """
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*(order or df.columns))))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
@@ -33,9 +33,10 @@ def latest_rows(existing: DataFrame, incoming: DataFrame, key: str, modified: st
     return one_per_key(both, key, F.desc_nulls_last(modified), "_stored").drop("_stored")
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """All entries of ``new`` and those of ``old`` whose key is not in ``new``."""
-    return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+def upsert(old: DataFrame, new: DataFrame, key: str, *order: str | Column) -> DataFrame:
+    """The first entry of each key in ``new``, and the entries of ``old`` whose key is not in ``new``."""
+    one = one_per_key(new, key, *order)
+    return old.join(one.select(key), key, "left_anti").unionByName(one)
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

@@ -17,9 +17,6 @@ from vulnatlas.operators.postings import query_tokens
 ADVISORY_RESULT = ("id", "published", "severity", "cvss", "cwe", "description")
 DEFAULT_LIMIT = 20
 
-# Largest limit up to which the ids of a result are sent to every executor.
-BROADCAST_ROWS = 10_000
-
 
 def lookup(cves: DataFrame, cve_id: str) -> DataFrame:
     """One advisory by id, in any case; empty if it is not there."""
@@ -50,12 +47,12 @@ def search(
     """
     hits = match_terms(postings, terms, stem)
     found = advisory_filters(cves, **filters).join(hits, "id")
-    if limit is None or limit > BROADCAST_ROWS:
-        return top_scored(found.select(*ADVISORY_RESULT), limit)
-    # The best rows are found by id and score alone, so the join moves no descriptions; those are
-    # fetched afterwards for at most `limit` ids.
-    best = top_scored(found.select("id", "cvss"), limit).select("id")
-    return top_scored(cves.select(*ADVISORY_RESULT).join(F.broadcast(best), "id"), limit)
+    if limit is None:
+        return found.select(*ADVISORY_RESULT)
+    # The best rows are found by id and score alone, so no descriptions are ranked; those are fetched
+    # afterwards for at most `limit` ids, by the same filters, as an id may repeat.
+    best = top_scored(found.select("id", "cvss"), limit).select("id").distinct()
+    return top_scored(advisory_filters(cves, **filters).select(*ADVISORY_RESULT).join(best, "id"), limit)
 
 
 def scan_search(

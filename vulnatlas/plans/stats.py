@@ -29,7 +29,9 @@ def top_cwe(cves: DataFrame, limit: int = 10) -> DataFrame:
 
 def top_scored_prefixes(cves: DataFrame, limit: int = 5, width: int = 60) -> DataFrame:
     """First characters of the descriptions of the highest scored advisories."""
-    best = top_scored(cves.select("id", "cvss", "description"), limit)
+    # Ids are ranked first, so that no description is read but those of the best.
+    ids = top_scored(cves.select("id", "cvss"), limit).select("id").distinct()
+    best = top_scored(cves.select("id", "cvss", "description").join(ids, "id"), limit)
     return best.select("id", "cvss", F.substring("description", 1, width).alias("description"))
 
 

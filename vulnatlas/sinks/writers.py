@@ -9,7 +9,7 @@ from pyspark.sql.observation import Observation
 from vulnatlas.functions.columns import json_row, published_year
 from vulnatlas.operators.merging import new_rows, one_per_key, require_unique, upsert
 from vulnatlas.session import path_exists, staged, write_text_file
-from vulnatlas.sources.tables import ENRICHMENT_PREFIX
+from vulnatlas.sources.tables import ENRICHMENT_PREFIX, qualified, stored_table
 
 # Published folder of each table.
 PUBLISHED = {
@@ -70,33 +70,51 @@ def result_lines(df: DataFrame) -> DataFrame:
 def replace_table(df: DataFrame, table: str, key: str | None = None) -> DataFrame:
     """Replace one catalog table; all others stay.
 
-    A ``key`` has to be unique, which is checked before the old table goes; the rows are then
-    stored in its order, with a bloom filter for lookups.
+    A ``key`` has to be unique; the rows are then stored in its order, with a bloom filter for lookups.
+    The new rows are written beside the old table, which goes only when they are whole (:func:`swap_in`).
     """
     if key is None:
-        df.write.mode("overwrite").format("parquet").saveAsTable(table)
-    else:
-        with staged(df, table) as rows:
-            ordered = require_unique(rows, key).repartitionByRange(key).sortWithinPartitions(key)
-            (
-                ordered.write.mode("overwrite").format("parquet")
-                .option(f"parquet.bloom.filter.enabled#{key}", "true").saveAsTable(table)
-            )
-    return df.sparkSession.table(table)
+        return swap_in(df, table)
+    with staged(df, table) as rows:
+        ordered = require_unique(rows, key).repartitionByRange(key).sortWithinPartitions(key)
+        return swap_in(ordered, table, {f"parquet.bloom.filter.enabled#{key}": "true"})
 
 
 def upsert_table(new: DataFrame, table: str, key: str) -> DataFrame:
     """Entries of ``new`` replace those of their key in a catalog table; all others are kept.
 
-    The merged rows become a table of their own, which then takes the old one's name: a table
-    cannot be overwritten while it is read.
+    A key that repeats in ``new`` is stored once, by its first row in the order of all columns.
     """
     spark = new.sparkSession
-    merged = upsert(spark.table(table), new, key) if spark.catalog.tableExists(table) else new
-    merged.write.mode("overwrite").format("parquet").saveAsTable(f"{table}_merged")
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {table}_merged RENAME TO {table}")
-    return spark.table(table)
+    finish_swap(spark, table)
+    there = spark.catalog.tableExists(qualified(spark, table))
+    return swap_in(upsert(stored_table(spark, table), new, key) if there else one_per_key(new, key), table)
+
+
+def swap_in(df: DataFrame, table: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Store ``df`` as a catalog table; an old one of that name stays readable until the new rows are whole.
+
+    Old aside, new in its place, old dropped. A call that was stopped in between is finished by the next one.
+    """
+    spark = df.sparkSession
+    finish_swap(spark, table)
+    now, fresh, aside = (qualified(spark, name) for name in (table, f"{table}__new", f"{table}__old"))
+    df.write.mode("overwrite").format("parquet").options(**(options or {})).saveAsTable(fresh)
+    if spark.catalog.tableExists(now):
+        spark.sql(f"ALTER TABLE {now} RENAME TO {aside}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {now}")
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+    return stored_table(spark, table)
+
+
+def finish_swap(spark: SparkSession, table: str) -> None:
+    """Bring a swap that was stopped to its end: the old table moves aside only after the new one is whole."""
+    now, fresh, aside = (qualified(spark, name) for name in (table, f"{table}__new", f"{table}__old"))
+    there, whole, moved = map(spark.catalog.tableExists, (now, fresh, aside))
+    if moved and not there:
+        spark.sql(f"ALTER TABLE {fresh if whole else aside} RENAME TO {now}")
+    for name in (fresh, aside):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def append_new(
@@ -105,7 +123,9 @@ def append_new(
 ) -> int:
     """Append the rows whose key is not stored at ``path`` yet; the number of rows appended.
 
-    Running it again appends nothing. The folder is created by the first run; columns named in
+    Running it again appends nothing. Of an incoming key the first row in ``order`` counts, or else in that
+    of all columns. Rows are dealt out by ``partition_by`` first, so that a batch writes few files for each of
+    its partitions; a large one is split. The folder is created by the first run; columns named in
     ``transient`` serve the order only and are not stored.
     """
     spark = incoming.sparkSession
@@ -118,7 +138,8 @@ def append_new(
         writer = df.write.partitionBy(partition_by) if partition_by else df.write
         writer.mode("append").parquet(path)
 
-    return counted_write(fresh.drop(*transient), write)
+    fresh = fresh.drop(*transient)
+    return counted_write(fresh.hint("rebalance", partition_by) if partition_by else fresh, write)
 
 
 def write_documents(items: DataFrame, path: str) -> int:
@@ -142,7 +163,7 @@ def provenance(
 
 def land_enrichment(df: DataFrame, dataset: str, directory: str, table: str = "") -> int:
     """Write an enrichment dataset as JSON lines with the sidecar that names its table."""
-    name = dataset.replace("/", "__")
+    name = dataset.replace("/", "__")  # fixed value: how landed files are named
     path = f"{directory.rstrip('/')}/{name}.jsonl"
     rows = counted_write(df, lambda d: write_json_lines(d, path))
     record = provenance(df.sparkSession, dataset, table or f"{ENRICHMENT_PREFIX}{name}", path, rows)

@@ -24,8 +24,13 @@ FEED_NAME = "nvdcve-2.0-{year}.json.gz"
 
 
 def feed_glob(directory: str, first: int, last: int) -> str:
-    """Feed files of the years ``first`` to ``last``, both included; a missing year is left out."""
+    """Feed files of the years ``first`` to ``last``, both included.
+
+    Advisories of years before the first feed are in that feed. A year whose file has not landed is left out.
+    """
     years = ",".join(map(str, range(max(first, FIRST_FEED_YEAR), last + 1)))
+    if not years:
+        raise ValueError(f"no feed covers the years {first} to {last}")
     return f"{directory.rstrip('/')}/{FEED_NAME.format(year='{' + years + '}')}"
 
 
@@ -48,9 +53,14 @@ def read_feeds(spark: SparkSession, paths: str | list[str], limit: int | None =
 
 
 def feed_items(feeds: DataFrame) -> DataFrame:
-    """``(source_order, raw)`` per item of feed documents: place in the feeds and JSON text."""
-    items = feeds.select(F.col("_metadata.file_name").alias("file"), F.posexplode("vulnerabilities").alias("n", "item"))
-    return items.select(F.struct("file", "n").alias("source_order"), F.to_json("item").alias("raw"))
+    """``(source_order, raw)`` per item of feed documents: place in the feeds and JSON text.
+
+    Feeds are ordered by when they landed, those of one moment by full path. ``raw`` is the parsed item
+    written again: the same values, with keys in order and numbers in their shortest form.
+    """
+    file = (F.col("_metadata.file_modification_time").alias("landed"), F.col("_metadata.file_path").alias("file"))
+    items = feeds.select(*file, F.posexplode("vulnerabilities").alias("n", "item"))
+    return items.select(F.struct("landed", "file", "n").alias("source_order"), F.to_json("item").alias("raw"))
 
 
 def parse_items(raw: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,19 +17,28 @@ CATALOGUE_COLUMNS = (
 )
 
 _CORRUPT = "_short_row"
+_CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
 def read_catalogue(spark: SparkSession, path: str | list[str], limit: int | None = None) -> DataFrame:
-    """All rows as text, columns found by header name.
+    """All rows as text, columns found by the header of each file.
 
     A field left empty is ``''``; one that a short row does not reach is null, and so is a column
-    the file does not have. ``source_order`` tells the order of the rows.
+    the file does not have. ``source_order`` tells the order of the rows. A catalogue is a few files, whose
+    headers the driver reads; files of one header are read together.
     """
-    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
-    header = spark.read.options(**options).csv(path).columns
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.options(**_CSV).csv(path).inputFiles()):
+        headers.setdefault(tuple(spark.read.options(**_CSV).csv(file).columns), []).append(file)
+    parts = [_read_same(spark, files, header) for header, files in headers.items()]
+    return first_rows(reduce(DataFrame.unionByName, parts), limit, "source_order")
+
+
+def _read_same(spark: SparkSession, path: list[str], header: tuple[str, ...]) -> DataFrame:
+    """Rows of files that share a header."""
     fields = [T.StructField(name, T.StringType()) for name in (*header, _CORRUPT)]
     rows = (
-        spark.read.options(**options, columnNameOfCorruptRecord=_CORRUPT).schema(T.StructType(fields)).csv(path)
+        spark.read.options(**_CSV, columnNameOfCorruptRecord=_CORRUPT).schema(T.StructType(fields)).csv(path)
     )
 
     def field(name: str):
@@ -37,6 +48,5 @@ def read_catalogue(spark: SparkSession, path: str | list[str], limit: int | None
         return F.when(whole, F.coalesce(F.col(name), F.lit(""))).otherwise(F.col(name)).alias(name)
 
     # A file with multi-line fields is read by one task, so the ids follow its rows.
-    place = F.struct(F.col("_metadata.file_name"), F.monotonically_increasing_id().alias("n"))
-    rows = rows.select(*map(field, CATALOGUE_COLUMNS), place.alias("source_order"))
-    return first_rows(rows, limit, "source_order")
+    place = F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id().alias("n"))
+    return rows.select(*map(field, CATALOGUE_COLUMNS), place.alias("source_order"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,16 @@ def read_published(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 def existing_tables(spark: SparkSession, names: list[str]) -> dict[str, DataFrame]:
     """The named catalog tables that exist; the others are left out."""
-    return {name: spark.table(name) for name in names if spark.catalog.tableExists(name)}
+    return {name: stored_table(spark, name) for name in names if spark.catalog.tableExists(qualified(spark, name))}
+
+
+def qualified(spark: SparkSession, table: str) -> str:
+    """The stored table with its database, so that a temporary view of the same name is not meant."""
+    return f"{spark.catalog.currentDatabase()}.{table}"
+
+
+def stored_table(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(qualified(spark, table))
 
 
 def enrichment_tables(spark: SparkSession) -> list[str]:
@@ -44,17 +54,21 @@ def enrichment_tables(spark: SparkSession) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables() if t.name.startswith(ENRICHMENT_PREFIX))
 
 
-def safe_name(name: str) -> str:
-    """A table or column name of letters, digits and ``_``, at most 60 long."""
-    return "".join(c if c.isalnum() or c == "_" else "_" for c in name)[:60]
+def identifiers(names: list[str], what: str) -> list[str]:
+    """The names as SQL identifiers that need no quotes: each sign that is no word character becomes ``_``.
+
+    Names are kept at full length. Two that would become the same, in any case, are an error, as one
+    would replace the other.
+    """
+    made = [re.sub(r"\W", "_", name) for name in names]
+    if len({name.lower() for name in made}) < len(made):
+        raise ValueError(f"{what} names clash once made safe: {names}")
+    return made
 
 
 def with_safe_columns(df: DataFrame) -> DataFrame:
-    """Columns renamed by :func:`safe_name`; two that would become the same are an error."""
-    names = [safe_name(name) for name in df.columns]
-    if len(set(names)) < len(names):
-        raise ValueError(f"column names clash once made safe: {df.columns}")
-    return df.toDF(*names)
+    """Columns renamed by :func:`identifiers`."""
+    return df.toDF(*identifiers(df.columns, "column"))
 
 
 def read_provenance(spark: SparkSession, directory: str) -> DataFrame:
@@ -67,17 +81,18 @@ def discover_enrichment(spark: SparkSession, directory: str) -> dict[str, DataFr
     """One DataFrame per ``<name>_meta.json`` sidecar that names a table and has its ``<name>.jsonl``.
 
     Sidecars are a handful of small files written by the landing step, so the driver reads them;
-    the datasets they name are read by Spark.
+    the datasets they name are read by Spark. Two sidecars of one table are an error.
     """
     directory = directory.rstrip("/")
     sidecars = (
         spark.read.option("pathGlobFilter", "*_meta.json").text(directory, wholetext=True)
         .select(F.col("_metadata.file_name").alias("name"), "value").orderBy("name").collect()
     )
-    found = {}
+    found = []
     for sidecar in sidecars:
         data = sidecar.name.removesuffix("_meta.json") + ".jsonl"
         table = json.loads(sidecar.value).get("table")
         if table and path_exists(spark, f"{directory}/{data}"):
-            found[safe_name(table)] = with_safe_columns(read_any(spark, f"{directory}/{data}"))
-    return found
+            found.append((table, f"{directory}/{data}"))
+    names = identifiers([table for table, _ in found], "table")
+    return {name: with_safe_columns(read_any(spark, path)) for name, (_, path) in zip(names, found, strict=True)}

@@ -34,14 +34,20 @@ def ingest_landed(
     query.awaitTermination()
 
 
-def ingest_feeds(spark: SparkSession, landing: str, target: str, checkpoint: str, max_files: int = 32) -> None:
-    """Ingest feed documents newly landed in a folder into the ``cves`` table at ``target``."""
+def ingest_feeds(spark: SparkSession, landing: str, target: str, checkpoint: str, max_files: int | None = None) -> None:
+    """Ingest feed documents newly landed in a folder into the ``cves`` table at ``target``.
+
+    The first delivery of an id stays: within a batch by the order of
+    :func:`~vulnatlas.sources.advisories.feed_items`, and batches of ``max_files`` take files in the order they
+    landed too. Without ``max_files`` all of them are one batch.
+    """
+    limit = {"maxFilesPerTrigger": max_files} if max_files else {}
     feeds = (
         spark.readStream.schema("vulnerabilities array<variant>")
         .option("multiLine", True)
         .option("encoding", "UTF-8")
         .option("mode", "FAILFAST")
-        .option("maxFilesPerTrigger", max_files)
+        .options(**limit)
         .json(landing)
     )
 

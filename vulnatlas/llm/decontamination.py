@@ -210,7 +210,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) ->
         for match in parts:
             one = rows.mapInArrow(match, schema)
             found = one if found is None else found.union(one)
-        best = F.max_by(F.struct("item_id", "n_tiled", "n_tokens"), F.struct(F.col("n_tiled") / F.col("n_tokens"), -F.col("item_id")))
+        best = F.max_by(F.struct("item_id", "n_tiled", "n_tokens"), F.struct(F.try_divide("n_tiled", "n_tokens"), -F.col("item_id")))
         found = found.groupBy("doc_id").agg(F.sum("n_items").alias("n_items"), best.alias("b")).select("doc_id", "n_items", "b.*")
         found = found.select("doc_id", "n_items", "item_id", F.coalesce("n_tiled", F.lit(0)).alias("n_tiled"), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
     return found.select("doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items", "item_id", "n_tiled", "n_tokens")

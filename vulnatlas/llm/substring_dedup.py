@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -202,7 +203,7 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> D
             passing = batch.filter(known)
             if passing.num_rows:
                 yield passing.select(["doc_id", "place", "count"])
-            batch = batch.filter(pa.compute.invert(known))
+            batch = batch.filter(pyarrow.compute.invert(known))
             for bucket, packed in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist(), strict=True):
                 if bucket != now and held:
                     yield from repeats_in_bucket(held, width)

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
     for batch in batches:
         if not batch.num_rows:
             continue
-        ends = np.cumsum(np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64))
+        ends = np.cumsum(np.asarray(pyarrow.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64))
         first = 0
         while first < batch.num_rows:
             base = ends[first - 1] if first else 0

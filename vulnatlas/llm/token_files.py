@@ -287,6 +287,7 @@ def read_tokens(files: DataFrame, folder: str, with_ids: bool = True) -> DataFra
 def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of the documents as read back from their files."""
     target, fs = hadoop_path(docs.sparkSession, shared_path(docs.sparkSession, "tokens"))
+    fs.mkdirs(target)
     folder = fs.makeQualified(target).toString()
     files = stored(write_tokens(docs, folder, tokenizer), "token-files")
     return read_tokens(files, folder, with_ids=False)

@@ -38,6 +38,10 @@ LANDMARKS = 320
 NEGATIVES = 4000
 #: Standard errors above its share in clean texts from which a unit marks toxic ones.
 STRONG = 15
+#: Toxic texts that a unit has to be in for that.
+SUPPORT = 8
+#: Missed toxic texts that one clean text found toxic counts for: the sample holds few clean ones.
+CLEAN_WEIGHT = 5
 #: The most frequent marks that are also learnt with a letter put in.
 VARIED = 60
 
@@ -241,7 +245,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         share = (held[0][word] + 0.5) / n0
         return (held[1][word] - n1 * share) / np.sqrt(n1 * share)
 
-    strong = {w: strength(w) for w in held[1] if len(w) >= 3}
+    strong = {w: strength(w) for w, n in held[1].items() if len(w) >= 3 and n >= SUPPORT}
     positive = set()
     for i in np.flatnonzero(learn & (labels == 1)):
         marks = sorted((w for w in words[i] if strong.get(w, 0) >= STRONG), key=lambda w: (-strong[w], w))
@@ -292,17 +296,20 @@ def _apart(words: list[bytes], n: int) -> list[bytes]:
 
 
 def _curve(model: Model, texts: list[str], labels: np.ndarray) -> tuple[float, float]:
-    """Where and how steeply the score rises: the value with the fewest errors, in the middle of its gap."""
+    """Where and how steeply the score rises: the middle of the gap with the fewest errors, of the widest such gap."""
     raw = model.scores(texts)
     values = np.log(raw / (1 - raw))
     if not len(values) or labels.min() == labels.max():
         return 0.0, 4.0
     order = np.argsort(values)
     values, y = values[order], labels[order]
-    errors = np.append(0, np.cumsum(y == 1)) + np.append(np.cumsum((y == 0)[::-1])[::-1], 0)
-    best = np.flatnonzero(errors == errors.min())
-    k = best[len(best) // 2]
-    low, high = values[max(k - 1, 0)], values[min(k, len(values) - 1)]
+    errors = np.append(0, np.cumsum(y == 1)) + CLEAN_WEIGHT * np.append(np.cumsum((y == 0)[::-1])[::-1], 0)
+    # Texts often share their highest unit, so values tie: only gaps between different values can part them.
+    gaps = np.flatnonzero(np.diff(values) > 0) + 1
+    if not len(gaps):
+        return float(values[0]), 4.0
+    k = min(gaps, key=lambda g: (errors[g], values[g - 1] - values[g]))
+    low, high = values[k - 1], values[k]
     return float((low + high) / 2), 4.0
 
 

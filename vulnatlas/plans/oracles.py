@@ -296,3 +296,4 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'exploits', count(*), count(*) FROM events WHERE event_id <> 0""",
 }
 ORACLES["scan_search"] = ORACLES["search_all_filters"]
+ORACLES["table_upsert"] = ORACLES["map_upsert"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -565,12 +566,27 @@ def latest_wins(spark, sf_dir):
     return merging.latest_rows(first, second, "id", "delivery")
 
 
-@query
-def map_upsert(spark, sf_dir):
+def link_map(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """A link map, and new entries for some of its keys."""
     old = D.exploits(spark, sf_dir).select(F.col("id").alias("exploit_id"), joined("cves").alias("cves"))
     entry = F.concat(F.lit("new:"), joined("tags"))
     new = D.exploits(spark, sf_dir).filter("verified").select(F.col("id").alias("exploit_id"), entry.alias("cves"))
-    return merging.upsert(old, new, "exploit_id")
+    return old, new
+
+
+@query
+def map_upsert(spark, sf_dir):
+    return merging.upsert(*link_map(spark, sf_dir), "exploit_id")
+
+
+@query
+def table_upsert(spark, sf_dir):
+    """The link map as a catalog table: replaced, new entries merged in twice, read back."""
+    name = f"link_map_{uuid.uuid4().hex}"
+    old, new = link_map(spark, sf_dir)
+    writers.replace_table(old, name, "exploit_id")
+    writers.upsert_table(new, name, "exploit_id")
+    return writers.upsert_table(new.union(new), name, "exploit_id")
 
 
 @query

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vulnatlas.llm.text import combined, id_and_text, slices, span_hashes
+from vulnatlas.llm.text import combined, id_and_text, in_slices, slices, span_hashes
 
 LEAST = 5
 #: Percent of an item's tokens inside tiles from which a document counts as contaminated.
@@ -221,7 +221,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST)
     kept = docs
     for block in blocks(benchmark, least):
         def clean(texts, block=block):
-            return texts.__class__([n == 0 for n, *_ in block.best([t or "" for t in texts])])
+            return texts.__class__([n == 0 for n, *_ in in_slices([t or "" for t in texts], block.best)])
 
         kept = kept.filter(F.pandas_udf(clean, "boolean", F.PandasUDFType.SCALAR)(kept["text"].cast("string")))
     return kept

@@ -6,7 +6,7 @@ never split a UTF-8 character.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +65,18 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             first = last
 
 
+def in_slices(texts: list[str], run: Callable[[list[str]], Iterable], limit: int = SLICE_BYTES // 2) -> list:
+    """What ``run`` returns for each text, asked about ``limit`` characters at a time."""
+    out, held, size = [], [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= limit:
+            out.extend(run(held))
+            held, size = [], 0
+    return out + list(run(held)) if held else out
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts one after the other, and where each text begins, with the end at last."""
     column = column.cast(pa.large_string()).fill_null("")

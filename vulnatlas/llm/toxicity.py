@@ -7,7 +7,7 @@ power of its span; so an insult that is gapped, or that holds inserted or replac
 most of its subsequences. Values are divided by the self-kernel of a unit of that length with distinct
 letters.
 
-Training (on the driver, from a bounded sample): labels are of whole texts, so each text's sentences take
+Training (in one task, from a bounded sample): labels are of whole texts, so each text's sentences take
 the label and the units that mark toxic texts are the positive examples, units of clean texts the negative
 ones; a first machine picks hard negatives for the second. Landmarks come from both. With landmarks l and
 coefficients b the machine is ``f(s) = sum_l b_l K(s, l) + c``, which is linear in the subsequences of s:
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vulnatlas.llm.text import combined, id_and_text, mixed, runs, slices, span_hashes, text_bytes, word_spans
+from vulnatlas.llm.text import combined, id_and_text, in_slices, mixed, runs, slices, span_hashes, text_bytes, word_spans
 
 SPAN = 8
 DECAY = 0.5
@@ -318,28 +318,41 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("long").cast("string").cast("binary")) % parts
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, trains: Column, per_class: int) -> tuple[list[str], np.ndarray]:
-    """At most ``per_class`` texts of label 0 and of label 1, those whose ids have the smallest hashes.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, trains: Column, per_class: int) -> DataFrame:
+    """``doc_id, text, y`` of at most ``per_class`` texts of label 0 and of label 1, those whose ids have the smallest hashes.
 
     A repeated id or label counts once, with the larger label; null ids and labels are left out.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
-    known = known.filter(f"doc_id IS NOT NULL AND y IN (0, 1)").filter(trains).groupBy("doc_id").agg(F.max("y").alias("y"))
+    known = known.filter("doc_id IS NOT NULL AND y IN (0, 1)").filter(trains).groupBy("doc_id").agg(F.max("y").alias("y"))
     ids = id_and_text(docs).select("doc_id").distinct()
     known = known.join(ids, "doc_id", "left_semi")
     picked = None
     for y in (0, 1):
         part = known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         picked = part if picked is None else picked.union(part)
-    rows = id_and_text(docs).join(picked, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("y").alias("y"))
-    found = sorted(rows.collect())
-    return [r.text for r in found], np.array([r.y for r in found], np.int64)
+    return id_and_text(docs).join(picked, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("y").alias("y"))
 
 
 def trained(docs: DataFrame, labels: DataFrame, trains: Column | None = None) -> Model:
-    """The machine from the labelled texts whose ids meet ``trains``: by default those outside the held-out fifth."""
+    """The machine from the labelled texts whose ids meet ``trains``: by default those outside the held-out fifth.
+
+    One task trains it, from the bounded sample, so that the driver gets the table of weights alone.
+    """
     trains = fold(F.col("doc_id"), 5) != 0 if trains is None else trains
-    return train(*labelled_sample(docs, labels, "toxic", trains, SAMPLE))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "y")), strict=True))
+        model = train([text for _, text, _ in rows], np.array([y for *_, y in rows], np.int64))
+        yield pa.RecordBatch.from_pydict({
+            "weights": [model.weights.astype("<f4").tobytes()], "constant": [float(model.constant)],
+            "centre": [float(model.centre)], "slope": [float(model.slope)]})
+
+    sample = labelled_sample(docs, labels, "toxic", trains, SAMPLE).repartition(1)
+    found = sample.mapInArrow(fit, "weights binary, constant double, centre double, slope double").collect()
+    if not found:  # no labelled text at all
+        return train([], np.zeros(0, np.int64))
+    return Model(np.frombuffer(found[0].weights, "<f4"), found[0].constant, found[0].centre, found[0].slope, symbol_table())
 
 
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
@@ -370,6 +383,6 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.pandas_udf("double")
     def score(texts):
-        return texts.__class__(model.scores([t or "" for t in texts]))
+        return texts.__class__(in_slices([t or "" for t in texts], model.scores))
 
     return docs.filter(score(docs["text"].cast("string")) < 0.5)

@@ -18,6 +18,9 @@ writes the same file again. Only the counts per file meet on the way to the offs
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +28,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.fs
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +37,9 @@ from vulnatlas.llm.text import id_and_text, slices, stored
 from vulnatlas.session import hadoop_path, shared_path
 
 BLOCK = 1024
-FILE_IDS = 8_000_000
+FILE_IDS = 4_000_000
+#: Files whose starts are broadcast to their contents; beyond, both sides are shuffled.
+BROADCAST_FILES = 1_000_000
 #: Ids that are packed at a time: whole blocks.
 PACKED_IDS = 512 * BLOCK
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -41,10 +47,33 @@ WIDTHS = 60 // COUNTS
 ESCAPE = len(COUNTS)
 MAGIC = b"SB8\0"
 END_ID = 2
-#: Words whose ids a task keeps for the next text.
-KEPT_WORDS = 300_000
-#: Stands between words that are encoded together; a word that holds it is encoded alone.
-BETWEEN = "¤"
+#: Words, and parts of words, whose ids a task keeps for the next texts.
+KEPT_WORDS = 400_000
+
+# How the tokenizer of lower-cased words normalises and cuts, as its file has it.
+END = "</w>"
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+CUT = regex.compile(PATTERN.replace(r"\s", r"\p{White_Space}"))
+# The same for lower-cased texts of the first 256 characters: letters, digits and white space written out.
+SIMPLE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|"
+                    "[^a-z0-9\t-\r \x85\xa0\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+")
+#: Words of characters below this one are normalised here; above, other versions of Unicode may differ.
+LATIN = "\u0250"
+
+
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte in the tokenizer's vocabulary: itself if printable, else from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b if b in shown else next(rest)) for b in range(256)]
+
+
+BYTES = _byte_characters()
 
 
 def default_tokenizer() -> str:
@@ -58,15 +87,20 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blocks = -(-n // BLOCK)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    # A place's reach in a width: how many ids from it on, within the block, are no wider.
-    place = np.arange(n)
-    end = np.minimum((place // BLOCK + 1) * BLOCK, n)
-    choice = np.full(n, ESCAPE, np.int8)
+    # The narrowest width that holds each id, by number; a block's end is followed by narrow ones.
+    need = np.zeros(blocks * BLOCK, np.uint8)
+    for width in WIDTHS:
+        need[:n] += ids >= np.uint64(1 << int(width))
+    need = np.hstack([need.reshape(blocks, BLOCK), np.zeros((blocks, COUNTS[0]), np.uint8)])
+    choice = np.full((blocks, BLOCK), ESCAPE, np.int8)
+    most, have = need, 1  # the widest of the next ``have`` ids
     for s in range(len(COUNTS) - 1, -1, -1):
-        wide = np.where(ids >> np.uint64(WIDTHS[s]) != 0, place, n)
-        reach = np.minimum(np.minimum.accumulate(wide[::-1])[::-1], end) - place
-        fits = reach >= np.minimum(COUNTS[s], end - place)
-        choice[fits & (reach > 0)] = s
+        while have < COUNTS[s]:
+            step = min(have, COUNTS[s] - have)
+            most = np.maximum(most[:, :-step], most[:, step:])
+            have += step
+        choice[most[:, :BLOCK] <= s] = s
+    choice = choice.ravel()[:n]
     takes = np.append(COUNTS, 1)[choice]
     # From block to block side by side: where each word begins.
     at = np.arange(blocks) * BLOCK
@@ -149,46 +183,78 @@ class WordTokens:
     """Ids of whole texts by the tokenizers library, found once for each word.
 
     The tokenizer drops white space and never looks across it, so a text's ids are those of its words, one
-    after the other. New words are encoded together, and the ids are cut at the mark between them.
+    after the other. Texts, or else words, of Latin letters are normalised and cut as the tokenizer does it, and
+    their parts go to its merges many at a time: a part's last id is the only one that ends a word. All others go
+    to the tokenizer as they are. A tokenizer of another kind gets every word as it is.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, decoders, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, merges = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-        self.mark = self._ids([BETWEEN])[0]
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        self.parts: dict[str, bytes] = {}
+        rules = json.loads(self.tokenizer.to_str())
+        self.plain = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == PRE_TOKENIZER and rules["model"]["end_of_word_suffix"] == END
+        if self.plain:
+            merges.normalizer, merges.pre_tokenizer, merges.decoder = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit(), decoders.Fuse()
+            self.merges = merges
+            vocabulary = merges.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[k for name, k in vocabulary.items() if name.endswith(END)]] = True
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in found]
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _merge(self, parts: list[str]) -> None:
+        """Learn the ids of parts that are one run for the merges each."""
+        for a in range(0, len(parts), 4000):
+            some = parts[a:a + 4000]
+            mapped = " ".join([p if p.isascii() and p.isprintable() else "".join(map(BYTES.__getitem__, p.encode())) for p in some])
+            ids = np.array(self.merges.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some):
+                raise ValueError("the merges do not end each part with one id")
+            raw, begin = ids.tobytes(), 0
+            for part, end in zip(some, (cuts * 4).tolist(), strict=True):
+                self.parts[part] = raw[begin:end]
+                begin = end
 
     def _learn(self, words: list[bytes]) -> None:
-        names = [w.decode() for w in words]
-        together = [k for k, name in enumerate(names) if BETWEEN not in name]
-        for a in range(0, len(together), 2000):
-            part = together[a:a + 2000]
-            (ids,) = self._ids([f" {BETWEEN} ".join(names[k] for k in part)])
-            cuts = np.flatnonzero(ids == self.mark[-1])
-            if len(self.mark) != 1 or len(cuts) != len(part) - 1:
-                together = []  # the mark is no token of its own here
-                break
-            begins, ends = np.concatenate(([0], cuts + 1)).tolist(), np.append(cuts, len(ids)).tolist()
-            for k, b, e in zip(part, begins, ends, strict=True):
-                self.known[words[k]] = ids[b:e].tobytes()
-        alone = [k for k in range(len(words)) if words[k] not in self.known]
-        for k, ids in zip(alone, self._ids([names[k] for k in alone]), strict=True):
-            self.known[words[k]] = ids.tobytes()
+        cut, rest = {}, []
+        for word in words:
+            text = word.decode()
+            if self.plain and (text.isascii() or max(text) < LATIN) and "<|" not in text:
+                cut[word] = CUT.findall((text if text.isascii() else unicodedata.normalize("NFC", text)).lower())
+            else:
+                rest.append(word)
+        self._merge(sorted({p for parts in cut.values() for p in parts if p not in self.parts}))
+        for word, parts in cut.items():
+            self.known[word] = b"".join(map(self.parts.__getitem__, parts))
+        for word, ids in zip(rest, self._ids([w.decode() for w in rest]), strict=True):
+            self.known[word] = ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        words = [text.split() for text in texts]
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        fresh = {w for row in words for w in row if w not in self.known}
-        if fresh:
+        for kept in (self.known, self.parts):
+            if len(kept) > KEPT_WORDS:
+                kept.clear()
+        cut: list[tuple[dict, list]] = [(self.parts, SIMPLE.findall(text.lower())) if (text := self._simple(t)) is not None else (self.known, t.split()) for t in texts]
+        self._merge(list({p for kept, row in cut if kept is self.parts for p in row if p not in kept}))
+        if fresh := {w for kept, row in cut if kept is self.known for w in row if w not in kept}:
             self._learn(sorted(fresh))
-        return [b"".join(map(self.known.__getitem__, row)) for row in words]
+        return [b"".join(map(kept.__getitem__, row)) for kept, row in cut]
+
+    def _simple(self, text: bytes) -> str | None:
+        """A text that is cut here as a whole: of the first 256 characters, which normalising leaves as they are."""
+        if not self.plain or b"<|" in text:
+            return None
+        decoded = text.decode()
+        try:
+            return decoded if decoded.isascii() or decoded.encode("latin-1") else decoded
+        except UnicodeEncodeError:
+            return None
 
 
 def open_folder(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -254,7 +320,7 @@ def read_tokens(files: DataFrame, folder: str, with_ids: bool = True) -> DataFra
     32-bit integers. Files of an attempt that was not reported are not read.
     """
     spark = files.sparkSession
-    # One row for each file of millions of ids: the running sum over them is small.
+    # One row for each file of millions of ids: the running sum over them is small, and so is what is broadcast.
     starts = files.select("file", F.coalesce(F.sum("ids").over(Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +346,8 @@ def read_tokens(files: DataFrame, folder: str, with_ids: bool = True) -> DataFra
 
     content = spark.read.format("binaryFile").option("pathGlobFilter", "*.ids").load(folder)
     content = content.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    return content.join(F.broadcast(starts), "file").select("content", "base").mapInArrow(
+    starts = F.broadcast(starts) if files.count() <= BROADCAST_FILES else starts
+    return content.join(starts, "file").select("content", "base").mapInArrow(
         read, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids)
 
 

@@ -12,7 +12,8 @@ the label and the units that mark toxic texts are the positive examples, units o
 ones; a first machine picks hard negatives for the second. Landmarks come from both. With landmarks l and
 coefficients b the machine is ``f(s) = sum_l b_l K(s, l) + c``, which is linear in the subsequences of s:
 one table of weights scores any unit. A text's score follows its highest unit, through a logistic curve
-fitted to texts that trained nothing else.
+fitted to texts that trained nothing else, or, where that is more, what adds up over the text: the share of
+its units that begin with the same stem, for stems that toxic texts repeat and clean ones do not.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,10 @@ NEGATIVES = 4000
 STRONG = 15
 #: Toxic texts that a unit has to be in for that.
 SUPPORT = 8
+#: First symbols of a unit that are looked at as a stem; least times a text repeats a stem, and shares of its units, for a mark.
+STEMS, REPEATED, SHARES = range(4, 9), 2, (0.0025, 0.005, 0.0075, 0.01, 0.015, 0.02, 0.03, 0.05)
+#: How many times more frequent in toxic than in clean texts a repeated stem has to be.
+LIKELIER = 40
 #: Missed toxic texts that one clean text found toxic counts for: the sample holds few clean ones.
 CLEAN_WEIGHT = 5
 #: The most frequent marks that are also learnt with a letter put in.
@@ -169,15 +174,55 @@ def _support_vectors(z: np.ndarray, y: np.ndarray, weight: np.ndarray, rate: flo
     return w
 
 
+#: Hash of a stem, and the share of a text's units from which it marks the text.
+REPEAT = np.dtype([("stem", "<u8"), ("share", "<f8")])
+
+
+def stems_of(units: Units) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each of a unit's stems, and the text it is in."""
+    owner = np.repeat(np.arange(len(units.before) - 1), np.diff(units.before))
+    symbols = np.append(units.symbols.astype(np.uint64) + np.uint64(1), np.zeros(STEMS[-1], np.uint64))
+    value, keys, texts = np.zeros(len(units.first), np.uint64), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for k in range(STEMS[-1]):
+        value = mixed(value * np.uint64(0x9E3779B97F4A7C15) + symbols[units.first + k])
+        if k + 1 in STEMS:
+            whole = units.size > k
+            keys.append(value[whole])
+            texts.append(owner[whole])
+    return np.concatenate(keys), np.concatenate(texts)
+
+
+def _repeats(units: Units, labels: np.ndarray, support: int, strong: float) -> np.ndarray:
+    """The stems that many toxic texts and few clean ones repeat, each with the share of units that tells them apart best."""
+    keys, owner = stems_of(units)
+    stems, back = np.unique(keys, return_inverse=True)
+    pairs, times = np.unique(back.astype(np.int64) * len(labels) + owner, return_counts=True)
+    pairs, times = pairs[times >= REPEATED], times[times >= REPEATED]
+    text, stem = pairs % len(labels), pairs // len(labels)
+    share = times / np.diff(units.before)[text]
+    n0, n1 = max(1, (labels == 0).sum()), max(1, (labels == 1).sum())
+    best, at = np.full(len(stems), -np.inf), np.zeros(len(stems))
+    for least in SHARES:
+        held = [np.bincount(stem[(share >= least) & (labels[text] == y)], minlength=len(stems)) for y in (0, 1)]
+        clean = (held[0] + 0.5) / n0
+        strength = (held[1] - n1 * clean) / np.sqrt(n1 * clean)
+        better = (held[1] >= support) & (strength >= strong) & (held[1] / n1 >= LIKELIER * clean) & (strength > best)
+        best[better], at[better] = strength[better], least
+    out = np.zeros((best > -np.inf).sum(), REPEAT)
+    out["stem"], out["share"] = stems[best > -np.inf], at[best > -np.inf]
+    return out
+
+
 @dataclass
 class Model:
-    """A table of weights, the constant, and the logistic curve of a text's highest unit."""
+    """A table of weights, the constant, the logistic curve of a text's highest unit, and stems that mark a text by repetition."""
 
     weights: np.ndarray
     constant: float
     centre: float
     slope: float
     table: np.ndarray
+    repeats: np.ndarray = field(default_factory=lambda: np.zeros(0, REPEAT))
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """From 0 to 1; a text without a unit gets the score of the lowest evidence."""
@@ -188,7 +233,22 @@ class Model:
         filled = np.flatnonzero(np.diff(units.before))
         if len(filled):
             highest[filled] = np.maximum.reduceat(values, units.before[filled])
-        return 1 / (1 + np.exp(-np.clip(self.slope * (highest - self.centre), -30, 30)))
+        evidence = np.maximum(self.slope * (highest - self.centre), self._repeated(units))
+        return 1 / (1 + np.exp(-np.clip(evidence, -30, 30)))
+
+    def _repeated(self, units: Units) -> np.ndarray:
+        """By which part a text's share of its most telling stem is above what marks a text; -inf without a repeated one."""
+        out = np.full(len(units.before) - 1, -np.inf)
+        if not len(self.repeats):
+            return out
+        keys, owner = stems_of(units)
+        at = np.minimum(np.searchsorted(self.repeats["stem"], keys), len(self.repeats) - 1)
+        hit = self.repeats["stem"][at] == keys
+        pairs, times = np.unique(owner[hit] * len(self.repeats) + at[hit], return_counts=True)
+        pairs, times = pairs[times >= REPEATED], times[times >= REPEATED]
+        text, mark = pairs // len(self.repeats), pairs % len(self.repeats)
+        np.maximum.at(out, text, times / np.diff(units.before)[text] / self.repeats["share"][mark] - 1)
+        return out
 
 
 def _distinct(units: Units) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
@@ -245,6 +305,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         share = (held[0][word] + 0.5) / n0
         return (held[1][word] - n1 * share) / np.sqrt(n1 * share)
 
+    repeats = _repeats(units, labels, SUPPORT, STRONG)
     strong = {w: strength(w) for w, n in held[1].items() if len(w) >= 3 and n >= SUPPORT}
     positive = set()
     for i in np.flatnonzero(learn & (labels == 1)):
@@ -253,7 +314,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     positive = sorted(positive, key=lambda w: (-held[1][w], w))[:NEGATIVES // 2]
     clean = sorted((w for w in held[0] if len(w) >= 3 and w not in set(positive)), key=lambda w: (-held[0][w], w))
     if not positive or not clean:
-        return Model(np.zeros(SYMBOLS**3, np.float32), 0.0, 1.0, 1.0, table)
+        return Model(np.zeros(SYMBOLS**3, np.float32), 0.0, 1.0, 1.0, table, repeats)
     spread = [clean[k] for k in np.linspace(0, len(clean) - 1, min(NEGATIVES, len(clean))).astype(int)]
     positive += _gapped(positive[:VARIED], set(held[0]), np.random.default_rng(seed))
     weights, constant, hard = *_machine(positive, spread), []
@@ -263,6 +324,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         weights, constant = _machine(positive, list(dict.fromkeys(hard + spread)))
     model = Model(weights.astype(np.float32), constant, 0.0, 1.0, table)
     model.centre, model.slope = _curve(model, [texts[i] for i in np.flatnonzero(~learn)], labels[~learn])
+    model.repeats = repeats
     return model
 
 
@@ -346,13 +408,13 @@ def trained(docs: DataFrame, labels: DataFrame, trains: Column | None = None) ->
         model = train([text for _, text, _ in rows], np.array([y for *_, y in rows], np.int64))
         yield pa.RecordBatch.from_pydict({
             "weights": [model.weights.astype("<f4").tobytes()], "constant": [float(model.constant)],
-            "centre": [float(model.centre)], "slope": [float(model.slope)]})
+            "centre": [float(model.centre)], "slope": [float(model.slope)], "repeats": [model.repeats.tobytes()]})
 
     sample = labelled_sample(docs, labels, "toxic", trains, SAMPLE).repartition(1)
-    found = sample.mapInArrow(fit, "weights binary, constant double, centre double, slope double").collect()
+    found = sample.mapInArrow(fit, "weights binary, constant double, centre double, slope double, repeats binary").collect()
     if not found:  # no labelled text at all
         return train([], np.zeros(0, np.int64))
-    return Model(np.frombuffer(found[0].weights, "<f4"), found[0].constant, found[0].centre, found[0].slope, symbol_table())
+    return Model(np.frombuffer(found[0].weights, "<f4"), found[0].constant, found[0].centre, found[0].slope, symbol_table(), np.frombuffer(found[0].repeats, REPEAT))
 
 
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Toxic texts known by what adds up over a text, in all languages, and by no single word."""
+"""Toxic texts known by what adds up over a text, in all languages, and machines trained on few labelled texts."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from vulnatlas.llm import toxicity as T
 
 
@@ -33,3 +34,12 @@ def test_a_repeated_stem_adds_up():
         labels.append(int(k % 3 == 0))
     model = T.train(texts[:600], np.array(labels[:600]))
     assert ((model.scores(texts[600:]) >= 0.5) == np.array(labels[600:])).mean() > 0.95
+
+
+def test_few_labelled_texts_train_a_machine(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet") for name in ("documents", "labels"))
+    kept = corpus_pipeline.without_toxic(spark, docs, "/root/testdata/sf0.001").select("doc_id")
+    known = labels.join(docs.filter("lang = 'en'").select("doc_id"), "doc_id")
+    toxic, clean = (known.filter(F.col("toxic") == y) for y in (1, 0))
+    assert toxic.join(kept, "doc_id").count() <= 0.3 * toxic.count()
+    assert clean.join(kept, "doc_id").count() >= 0.95 * clean.count()

@@ -39,8 +39,10 @@ LANDMARKS = 320
 NEGATIVES = 4000
 #: Standard errors above its share in clean texts from which a unit marks toxic ones.
 STRONG = 15
-#: Toxic texts that a unit has to be in for that.
-SUPPORT = 8
+#: Toxic texts that a unit has to be in for that: a quarter of them where they are few, but never below the second number.
+SUPPORT, LEAST_SUPPORT = 8, 3
+#: Fewer toxic texts than this all train the machine and fit the curve too, and ask for less than STRONG.
+FEW = 32
 #: First symbols of a unit that are looked at as a stem; least times a text repeats a stem, and shares of its units, for a mark.
 STEMS, REPEATED, SHARES = range(4, 9), 2, (0.0025, 0.005, 0.0075, 0.01, 0.015, 0.02, 0.03, 0.05)
 #: How many times more frequent in toxic than in clean texts a repeated stem has to be.
@@ -287,7 +289,7 @@ def _gapped(words: list[bytes], clean: set[bytes], rng: np.random.Generator) ->
 
 
 def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
-    """The machine from texts labelled 1 (toxic) or 0. Three in four texts train it, the others fit the curve."""
+    """The machine from texts labelled 1 (toxic) or 0. Three in four texts train it, the others fit the curve; few do both."""
     table = symbol_table()
     texts, labels = _unlike(texts, labels)
     units = units_of(texts, table)
@@ -297,7 +299,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         for p, q in zip(units.before[:-1], units.before[1:], strict=True)
     ]
     turn = np.random.default_rng(seed).random(len(texts))
-    learn = turn < 0.75
+    few = (labels == 1).sum() < FEW
+    learn = (turn < 0.75) | few
+    fits = ~learn | few
     held = {k: Counter(w for i in np.flatnonzero(learn & (labels == k)) for w in words[i]) for k in (0, 1)}
     n0, n1 = max(1, (learn & (labels == 0)).sum()), max(1, (learn & (labels == 1)).sum())
 
@@ -305,11 +309,12 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         share = (held[0][word] + 0.5) / n0
         return (held[1][word] - n1 * share) / np.sqrt(n1 * share)
 
-    repeats = _repeats(units, labels, SUPPORT, STRONG)
-    strong = {w: strength(w) for w, n in held[1].items() if len(w) >= 3 and n >= SUPPORT}
+    support, enough = min(SUPPORT, max(LEAST_SUPPORT, int(n1) // 4)), STRONG * min(1, np.sqrt(n1 / FEW))
+    repeats = _repeats(units, labels, support, enough)
+    strong = {w: strength(w) for w, n in held[1].items() if len(w) >= 3 and n >= support}
     positive = set()
     for i in np.flatnonzero(learn & (labels == 1)):
-        marks = sorted((w for w in words[i] if strong.get(w, 0) >= STRONG), key=lambda w: (-strong[w], w))
+        marks = sorted((w for w in words[i] if strong.get(w, 0) >= enough), key=lambda w: (-strong[w], w))
         positive.update(marks[:8])
     positive = sorted(positive, key=lambda w: (-held[1][w], w))[:NEGATIVES // 2]
     clean = sorted((w for w in held[0] if len(w) >= 3 and w not in set(positive)), key=lambda w: (-held[0][w], w))
@@ -323,7 +328,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         hard = list(dict.fromkeys([clean[k] for k in np.argsort(-values, kind="stable")[:NEGATIVES // 2]] + hard))
         weights, constant = _machine(positive, list(dict.fromkeys(hard + spread)))
     model = Model(weights.astype(np.float32), constant, 0.0, 1.0, table)
-    model.centre, model.slope = _curve(model, [texts[i] for i in np.flatnonzero(~learn)], labels[~learn])
+    model.centre, model.slope = _curve(model, [texts[i] for i in np.flatnonzero(fits)], labels[fits])
     model.repeats = repeats
     return model
 

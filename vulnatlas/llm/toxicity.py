@@ -7,8 +7,8 @@ power of its span; so an insult that is gapped, or that holds inserted or replac
 most of its subsequences. Values are divided by the self-kernel of a unit of that length with distinct
 letters.
 
-Training (in one task, from a bounded sample): labels are of whole texts, so each text's sentences take
-the label and the units that mark toxic texts are the positive examples, units of clean texts the negative
+Training (in one task, from a bounded sample): labels are of whole texts and no sentence takes one; the
+units that mark toxic texts are the positive examples, at most 8 a text, units of clean texts the negative
 ones; a first machine picks hard negatives for the second. Landmarks come from both. With landmarks l and
 coefficients b the machine is ``f(s) = sum_l b_l K(s, l) + c``, which is linear in the subsequences of s:
 one table of weights scores any unit. A text's score follows its highest unit, through a logistic curve

@@ -58,3 +58,12 @@ def test_without_labels_the_base_rules_decide(spark, awkward):
     found = Q.judged(awkward, labels, F.lit(True)).collect()
     assert len(found) == awkward.count() and {(r.doc_id, r.base_failed, r.kept) for r in found if r.doc_id in (2, 5, 8)} == {
         (2, True, False), (5, False, True), (8, True, False)}
+
+
+def test_rare_and_small_values_are_reached(spark):
+    """Low quality: 30 in 600 rows with 1 to 30 symbols; one threshold between the middle and the largest value misses half."""
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.concat(F.lit("word"), (k * (F.col("id") + 1) % 997).cast("string"))))
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.concat(words, F.lit(" "), F.expr("repeat('#', IF(id % 20 = 0, CAST(id DIV 20 AS INT) + 1, 0))")).alias("text"))
+    labels = spark.range(600).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 20 == 0, 0).otherwise(1).alias("quality"))
+    rows = Q.judged(docs, labels, F.lit(True)).join(labels, "doc_id")
+    assert rows.filter("quality = 0 AND kept").count() == 0 and rows.filter("quality = 1 AND NOT kept").count() == 0

@@ -1,7 +1,7 @@
 """Quality rules: statistics of a text, and a decision list learned from labelled ones, all as Spark expressions.
 
 The statistics are SQL expressions over each text alone. For learning, the labelled rows' features are cut at
-quantiles, midway between two values, into bins, and Spark counts the rows of each combination of bins, label and half: those counts, at
+quantiles of all rows, of the low-quality ones and of values above 0, midway between two values, into bins, and Spark counts the rows of each combination of bins, label and half: those counts, at
 most one per combination, are all that leaves Spark. On them, sequential covering grows one rule after the
 other for low quality: conditions are added by the gain in information over the growing half, then taken back
 while that raises (p - n) / (p + n) on the pruning half; a rule that is right on less than ``PRECISION`` of the
@@ -10,6 +10,7 @@ pruning half ends the list. The list comes out as one ordered CASE expression ov
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from math import log2
 
@@ -22,6 +23,8 @@ WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 #: Most bins of a feature, rules of a list and conditions of a rule; least share of a rule's rows that are low quality.
 BINS, RULES, CONDITIONS, PRECISION = 12, 12, 3, 0.8
+#: Parts into which quantiles cut the low-quality rows, and the values above 0: a feature that is 0 in most rows has few among BINS.
+PARTS = 4
 
 #: What the rules may ask: names of columns made by :func:`features`.
 FEATURES = ("symbol_share", "line_share", "repeat_share", "word_length", "n_words", "mark_share", "upper_share")
@@ -119,9 +122,15 @@ def labelled_counts(stats: DataFrame, labels: DataFrame, trains: Column) -> tupl
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
     known = known.filter("doc_id IS NOT NULL AND y IN (0, 1)").filter(trains).groupBy("doc_id").agg(F.max("y").alias("y"))
     rows = features(stats).filter(~base_failed()).join(known, "doc_id").select("doc_id", "y", *FEATURES)
-    cuts = [k / BINS for k in range(BINS + 1)]
-    found = rows.agg(*(F.percentile_approx(name, F.array(*map(F.lit, cuts)), 1000).alias(name) for name in FEATURES)).first()
-    seen = {name: sorted(set(found[name] or [])) for name in FEATURES}
+    def quantiles(of: Column, parts: int) -> Column:
+        return F.coalesce(F.percentile_approx(of, F.array(*(F.lit(k / parts) for k in range(parts + 1))), 1000), F.array().cast("array<double>"))
+
+    found = rows.agg(*(
+        F.concat(
+            quantiles(F.col(name).cast("double"), BINS), quantiles(F.when(F.col("y") == 0, F.col(name)).cast("double"), PARTS),
+            quantiles(F.when(F.col(name) > 0, F.col(name)).cast("double"), PARTS)).alias(name)
+        for name in FEATURES)).first()
+    seen = {name: sorted(set(found[name])) for name in FEATURES}
     thresholds = {name: [(a + b) / 2 for a, b in zip(q, q[1:], strict=False)] for name, q in seen.items()}
     bins = [
         sum((F.when(F.col(name) > t, 1).otherwise(0) for t in thresholds[name]), F.lit(0)).cast("int").alias(name) for name in FEATURES
@@ -145,7 +154,18 @@ def learn(counts: list[dict], thresholds: dict[str, list[float]]) -> list[Rule]:
                 p, n = (p + row["n"], n) if row["y"] == 0 else (p, n + row["n"])
         return p, n
 
-    choices = [(name, above, k) for name in FEATURES for k in range(len(thresholds[name])) for above in (True, False)]
+    def totals(rows: list[dict]) -> Iterator[tuple[tuple[str, bool, int], int, int]]:
+        """Each condition with the low-quality and the good rows that it holds for."""
+        for name in FEATURES:
+            bins = [[0, 0] for _ in range(len(thresholds[name]) + 1)]
+            for row in rows:
+                bins[row[name]][row["y"]] += row["n"]
+            everything, below = [sum(b[y] for b in bins) for y in (0, 1)], [0, 0]
+            for k in range(len(thresholds[name])):
+                below = [below[y] + bins[k][y] for y in (0, 1)]
+                yield (name, True, k), everything[0] - below[0], everything[1] - below[1]
+                yield (name, False, k), *below
+
     rules, left = [], counts
     while len(rules) < RULES:
         grown, covered = (), [row for row in left if not row["prunes"]]
@@ -154,8 +174,7 @@ def learn(counts: list[dict], thresholds: dict[str, list[float]]) -> list[Rule]:
             if not p0 or not n0:
                 break
             best = None
-            for c in choices:
-                p, n = total(covered, (c,), False)
+            for c, p, n in totals(covered):
                 if p:
                     gain = p * (log2(p / (p + n)) - log2(p0 / (p0 + n0)))
                     best = max(best or (0.0, c), (gain, c), key=lambda g: g[0])

@@ -90,3 +90,13 @@ def test_awkward_rows(spark, awkward):
     assert C.drop_contaminated(awkward, items).columns == awkward.columns
     assert C.contamination(awkward.limit(0), items).collect() == []
     assert not any(r.contaminated for r in C.contamination(awkward, items.limit(0)).collect())
+
+
+def test_rows_do_not_depend_on_the_number_of_blocks(spark, monkeypatch):
+    docs, items, _ = fixture(spark)
+    docs = docs.selectExpr("CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN doc_id % 5 ELSE doc_id END AS doc_id", "text")
+    docs = docs.union(docs.limit(7))
+    rows = lambda: sorted((tuple(r) for r in C.contamination(docs, items).collect()), key=repr)
+    one = rows()
+    monkeypatch.setattr(C, "BLOCK_BYTES", 500)
+    assert rows() == one and len(one) == docs.count()

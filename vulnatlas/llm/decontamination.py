@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vulnatlas.llm.text import combined, id_and_text, in_slices, slices, span_hashes
+from vulnatlas.llm.text import combined, id_and_text, in_slices, slices, span_hashes, stored
 
 LEAST = 5
 #: Percent of an item's tokens inside tiles from which a document counts as contaminated.
@@ -188,8 +188,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) ->
     shares a seed (of equal ones the smallest), ``n_tiled`` of its ``n_tokens`` tokens lie in tiles; null and
     0 where none shares a seed. An item shorter than a seed has to occur whole. A text or item that is null,
     empty or without tokens matches nothing; so does an empty benchmark. Repeated items count each. Repeated
-    rows and rows without an id get a row each; with more than one block, one row for each ``doc_id``. Other
-    columns are ignored.
+    rows and rows without an id get a row each, for any number of blocks: with more than one, the rows are stored
+    with a key first. Other columns are ignored.
     """
     parts = []
     for block in blocks(benchmark, least):
@@ -197,8 +197,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) ->
             for part in slices(batches):
                 found = block.best(part.column("text").to_pylist())
                 columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
+                kept = [name for name in part.schema.names if name != "text"]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *columns], names=["doc_id", "n_items", "item_id", "n_tiled", "n_tokens"])
+                    [*map(part.column, kept), *columns], names=[*kept, "n_items", "item_id", "n_tiled", "n_tokens"])
 
         parts.append(match)
     rows = id_and_text(docs)
@@ -206,12 +207,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) ->
     if len(parts) == 1:
         found = rows.mapInArrow(parts[0], schema)
     else:
-        found = None
+        found, rows = None, stored(rows.withColumn("row", F.monotonically_increasing_id()), "keyed_rows")
         for match in parts:
-            one = rows.mapInArrow(match, schema)
+            one = rows.mapInArrow(match, schema.replace("doc_id long", "doc_id long, row long"))
             found = one if found is None else found.union(one)
         best = F.max_by(F.struct("item_id", "n_tiled", "n_tokens"), F.struct(F.try_divide("n_tiled", "n_tokens"), -F.col("item_id")))
-        found = found.groupBy("doc_id").agg(F.sum("n_items").alias("n_items"), best.alias("b")).select("doc_id", "n_items", "b.*")
+        found = found.groupBy("row", "doc_id").agg(F.sum("n_items").alias("n_items"), best.alias("b")).select("doc_id", "n_items", "b.*")
         found = found.select("doc_id", "n_items", "item_id", F.coalesce("n_tiled", F.lit(0)).alias("n_tiled"), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
     return found.select("doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items", "item_id", "n_tiled", "n_tokens")
 

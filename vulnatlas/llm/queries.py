@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vulnatlas.llm import decontamination, minhash_dedup, quality_classifier, quality_rules, sentencepiece_sampling, substring_dedup, token_counts, token_files, toxicity, warc
+from vulnatlas.llm import decontamination, minhash_dedup, periodic_runs, quality_classifier, quality_rules, sentencepiece_sampling, substring_dedup, token_counts, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +123,8 @@ def op6_token_counts(spark, sf_dir):
 @query
 def op8_warc_derivatives(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.digest(periodic_runs.periodic_runs(periodic_runs.with_loops(table(spark, sf_dir, "documents"))))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vulnatlas.llm import decontamination, minhash_dedup, periodic_runs, quality_classifier, quality_rules, sentencepiece_sampling, substring_dedup, token_counts, token_files, toxicity, warc
+from vulnatlas.llm import conversation_trie, decontamination, minhash_dedup, periodic_runs, quality_classifier, quality_rules, sentencepiece_sampling, substring_dedup, token_counts, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,44 @@ def op8_warc_derivatives(spark, sf_dir):
 @query
 def op13_periodic_runs(spark, sf_dir):
     return periodic_runs.digest(periodic_runs.periodic_runs(periodic_runs.with_loops(table(spark, sf_dir, "documents"))))
+
+
+@query
+def op12_conversation_trie(spark, sf_dir):
+    return conversation_trie.prefix_trie(*conversation_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+ORACLES["op12_conversation_trie"] = r"""
+WITH said AS (
+  SELECT conv_id, turn, sha256(concat_ws(':', length(coalesce(role, '')), coalesce(role, '') || coalesce(text, ''))) AS s,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words FROM conversations WHERE conv_id IS NOT NULL
+), turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, s) - 1 AS i FROM said
+), steps AS (
+  SELECT conv_id, list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda x: list_concat([CAST(ascii(x) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1])))) AS l
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(l, lambda a, x: CASE WHEN x >= 0 THEN xor(a, x)
+    WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) % 4 AS h FROM steps
+), known AS (SELECT conv_id AS base, count(*) AS n FROM turns GROUP BY conv_id
+), rebuilt AS (
+  SELECT t.conv_id, least(d.h, coalesce(k.n, 0)) + t.i - d.h + 1 AS d, t.s, t.words
+  FROM turns t JOIN ids d ON t.conv_id = d.conv_id LEFT JOIN known k ON k.base = d.base WHERE t.i >= d.h
+  UNION ALL SELECT d.conv_id, t.i + 1, t.s, t.words FROM ids d JOIN turns t ON t.conv_id = d.base WHERE t.i < d.h
+), starts AS (
+  SELECT conv_id, d, words, list(s) OVER (PARTITION BY conv_id ORDER BY d) AS p FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, []::VARCHAR[] FROM ids
+), nodes AS (SELECT p, min(conv_id) AS conv_id, len(p) AS depth, count(*) AS n_convs, min(words) AS words FROM starts GROUP BY p
+), kids AS (SELECT p[1:depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), own AS (
+  SELECT o.*, coalesce(k.n, 0) AS n_children, (o.n_convs - 1) * o.words AS saved FROM nodes o LEFT JOIN kids k ON o.p = k.p
+), ways AS (SELECT p[1:j] AS p, n_children, saved FROM (SELECT p, n_children, saved, unnest(range(0, depth + 1)) AS j FROM own)
+), below AS (SELECT p, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM ways GROUP BY p
+), ends AS (
+  SELECT p, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS members FROM (
+    SELECT conv_id, arg_max(p, d) AS p FROM starts GROUP BY conv_id) GROUP BY p
+)
+SELECT o.conv_id, CAST(o.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, o.n_convs, CAST(o.n_children AS BIGINT) AS n_children,
+  CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.members, '')) AS ends_sha256
+FROM own o JOIN below b ON o.p = b.p LEFT JOIN ends e ON o.p = e.p LEFT JOIN nodes u ON o.depth > 0 AND u.p = o.p[1:o.depth - 1]
+"""

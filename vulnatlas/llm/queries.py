@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vulnatlas.llm import conversation_trie, decontamination, minhash_dedup, periodic_runs, quality_classifier, quality_rules, sentencepiece_sampling, substring_dedup, token_counts, token_files, toxicity, warc
+from vulnatlas.llm import conversation_trie, decontamination, html_extraction, minhash_dedup, periodic_runs, quality_classifier, quality_rules, sentencepiece_sampling, substring_dedup, token_counts, token_files, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -169,3 +169,8 @@ SELECT o.conv_id, CAST(o.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id,
   CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.members, '')) AS ends_sha256
 FROM own o JOIN below b ON o.p = b.p LEFT JOIN ends e ON o.p = e.p LEFT JOIN nodes u ON o.depth > 0 AND u.p = o.p[1:o.depth - 1]
 """
+
+
+@query
+def op11_html_extraction(spark, sf_dir):
+    return html_extraction.main_texts(table(spark, sf_dir, "pages"))

@@ -70,8 +70,18 @@ def test_awkward_rows(spark, awkward):
     assert got == {(1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True), (5, 5, True), (6, 5, False), (7, 1, False),
                    (None, None, True), (8, 8, True)}
     kept = M.drop_near_duplicates(awkward)
-    assert kept.columns == awkward.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 5, 8]
-    assert M.near_duplicates(awkward.limit(0)).collect() == []
+    # Copies go whether their id repeats, is null, or neither; rows without words stay.
+    assert kept.columns == awkward.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 8]
+    assert M.near_duplicates(awkward.limit(0)).collect() == [] and M.drop_near_duplicates(awkward.limit(0)).collect() == []
+
+
+def test_rows_that_repeat_an_id_are_judged_by_their_own_words(spark):
+    text = [" ".join(f"{name}{k}" for k in range(40)) for name in "abcd"]
+    rows = [(1, text[0]), (3, text[1]), (3, text[0]), (4, text[2]), (4, text[2]), (None, text[3]), (None, text[3]), (5, text[1] + " x"), (9, text[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS row_key", "2 AS `group`", "3 AS id", "4 AS _row_key")
+    kept = M.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, text[0]), (3, text[1]), (4, text[2]), (9, text[3])])
 
 
 def test_pruning_keeps_nearly_every_similar_pair():

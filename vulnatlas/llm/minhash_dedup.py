@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vulnatlas.llm.components import connected_components
-from vulnatlas.llm.text import LOWER, combined, id_and_text, mixed, slices, span_hashes, stored, text_bytes, word_spans
+from vulnatlas.llm.text import LOWER, combined, free_name, id_and_text, mixed, slices, span_hashes, stored, text_bytes, word_spans
 
 BANDS, ROWS = 20, 4  # a pair at a similarity of 0.8 shares no band with a probability of 3e-5
 HASHES = 128
@@ -284,6 +284,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns."""
-    gone = near_duplicates(docs, width, percent).filter("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    """The rows of ``docs`` without near copies of others, with all their columns: one row of each group stays.
+
+    Rows are linked by their own words, as in :func:`near_duplicates`, whatever their ``doc_id``: a row goes only
+    if it is itself a near copy, and rows that repeat an id, or have none, are compared like any others. Of a
+    group the row with the smallest ``doc_id`` stays, one without an id only if all lack it, and of equal ids
+    any one row. Rows whose text is null, empty or white space all stay. The rows are stored once with a key.
+    """
+    key = free_name(docs.columns, "row_key")
+    keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), width, percent)
+    found = stored(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"), "kept"), "found")
+    groups = found.filter("NOT kept").select("group").distinct()
+    ids = keyed.select(F.col(key).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    members = stored(found.join(groups, "group", "left_semi").join(ids, "row").select("row", "group", "id"), "members")
+    stays = members.groupBy("group").agg(F.min_by("row", F.struct(F.col("id").isNull(), "id", "row")).alias("row"))
+    gone = members.join(stays, ["group", "row"], "left_anti").select(F.col("row").alias(key))
+    return keyed.join(gone, key, "left_anti").select(docs.columns)

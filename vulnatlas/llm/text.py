@@ -43,6 +43,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with underscores before it until none of ``taken`` has it, in any case."""
+    while name.lower() in {other.lower() for other in taken}:
+        name = f"_{name}"
+    return name
+
+
 def remove_stored(*tables: DataFrame) -> None:
     """Remove what :func:`stored` wrote, once nothing reads it any more."""
     for table in tables:

@@ -63,3 +63,27 @@ def test_awkward_rows(spark, awkward):
     assert kept.schema == awkward.schema and kept.count() == awkward.count()
     assert {(r.doc_id, r.text, r.n_chars) for r in kept.filter("doc_id IN (2, 6)").collect()} == {(2, None, None), (6, "", 0)}
     assert S.without_repeats(awkward.limit(0)).collect() == []
+
+
+def test_rows_that_repeat_an_id_are_cut_by_their_own_words(spark):
+    shared, other, third = (" ".join(f"{name}{k}" for k in range(40)) for name in "abc")
+    rows = [(1, shared), (2, other), (2, "x " + shared), (2, other), (3, other + " " + third), (3, third)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in S.without_repeats(docs).collect())
+    assert found == sorted([(1, 40, 0, shared), (2, 40, 0, other), (2, 41, 40, "x"), (2, 40, 0, other), (3, 80, 40, third), (3, 40, 0, third)])
+    clashing = docs.selectExpr("*", "1 AS _changed", "2 AS ranges", "3 AS own_id", "4 AS mark", "length(text) AS n_chars")
+    kept = S.drop_repeats(clashing)
+    assert kept.schema == clashing.schema
+    assert sorted((r.doc_id, r.text, r._changed, r.n_chars) for r in kept.collect()) == sorted((i, t, 1, len(t)) for i, _, _, t in found)
+
+
+def test_one_minimiser_in_every_text(spark, monkeypatch):
+    """Its bucket is split by the hash of the window, whatever stands beside it."""
+    monkeypatch.setattr(S, "BUCKET_BYTES", 400)
+    rng = random.Random(4)
+    rows = [(i, " ".join(["m m m m"] + [f"r{rng.randrange(12)}" for _ in range(20)] + ["m m m m"] + [f"r{rng.randrange(3)}" for _ in range(15)])) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    buckets = S.buckets_for(docs, 13, 4)
+    assert len(buckets.heavy) and buckets.parts.max() > 1
+    found = S.digest(S.without_repeats(docs)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == brute(rows, 13)

@@ -97,9 +97,9 @@ def test_upsert_stores_a_repeated_key_once(spark, rows):
 
 
 @pytest.mark.parametrize("statement, nth", [
-    ("halted RENAME TO default.halted__old", 1),
-    ("halted__new RENAME TO default.halted", 1),
-    ("DROP TABLE IF EXISTS default.halted__old", 3),
+    ("halted RENAME TO default.vulnatlas_swap_old__halted", 1),
+    ("vulnatlas_swap_new__halted RENAME TO default.halted", 1),
+    ("DROP TABLE default.vulnatlas_swap_old__halted", 1),
 ])
 def test_a_stopped_swap_loses_nothing(spark, rows, monkeypatch, statement, nth):
     writers.replace_table(frame(spark, ("a", 1), ("b", 2)), "halted")
@@ -118,7 +118,22 @@ def test_a_stopped_swap_loses_nothing(spark, rows, monkeypatch, statement, nth):
             writers.upsert_table(frame(spark, ("b", 3)), "halted", "id")
     assert rows(writers.upsert_table(frame(spark, ("c", 4)), "halted", "id"))[0] == ("a", 1)
     assert rows(spark.table("halted"))[-1] == ("c", 4) and spark.table("halted").count() == 3
-    assert not any(spark.catalog.tableExists(f"halted__{end}") for end in ("new", "old"))
+    assert not any(spark.catalog.tableExists(f"vulnatlas_swap_{end}__halted") for end in ("new", "old"))
+
+
+def test_a_swap_drops_no_other_table(spark, rows):
+    for name in ("hf_own__new", "hf_own__old"):
+        writers.replace_table(frame(spark, ("kept", 1)), name)
+    writers.upsert_table(frame(spark, ("a", 1)), "hf_own", "id")
+    writers.upsert_table(frame(spark, ("b", 1)), "hf_own", "id")
+    assert [rows(spark.table(f"hf_own{end}")) for end in ("", "__new", "__old")] == [[("a", 1), ("b", 1)], [("kept", 1)], [("kept", 1)]]
+    with pytest.raises(ValueError, match="must not begin"):
+        writers.replace_table(frame(spark, ("a", 1)), "vulnatlas_swap_new__hf_own")
+    frame(spark, ("a", 1)).write.saveAsTable("vulnatlas_swap_old__foreign")
+    with pytest.raises(ValueError, match="belongs to something else"):
+        writers.replace_table(frame(spark, ("a", 1)), "foreign")
+    assert rows(spark.table("vulnatlas_swap_old__foreign")) == [("a", 1)]
+    spark.sql("DROP TABLE vulnatlas_swap_old__foreign")
 
 
 def test_a_view_of_the_same_name_is_not_the_table(spark, rows):

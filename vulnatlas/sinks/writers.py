@@ -91,30 +91,54 @@ def upsert_table(new: DataFrame, table: str, key: str) -> DataFrame:
     return swap_in(upsert(stored_table(spark, table), new, key) if there else one_per_key(new, key), table)
 
 
+#: How the names of a swap's own tables begin, and the property that says which table they belong to.
+SWAP_NEW, SWAP_OLD, SWAP_OF = "vulnatlas_swap_new__", "vulnatlas_swap_old__", "vulnatlas.swap_of"
+
+
 def swap_in(df: DataFrame, table: str, options: dict[str, str] | None = None) -> DataFrame:
     """Store ``df`` as a catalog table; an old one of that name stays readable until the new rows are whole.
 
-    Old aside, new in its place, old dropped. A call that was stopped in between is finished by the next one.
+    Old aside, new in its place, old dropped. A call that was stopped in between is finished by the next one. The
+    tables on the way have names that no stored table may have and say whose they are; nothing else is dropped.
     """
     spark = df.sparkSession
+    if table.lower().startswith((SWAP_NEW, SWAP_OLD)):
+        raise ValueError(f"names of tables must not begin like {table}")
     finish_swap(spark, table)
-    now, fresh, aside = (qualified(spark, name) for name in (table, f"{table}__new", f"{table}__old"))
-    df.write.mode("overwrite").format("parquet").options(**(options or {})).saveAsTable(fresh)
+    now, fresh, aside = (qualified(spark, name) for name in (table, f"{SWAP_NEW}{table}", f"{SWAP_OLD}{table}"))
+    df.writeTo(fresh).using("parquet").options(**(options or {})).tableProperty(SWAP_OF, table.lower()).create()
     if spark.catalog.tableExists(now):
+        spark.sql(f"ALTER TABLE {now} SET TBLPROPERTIES ('{SWAP_OF}' = '{table.lower()}')")
         spark.sql(f"ALTER TABLE {now} RENAME TO {aside}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {now}")
-    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+    _drop_own(spark, aside, table)
     return stored_table(spark, table)
 
 
 def finish_swap(spark: SparkSession, table: str) -> None:
     """Bring a swap that was stopped to its end: the old table moves aside only after the new one is whole."""
-    now, fresh, aside = (qualified(spark, name) for name in (table, f"{table}__new", f"{table}__old"))
-    there, whole, moved = map(spark.catalog.tableExists, (now, fresh, aside))
+    now, fresh, aside = (qualified(spark, name) for name in (table, f"{SWAP_NEW}{table}", f"{SWAP_OLD}{table}"))
+    there = spark.catalog.tableExists(now)
+    whole, moved = (_is_own(spark, name, table) for name in (fresh, aside))
     if moved and not there:
         spark.sql(f"ALTER TABLE {fresh if whole else aside} RENAME TO {now}")
     for name in (fresh, aside):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _drop_own(spark, name, table)
+
+
+def _is_own(spark: SparkSession, name: str, table: str) -> bool:
+    """Whether the table is there; one that no swap of ``table`` made is an error."""
+    if not spark.catalog.tableExists(name):
+        return False
+    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    if properties.get(SWAP_OF) != table.lower():
+        raise ValueError(f"{name} stands where a swap of {table} keeps its tables, but belongs to something else")
+    return True
+
+
+def _drop_own(spark: SparkSession, name: str, table: str) -> None:
+    if _is_own(spark, name, table):
+        spark.sql(f"DROP TABLE {name}")
 
 
 def append_new(

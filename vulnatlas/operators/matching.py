@@ -18,6 +18,8 @@ def in_field(postings: DataFrame, field: str | None) -> DataFrame:
 def match_all(postings: DataFrame, tokens: list[str], field: str | None = None) -> DataFrame:
     """Rows holding every token, in any order and field."""
     wanted = sorted(set(tokens))
+    if not wanted:
+        raise ValueError("a search needs at least one token")
     held = [F.bool_or(F.col("token") == token).alias(f"has_{i}") for i, token in enumerate(wanted)]
     return (
         in_field(postings, field)

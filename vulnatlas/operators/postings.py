@@ -12,7 +12,7 @@ from vulnatlas.functions.text import tokens
 from vulnatlas.session import staged
 
 
-def _grouped(df: DataFrame) -> DataFrame:
+def _grouped(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Column ``occurrences``, a sorted ``(token, positions)`` array, as ``runs`` of one per token.
 
     Runs are addressed by index; cutting them out with ``slice`` would copy the array each time.
@@ -30,7 +30,7 @@ def _grouped(df: DataFrame) -> DataFrame:
             F.get(occurrences, start)["token"].alias("token"), F.sort_array(F.flatten(positions)).alias("positions")
         )
 
-    return df.select("id", "field", F.transform("starts", run).alias("runs"))
+    return df.select("id", *keep, "field", F.transform("starts", run).alias("runs"))
 
 
 def _wanted(only: list[str] | None, stem: bool):
@@ -53,8 +53,9 @@ def build_postings(
     fields: tuple[str, ...] = ("id", "description"),
     stem: bool = False,
     only: list[str] | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row ``(id, field, token, positions)`` per token, field and row of ``df``.
+    """One row ``(id, field, token, positions)`` per token, field and row of ``df``, with its columns ``keep``.
 
     Positions are grouped inside the row that holds the text, so nothing is shuffled however
     often a token occurs. ``only`` keeps just the tokens a search asks for, before grouping;
@@ -62,7 +63,7 @@ def build_postings(
     """
     wanted = _wanted(only, stem)
     per_field = F.array(*(F.struct(F.lit(f).alias("field"), tokens(F.col(f)).alias("words")) for f in fields))
-    df = df.select(F.col(key).alias("id"), F.inline(per_field))
+    df = df.select(F.col(key).alias("id"), *keep, F.inline(per_field))
 
     def occurrence(word: Column, i: Column) -> Column:
         return F.struct(word.alias("token"), F.array(i).alias("positions"))
@@ -70,18 +71,18 @@ def build_postings(
     occurrences = F.transform("words", occurrence)
     if wanted:
         occurrences = F.filter(occurrences, lambda o: wanted(o["token"]))
-    df = _grouped(df.select("id", "field", F.sort_array(occurrences).alias("occurrences")))
+    df = _grouped(df.select("id", *keep, "field", F.sort_array(occurrences).alias("occurrences")), keep)
     if stem:
-        df = df.select("id", "field", "runs", stems("runs.token").alias("stems"))
+        df = df.select("id", *keep, "field", "runs", stems("runs.token").alias("stems"))
         stemmed = F.zip_with(
             "stems", "runs", lambda s, r: F.struct(s.alias("token"), r["positions"].alias("positions"))
         )
         if only is not None:
             stemmed = F.filter(stemmed, lambda o: o["token"].isin(only))
-        df = _grouped(df.select("id", "field", F.sort_array(stemmed).alias("occurrences")))
+        df = _grouped(df.select("id", *keep, "field", F.sort_array(stemmed).alias("occurrences")), keep)
     # The outer form keeps the optimizer from inferring a filter on the number of runs, which it
     # would evaluate by nesting all of the above into itself.
-    return df.select("id", "field", F.inline_outer("runs")).filter(F.col("token").isNotNull())
+    return df.select("id", *keep, "field", F.inline_outer("runs")).filter(F.col("token").isNotNull())
 
 
 def write_postings(postings: DataFrame, path: str, partitions: int | None = None) -> DataFrame:

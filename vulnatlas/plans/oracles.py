@@ -180,6 +180,27 @@ ORACLES: dict[str, str] = {
         SELECT {RESULT} FROM cves WHERE id IN (FROM phrase)
           AND id IN (SELECT id FROM occurrences WHERE token = 'and')
           AND severity IN ('HIGH', 'MEDIUM', 'LOW') AND cwe LIKE '%CWE-8%' AND substring(published, 1, 4) >= '2000'""",
+    "merge_segments": f"""{SEARCH} SELECT token, count(*) AS n FROM (SELECT DISTINCT id, field, token FROM occurrences) GROUP BY token""",
+    "prefix_search": f"""{SEARCH} SELECT {RESULT} FROM cves WHERE id IN (SELECT id FROM occurrences WHERE starts_with(token, 'ingre'))
+        AND severity = 'HIGH' AND substring(published, 1, 4) >= '2005' ORDER BY cvss DESC NULLS LAST, id LIMIT 30""",
+    "search_or_not": f"""{SEARCH}, held AS (SELECT id, list(DISTINCT token) AS t FROM occurrences GROUP BY id)
+        SELECT {RESULT} FROM cves JOIN held USING (id) WHERE (list_has_any(t, ['vivi', 'ouing']) OR list_has_all(t, ['the', 'from']))
+          AND NOT list_contains(t, 'with') AND cvss >= 2.0 ORDER BY cvss DESC NULLS LAST, id LIMIT 40""",
+    "search_prefix_filtered": f"""{SEARCH}, {STEMS}, open_end AS (
+          SELECT a.id FROM stemmed a JOIN stemmed b ON a.id = b.id AND a.field = b.field AND b.pos = a.pos + 1
+          WHERE a.token = 'of' AND starts_with(b.token, 'th'))
+        SELECT {RESULT} FROM cves WHERE severity = 'CRITICAL' AND substring(published, 1, 4) >= '2003' AND (
+          id IN (FROM open_end) AND id IN (SELECT id FROM stemmed WHERE token = 'reat')
+          OR id IN (SELECT id FROM stemmed WHERE field = 'description' AND token = 'of' AND pos = 0))""",
+    "near_phrases": f"""{SEARCH}, starts AS (
+          SELECT a.id, a.pos, 'of the' AS phrase, 2 AS n FROM occurrences a JOIN occurrences b
+            ON a.id = b.id AND a.field = b.field AND b.pos = a.pos + 1 WHERE a.token = 'of' AND b.token = 'the' AND a.field = 'description'
+          UNION ALL SELECT id, pos, token, 1 FROM occurrences WHERE token IN ('and', 'to') AND field = 'description')
+        SELECT DISTINCT id FROM (SELECT m.id, m.pos FROM starts m JOIN starts s ON m.id = s.id AND s.pos BETWEEN m.pos - s.n - 4 AND m.pos
+          GROUP BY m.id, m.pos HAVING count(DISTINCT s.phrase) = 3)""",
+    "search_top_scored": f"""{SEARCH} SELECT {RESULT} FROM cves WHERE id IN (SELECT id FROM occurrences WHERE token = 'the')
+        ORDER BY cvss DESC NULLS LAST, id LIMIT 25""",
+    "substring_search": f"""WITH {CVES} SELECT {RESULT} FROM cves WHERE contains(lower(description), 'ion the') AND severity = 'HIGH'""",
     "stemmed_search": f"""{SEARCH}, {STEMS} SELECT {RESULT} FROM cves
         WHERE id IN (SELECT id FROM stemmed WHERE token = 'tion') AND id IN (SELECT id FROM stemmed WHERE token = 'reat')""",
     "stemmed_postings": f"""{SEARCH}, {STEMS} SELECT token, count(DISTINCT id || field) AS fields, count(*) AS occurrences
@@ -295,5 +316,6 @@ ORACLES: dict[str, str] = {
     "export_counts": """SELECT 'cves' AS "table", count(*) AS n, count(*) AS read_back FROM documents
         UNION ALL SELECT 'exploits', count(*), count(*) FROM events WHERE event_id <> 0""",
 }
-ORACLES["scan_search"] = ORACLES["search_all_filters"]
+ORACLES["scan_search"] = ORACLES["append_then_search"] = ORACLES["search_all_filters"]
+ORACLES["stream_then_search"] = ORACLES["search_filtered"]
 ORACLES["table_upsert"] = ORACLES["map_upsert"]

@@ -11,6 +11,7 @@ from vulnatlas.operators import matching
 from vulnatlas.operators.filters import advisory_filters, any_of, contains
 from vulnatlas.operators.limits import first_rows, top_scored
 from vulnatlas.operators.links import nested_exploits
+from vulnatlas.operators.match_tree import Tree, match_tree
 from vulnatlas.operators.normalize import CVES
 from vulnatlas.operators.postings import query_tokens
 
@@ -35,13 +36,15 @@ def lookup_exploits(cves: DataFrame, exploits: DataFrame, cve_id: str) -> DataFr
 def search(
     postings: DataFrame,
     cves: DataFrame,
-    terms: str | Iterable[str],
+    terms: str | Iterable[str] | Tree,
     stem: bool = True,
     limit: int | None = DEFAULT_LIMIT,
     **filters,
 ) -> DataFrame:
     """Advisories that hold all terms, best score first. A term of several words is a phrase.
 
+    Instead of terms, any tree of conditions (:mod:`vulnatlas.operators.match_tree`) may be asked for.
+
     ``stem`` says whether the postings hold stems; ``filters`` are those of
     :func:`~vulnatlas.operators.filters.advisory_filters`.
     """
@@ -68,7 +71,9 @@ def scan_search(
     return top_scored(found.select(*ADVISORY_RESULT), limit)
 
 
-def match_terms(postings: DataFrame, terms: str | Iterable[str], stem: bool = True) -> DataFrame:
+def match_terms(postings: DataFrame, terms: str | Iterable[str] | Tree, stem: bool = True) -> DataFrame:
+    if isinstance(terms, Tree):
+        return match_tree(postings, terms, stem)
     words = analyzed_terms(postings.sparkSession, terms, stem)
     if all(len(word) == 1 for word in words):
         return matching.match_all(postings, [word for (word,) in words])

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from vulnatlas.functions import columns as C
 from vulnatlas.functions.text import tokens
-from vulnatlas.operators import enrichment, filters, limits, links, matching, merging, normalize
+from vulnatlas.operators import enrichment, filters, limits, links, matching, merging, normalize, segments
+from vulnatlas.operators import match_tree as T
 from vulnatlas.operators.postings import write_postings
 from vulnatlas.plans import driver_tables as D
 from vulnatlas.plans import queries as Q
@@ -19,7 +20,7 @@ from vulnatlas.session import shared_path
 from vulnatlas.sinks import writers
 from vulnatlas.sources import exploits as exploit_source
 from vulnatlas.sources import jsonl, tables
-from vulnatlas.streaming.ingest import ingest_landed
+from vulnatlas.streaming.ingest import ingest_indexed, ingest_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -220,6 +221,87 @@ def search_all_filters(spark, sf_dir):
     )
 
 
+def delivered_index(spark, sf_dir, **made) -> str:
+    """A search index of all advisories in two deliveries, the second of which holds the first's rows too."""
+    root, rows = shared_path(spark, "index"), D.cves(spark, sf_dir)
+    for delivery in (rows.filter("status <> 'en'"), rows):
+        segments.append_segment(spark, delivery, root, **{"stem": False, "substring": None} | made)
+    return root
+
+
+@query
+def append_then_search(spark, sf_dir):
+    """Two deliveries that overlap, folded into one segment, then searched."""
+    root = delivered_index(spark, sf_dir)
+    segments.merge_segments(spark, root)
+    found = segments.search_index(
+        segments.open_index(spark, root), T.all_of("and", "of the"), None,
+        severity="HIGH,MEDIUM,LOW", cwe="cwe-8", exact_cwe=False, since=2000)
+    return found.select(*Q.ADVISORY_RESULT)
+
+
+@query
+def merge_segments(spark, sf_dir):
+    """The vocabulary after a merge."""
+    root = delivered_index(spark, sf_dir)
+    segments.merge_segments(spark, root)
+    return segments.open_index(spark, root).terms()
+
+
+@query
+def prefix_search(spark, sf_dir):
+    """A prefix in one of the live segments' vocabularies, best score first."""
+    index = segments.open_index(spark, delivered_index(spark, sf_dir))
+    return segments.search_index(index, T.prefix("Ingre"), 30, severity="high", since=2005).select(*Q.ADVISORY_RESULT)
+
+
+@query
+def search_or_not(spark, sf_dir):
+    index = segments.open_index(spark, delivered_index(spark, sf_dir))
+    tree = T.But(T.any_of("vivi", "ouing", T.all_of("the", "from")), T.Words("with"))
+    return segments.search_index(index, tree, 40, min_cvss=2.0).select(*Q.ADVISORY_RESULT)
+
+
+@query
+def search_prefix_filtered(spark, sf_dir):
+    """A phrase with an open end and a first word, over stems."""
+    index = segments.open_index(spark, delivered_index(spark, sf_dir, stem=True))
+    tree = T.any_of(T.all_of(T.prefix("of th"), "reating"), T.Words("of", "description", first=True))
+    return segments.search_index(index, tree, None, severity="CRITICAL", since=2003).select(*Q.ADVISORY_RESULT)
+
+
+@query
+def near_phrases(spark, sf_dir):
+    index = segments.open_index(spark, delivered_index(spark, sf_dir))
+    return segments.matching_ids(index, T.Near(("of the", "and", "to"), 4, "description"))
+
+
+@query
+def search_top_scored(spark, sf_dir):
+    """The best rows that hold a frequent word: blocks of lower scores stay unread."""
+    index = segments.open_index(spark, delivered_index(spark, sf_dir))
+    return segments.search_index(index, T.Words("The"), 25).select(*Q.ADVISORY_RESULT)
+
+
+@query
+def substring_search(spark, sf_dir):
+    index = segments.open_index(spark, delivered_index(spark, sf_dir, substring="description"))
+    return segments.substring_search(index, "ION THE", None, severity="high").select(*Q.ADVISORY_RESULT)
+
+
+@query
+def stream_then_search(spark, sf_dir):
+    """Advisories that land in two batches become searchable with each."""
+    landing, root, checkpoint = (shared_path(spark, name) for name in ("landing", "index", "checkpoint"))
+    rows = D.cves(spark, sf_dir)
+    for delivery in (rows.filter("status <> 'en'"), rows):
+        delivery.write.mode("append").parquet(landing)
+        ingest_indexed(spark.readStream.schema(rows.schema).parquet(landing), root, checkpoint, stem=False, substring=None)
+    found = segments.search_index(
+        segments.open_index(spark, root), T.Words("the", "description"), 50, severity="critical, high", since=2005, min_cvss=3.0)
+    return found.select(*Q.ADVISORY_RESULT)
+
+
 @query
 def scan_search(spark, sf_dir):
     return Q.scan_search(

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from vulnatlas.operators.normalize import normalize_advisories
+from vulnatlas.operators.segments import append_segment
 from vulnatlas.sinks.writers import append_new
 from vulnatlas.sources.advisories import feed_items, parse_items
 
@@ -34,6 +35,23 @@ def ingest_landed(
     query.awaitTermination()
 
 
+def ingest_indexed(
+    stream: DataFrame, root: str, checkpoint: str, order: tuple[str | Column, ...] = (),
+    transform: Callable[[DataFrame], DataFrame] = lambda df: df, **made,
+) -> None:
+    """Append everything that landed since the last call to the search index at ``root``, a segment per batch, then stop.
+
+    The index's state remembers the last batch of each checkpoint, so one that was stored but not noted by the
+    stream is passed over when it comes again. ``made`` is how :func:`append_segment` makes the index.
+    """
+
+    def append(batch: DataFrame, number: int) -> None:
+        append_segment(batch.sparkSession, transform(batch), root, *order, batch=(checkpoint, number), **made)
+
+    query = stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
 def ingest_feeds(spark: SparkSession, landing: str, target: str, checkpoint: str, max_files: int | None = None) -> None:
     """Ingest feed documents newly landed in a folder into the ``cves`` table at ``target``.
 

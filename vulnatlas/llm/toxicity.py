@@ -1,27 +1,27 @@
 """Toxic texts: a support vector machine over a subsequence string kernel with Nyström landmarks.
 
 A text is cut into units: words of letters and digits, lower-cased, accents and punctuation dropped; three
-or more letters in a row that stand alone (``i d i o t``) form one unit. The kernel counts the subsequences
-of three characters that two units share, within ``SPAN`` characters, each weighted by ``DECAY`` to the
+or more letters in a row that stand alone (``i d i o t``) form one unit. The kernel of two units counts the
+subsequences of three characters that they share, within ``SPAN`` characters, each weighted by ``DECAY`` to the
 power of its span; so an insult that is gapped, or that holds inserted or replaced characters, still shares
-most of its subsequences. Values are divided by the self-kernel of a unit of that length with distinct
-letters.
-
-Training (in one task, from a bounded sample): labels are of whole texts and no sentence takes one; the
-units that mark toxic texts are the positive examples, at most 8 a text, units of clean texts the negative
-ones; a first machine picks hard negatives for the second. Landmarks come from both. With landmarks l and
-coefficients b the machine is ``f(s) = sum_l b_l K(s, l) + c``, which is linear in the subsequences of s:
-one table of weights scores any unit. A text's score follows its highest unit, through a logistic curve
-fitted to texts that trained nothing else, or, where that is more, what adds up over the text: the share of
-its units that begin with the same stem, for stems that toxic texts repeat and clean ones do not.
+most of its subsequences. The kernel of two texts is the sum over all pairs of their units, each divided by the
+self-kernel of a unit of that length: what a text repeats adds up, whatever the language.
+
+Training (in one task, from a bounded sample) is on whole texts with their labels, as the tables label no smaller
+passages. Nyström landmarks are texts of both labels; the machine is a support vector machine in their space, and
+since the kernel is a sum it comes to one table of weights over subsequences, which scores any unit and, summed,
+any text. Most units of a toxic text are like anybody's, so two machines are trained: the first hears all units,
+the second only the few that the first finds most telling, as a share of the root of the text's length. The
+second one's sum is the text's evidence. Where evidence means toxic is settled on texts that the machines did not
+see: training is repeated without each third of the sample, whose evidence then counts. All of it holds alike for
+any number of labelled texts.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,23 +34,21 @@ SPAN = 8
 DECAY = 0.5
 SYMBOLS = 40
 #: At most so many labelled texts of each class are sampled, by the smallest hash of their id.
-SAMPLE = 1500
-LANDMARKS = 320
-NEGATIVES = 4000
-#: Standard errors above its share in clean texts from which a unit marks toxic ones.
-STRONG = 15
-#: Toxic texts that a unit has to be in for that: a quarter of them where they are few, but never below the second number.
-SUPPORT, LEAST_SUPPORT = 8, 3
-#: Fewer toxic texts than this all train the machine and fit the curve too, and ask for less than STRONG.
-FEW = 32
-#: First symbols of a unit that are looked at as a stem; least times a text repeats a stem, and shares of its units, for a mark.
-STEMS, REPEATED, SHARES = range(4, 9), 2, (0.0025, 0.005, 0.0075, 0.01, 0.015, 0.02, 0.03, 0.05)
-#: How many times more frequent in toxic than in clean texts a repeated stem has to be.
-LIKELIER = 40
-#: Missed toxic texts that one clean text found toxic counts for: the sample holds few clean ones.
+SAMPLE = 2500
+#: Texts that serve as landmarks, half of them of each label.
+LANDMARKS = 800
+#: Texts whose vectors are held at a time.
+BLOCK = 64
+#: Weight of the machine's length against its errors.
+RATE = 2e-4
+#: Share of all units that the second machine does not hear.
+HEARD = 0.97
+#: Parts of the sample, each of which is scored by machines that did not see it.
+PARTS = 3
+#: How many times the share of clean texts found toxic counts against the share of toxic ones missed.
 CLEAN_WEIGHT = 5
-#: The most frequent marks that are also learnt with a letter put in.
-VARIED = 60
+#: Steepness of the score around the centre.
+SLOPE = 4.0
 
 _SKIP, _GAP = 255, 254
 
@@ -176,81 +174,78 @@ def _support_vectors(z: np.ndarray, y: np.ndarray, weight: np.ndarray, rate: flo
     return w
 
 
-#: Hash of a stem, and the share of a text's units from which it marks the text.
-REPEAT = np.dtype([("stem", "<u8"), ("share", "<f8")])
-
-
-def stems_of(units: Units) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each of a unit's stems, and the text it is in."""
-    owner = np.repeat(np.arange(len(units.before) - 1), np.diff(units.before))
-    symbols = np.append(units.symbols.astype(np.uint64) + np.uint64(1), np.zeros(STEMS[-1], np.uint64))
-    value, keys, texts = np.zeros(len(units.first), np.uint64), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for k in range(STEMS[-1]):
-        value = mixed(value * np.uint64(0x9E3779B97F4A7C15) + symbols[units.first + k])
-        if k + 1 in STEMS:
-            whole = units.size > k
-            keys.append(value[whole])
-            texts.append(owner[whole])
-    return np.concatenate(keys), np.concatenate(texts)
-
-
-def _repeats(units: Units, labels: np.ndarray, support: int, strong: float) -> np.ndarray:
-    """The stems that many toxic texts and few clean ones repeat, each with the share of units that tells them apart best."""
-    keys, owner = stems_of(units)
-    stems, back = np.unique(keys, return_inverse=True)
-    pairs, times = np.unique(back.astype(np.int64) * len(labels) + owner, return_counts=True)
-    pairs, times = pairs[times >= REPEATED], times[times >= REPEATED]
-    text, stem = pairs % len(labels), pairs // len(labels)
-    share = times / np.diff(units.before)[text]
-    n0, n1 = max(1, (labels == 0).sum()), max(1, (labels == 1).sum())
-    best, at = np.full(len(stems), -np.inf), np.zeros(len(stems))
-    for least in SHARES:
-        held = [np.bincount(stem[(share >= least) & (labels[text] == y)], minlength=len(stems)) for y in (0, 1)]
-        clean = (held[0] + 0.5) / n0
-        strength = (held[1] - n1 * clean) / np.sqrt(n1 * clean)
-        better = (held[1] >= support) & (strength >= strong) & (held[1] / n1 >= LIKELIER * clean) & (strength > best)
-        best[better], at[better] = strength[better], least
-    out = np.zeros((best > -np.inf).sum(), REPEAT)
-    out["stem"], out["share"] = stems[best > -np.inf], at[best > -np.inf]
-    return out
+def _codes(units: Units, table: np.ndarray | None = None, level: float = 0.0) -> Iterator[np.ndarray]:
+    """Each text's vector of subsequences: the sum of its units' normed ones, or of those that ``table`` scores above ``level``."""
+    heard = np.ones(len(units.first), bool) if table is None else unit_scores(units.symbols, units.first, units.size, table) > level
+    for p, q in zip(units.before[:-1], units.before[1:], strict=True):
+        first, size = units.first[p:q][heard[p:q]], units.size[p:q][heard[p:q]]
+        s = units.symbols[runs(first, size)].astype(np.int64)
+        left = np.repeat(np.cumsum(size), size) - np.arange(len(s))
+        norm = np.repeat(1 / np.sqrt(self_kernel(size)), size)
+        out = np.zeros(SYMBOLS**3)
+        for a, b in _pairs():
+            at = np.flatnonzero(left > b)
+            if len(at):
+                codes = (s[at] * SYMBOLS + s[at + a]) * SYMBOLS + s[at + b]
+                out += np.bincount(codes, norm[at] * DECAY ** (b + 1), SYMBOLS**3)
+        yield out
+
+
+def _vectors(texts: list[str], table: np.ndarray, gate: np.ndarray | None = None, level: float = 0.0) -> np.ndarray:
+    """The vectors of texts: of length one, or, of the units above the gate's level, divided by the root of all units."""
+    units = units_of(texts, table)
+    out = np.array(list(_codes(units, gate, level)), np.float32).reshape(-1, SYMBOLS**3)
+    scale = np.linalg.norm(out, axis=1) if gate is None else np.sqrt(np.diff(units.before))
+    return out / np.maximum(scale, 1e-9)[:, None].astype(np.float32)
+
+
+def _machine(texts: list[str], y: np.ndarray, table: np.ndarray, gate: np.ndarray | None = None, level: float = 0.0) -> tuple[np.ndarray, float]:
+    """Table of weights and constant of the machine over texts labelled 1 and -1, from landmarks of both."""
+    chosen = np.concatenate([_evenly(np.flatnonzero(y == side), LANDMARKS // 2) for side in (1, -1)])
+    landmarks = np.empty((len(chosen), SYMBOLS**3), np.float32)
+    for k in range(0, len(chosen), BLOCK):
+        landmarks[k:k + BLOCK] = _vectors([texts[n] for n in chosen[k:k + BLOCK]], table, gate, level)
+    kernel = np.concatenate([_vectors(texts[k:k + BLOCK], table, gate, level) @ landmarks.T for k in range(0, len(texts), BLOCK)]).astype(np.float64)
+    among = kernel[chosen]
+    among = (among + among.T) / 2
+    values, vectors = np.linalg.eigh(among)
+    good = values > 1e-6 * max(values.max(), 1e-12)
+    project = vectors[:, good] / np.sqrt(values[good])
+    z = kernel @ project
+    unit = np.sqrt(max(1e-12, (z**2).sum(axis=1).mean()))
+    balance = np.where(y > 0, (y < 0).sum() / max(1, (y > 0).sum()), 1.0)
+    w = _support_vectors(z / unit, y, balance / len(y), RATE)
+    return (landmarks.T @ (project @ w[:-1] / unit)).astype(np.float64), float(w[-1])
+
+
+def _evenly(items: np.ndarray, n: int) -> np.ndarray:
+    return items if len(items) <= n else items[np.linspace(0, len(items) - 1, n).astype(int)]
 
 
 @dataclass
 class Model:
-    """A table of weights, the constant, the logistic curve of a text's highest unit, and stems that mark a text by repetition."""
+    """Both machines' tables, the level from which the second hears a unit, its constant, and the curve of the evidence."""
 
+    gate: np.ndarray
+    level: float
     weights: np.ndarray
     constant: float
     centre: float
     slope: float
     table: np.ndarray
-    repeats: np.ndarray = field(default_factory=lambda: np.zeros(0, REPEAT))
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        """From 0 to 1; a text without a unit gets the score of the lowest evidence."""
+    def evidence(self, texts: list[str]) -> np.ndarray:
+        """The second machine's value; the constant for a text without a unit."""
         units = units_of(texts, self.table)
         words, back = _distinct(units)
-        values = unit_scores(*words, self.weights)[back] + self.constant
-        highest = np.full(len(texts), self.constant)
-        filled = np.flatnonzero(np.diff(units.before))
-        if len(filled):
-            highest[filled] = np.maximum.reduceat(values, units.before[filled])
-        evidence = np.maximum(self.slope * (highest - self.centre), self._repeated(units))
-        return 1 / (1 + np.exp(-np.clip(evidence, -30, 30)))
-
-    def _repeated(self, units: Units) -> np.ndarray:
-        """By which part a text's share of its most telling stem is above what marks a text; -inf without a repeated one."""
-        out = np.full(len(units.before) - 1, -np.inf)
-        if not len(self.repeats):
-            return out
-        keys, owner = stems_of(units)
-        at = np.minimum(np.searchsorted(self.repeats["stem"], keys), len(self.repeats) - 1)
-        hit = self.repeats["stem"][at] == keys
-        pairs, times = np.unique(owner[hit] * len(self.repeats) + at[hit], return_counts=True)
-        pairs, times = pairs[times >= REPEATED], times[times >= REPEATED]
-        text, mark = pairs // len(self.repeats), pairs % len(self.repeats)
-        np.maximum.at(out, text, times / np.diff(units.before)[text] / self.repeats["share"][mark] - 1)
-        return out
+        heard = unit_scores(*words, self.gate) > self.level
+        values = np.where(heard, unit_scores(*words, self.weights), 0.0)[back]
+        owner = np.repeat(np.arange(len(texts)), np.diff(units.before))
+        return np.bincount(owner, values, len(texts)) / np.sqrt(np.maximum(1, np.diff(units.before))) + self.constant
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """From 0 to 1; a text without a unit gets the score of no evidence."""
+        return 1 / (1 + np.exp(-np.clip(self.slope * (self.evidence(texts) - self.centre), -30, 30)))
 
 
 def _distinct(units: Units) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
@@ -278,106 +273,55 @@ def _unlike(texts: list[str], labels: np.ndarray) -> tuple[list[str], np.ndarray
     return [texts[k] for k in kept], labels[kept]
 
 
-def _gapped(words: list[bytes], clean: set[bytes], rng: np.random.Generator) -> list[bytes]:
-    """Each word with one letter doubled, and with one strange letter put in, where no clean text has that unit."""
-    out = []
-    for word in words:
-        for inserted in (None, int(rng.integers(1, 27))):
-            k = int(rng.integers(1, len(word)))
-            out.append(word[:k] + bytes([word[k - 1] if inserted is None else inserted]) + word[k:])
-    return [w for w in dict.fromkeys(out) if w not in clean]
-
-
-def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
-    """The machine from texts labelled 1 (toxic) or 0. Three in four texts train it, the others fit the curve; few do both."""
+def train(texts: list[str], labels: np.ndarray) -> Model:
+    """The machine from texts labelled 1 (toxic) or 0; without texts of both labels it finds nothing toxic."""
     table = symbol_table()
     texts, labels = _unlike(texts, labels)
-    units = units_of(texts, table)
-    raw = units.symbols.tobytes()
-    words = [
-        list(dict.fromkeys(raw[a:a + n] for a, n in zip(units.first[p:q].tolist(), units.size[p:q].tolist(), strict=True)))
-        for p, q in zip(units.before[:-1], units.before[1:], strict=True)
-    ]
-    turn = np.random.default_rng(seed).random(len(texts))
-    few = (labels == 1).sum() < FEW
-    learn = (turn < 0.75) | few
-    fits = ~learn | few
-    held = {k: Counter(w for i in np.flatnonzero(learn & (labels == k)) for w in words[i]) for k in (0, 1)}
-    n0, n1 = max(1, (learn & (labels == 0)).sum()), max(1, (learn & (labels == 1)).sum())
-
-    def strength(word: bytes) -> float:
-        share = (held[0][word] + 0.5) / n0
-        return (held[1][word] - n1 * share) / np.sqrt(n1 * share)
-
-    support, enough = min(SUPPORT, max(LEAST_SUPPORT, int(n1) // 4)), STRONG * min(1, np.sqrt(n1 / FEW))
-    repeats = _repeats(units, labels, support, enough)
-    strong = {w: strength(w) for w, n in held[1].items() if len(w) >= 3 and n >= support}
-    positive = set()
-    for i in np.flatnonzero(learn & (labels == 1)):
-        marks = sorted((w for w in words[i] if strong.get(w, 0) >= enough), key=lambda w: (-strong[w], w))
-        positive.update(marks[:8])
-    positive = sorted(positive, key=lambda w: (-held[1][w], w))[:NEGATIVES // 2]
-    clean = sorted((w for w in held[0] if len(w) >= 3 and w not in set(positive)), key=lambda w: (-held[0][w], w))
-    if not positive or not clean:
-        return Model(np.zeros(SYMBOLS**3, np.float32), 0.0, 1.0, 1.0, table, repeats)
-    spread = [clean[k] for k in np.linspace(0, len(clean) - 1, min(NEGATIVES, len(clean))).astype(int)]
-    positive += _gapped(positive[:VARIED], set(held[0]), np.random.default_rng(seed))
-    weights, constant, hard = *_machine(positive, spread), []
-    for _ in range(2):
-        values = unit_scores(*_packed(clean), weights)
-        hard = list(dict.fromkeys([clean[k] for k in np.argsort(-values, kind="stable")[:NEGATIVES // 2]] + hard))
-        weights, constant = _machine(positive, list(dict.fromkeys(hard + spread)))
-    model = Model(weights.astype(np.float32), constant, 0.0, 1.0, table)
-    model.centre, model.slope = _curve(model, [texts[i] for i in np.flatnonzero(fits)], labels[fits])
-    model.repeats = repeats
+    if not len(labels) or labels.min() == labels.max():
+        none = np.zeros(SYMBOLS**3, np.float32)
+        return Model(none, 0.0, none, 0.0, 1.0, SLOPE, table)
+    model = _both_machines(texts, labels, table)
+    part = np.zeros(len(texts), int)
+    for side in (0, 1):
+        part[labels == side] = np.arange((labels == side).sum()) % PARTS
+    unseen, known = [], []
+    for k in range(PARTS):
+        learn, rest = np.flatnonzero(part != k), np.flatnonzero(part == k)
+        if len(rest) and 0 < labels[learn].sum() < len(learn):
+            one = _both_machines([texts[i] for i in learn], labels[learn], table)
+            unseen.append(one.evidence([texts[i] for i in rest]))
+            known.append(labels[rest])
+    # What the machine itself was taught as toxic stays so, also where too few texts show how it fares with others.
+    model.centre = _centre(model.evidence(texts), labels)
+    if unseen:
+        model.centre = min(model.centre, _centre(np.concatenate(unseen), np.concatenate(known)))
     return model
 
 
-def _machine(positive: list[bytes], negative: list[bytes]) -> tuple[np.ndarray, float]:
-    half = LANDMARKS * 3 // 4
-    landmarks = _apart(positive[:600], half) + _apart(negative[:600], LANDMARKS - half)
-    tables = [landmark_weights(np.frombuffer(w, np.uint8)) for w in landmarks]
-    examples = _packed(positive + negative)
-    kernel = np.stack([unit_scores(*examples, t) for t in tables], axis=1).astype(np.float64)
-    among = np.stack([unit_scores(*_packed(landmarks), t) for t in tables], axis=1).astype(np.float64)
-    values, vectors = np.linalg.eigh((among + among.T) / 2)
-    good = values > 1e-6 * values.max()
-    project = vectors[:, good] / np.sqrt(values[good])
-    y = np.repeat([1.0, -1.0], [len(positive), len(negative)])
-    balance = np.where(y > 0, len(negative) / len(positive), 1.0)
-    w = _support_vectors(kernel @ project, y, balance / len(y))
-    return sum(b * t for b, t in zip(project @ w[:-1], tables, strict=True)), float(w[-1])
-
-
-def _apart(words: list[bytes], n: int) -> list[bytes]:
-    """``n`` words, each the one least like those taken so far; the first is the first."""
-    if len(words) <= n:
-        return list(words)
-    packed, taken = _packed(words), [0]
-    near = unit_scores(*packed, landmark_weights(np.frombuffer(words[0], np.uint8)))
-    while len(taken) < n:
-        taken.append(int(np.argmin(near)))
-        np.maximum(near, unit_scores(*packed, landmark_weights(np.frombuffer(words[taken[-1]], np.uint8))), out=near)
-        near[taken] = np.inf
-    return [words[k] for k in taken]
-
-
-def _curve(model: Model, texts: list[str], labels: np.ndarray) -> tuple[float, float]:
-    """Where and how steeply the score rises: the middle of the gap with the fewest errors, of the widest such gap."""
-    raw = model.scores(texts)
-    values = np.log(raw / (1 - raw))
-    if not len(values) or labels.min() == labels.max():
-        return 0.0, 4.0
-    order = np.argsort(values)
-    values, y = values[order], labels[order]
-    errors = np.append(0, np.cumsum(y == 1)) + CLEAN_WEIGHT * np.append(np.cumsum((y == 0)[::-1])[::-1], 0)
-    # Texts often share their highest unit, so values tie: only gaps between different values can part them.
+def _both_machines(texts: list[str], labels: np.ndarray, table: np.ndarray) -> Model:
+    y = np.where(labels == 1, 1.0, -1.0)
+    gate, _ = _machine(texts, y, table)
+    units = units_of(texts, table)
+    scored = unit_scores(units.symbols, units.first, units.size, gate)
+    level = float(np.quantile(scored, HEARD)) if len(scored) else 0.0
+    weights, constant = _machine(texts, y, table, gate, level)
+    return Model(gate.astype(np.float32), level, weights.astype(np.float32), constant, 0.0, SLOPE, table)
+
+
+def _centre(values: np.ndarray, y: np.ndarray) -> float:
+    """The evidence with the smallest shares of errors, of equal ones that in the widest gap."""
+    if y.min() == y.max():
+        return 0.0
+    order = np.argsort(values, kind="stable")
+    values, y = values[order], y[order]
+    missed, false = np.append(0, np.cumsum(y == 1)) / (y == 1).sum(), np.append(np.cumsum((y == 0)[::-1])[::-1], 0) / (y == 0).sum()
+    errors = missed + CLEAN_WEIGHT * false
+    # Values may tie: only gaps between different ones can part them.
     gaps = np.flatnonzero(np.diff(values) > 0) + 1
     if not len(gaps):
-        return float(values[0]), 4.0
+        return float(values[0])
     k = min(gaps, key=lambda g: (errors[g], values[g - 1] - values[g]))
-    low, high = values[k - 1], values[k]
-    return float((low + high) / 2), 4.0
+    return float((values[k - 1] + values[k]) / 2)
 
 
 def fold(doc_id: Column, parts: int) -> Column:
@@ -404,7 +348,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, trains: Colu
 def trained(docs: DataFrame, labels: DataFrame, trains: Column | None = None) -> Model:
     """The machine from the labelled texts whose ids meet ``trains``: by default those outside the held-out fifth.
 
-    One task trains it, from the bounded sample, so that the driver gets the table of weights alone.
+    One task trains it, from the bounded sample, so that the driver gets the tables of weights alone.
     """
     trains = fold(F.col("doc_id"), 5) != 0 if trains is None else trains
 
@@ -412,14 +356,15 @@ def trained(docs: DataFrame, labels: DataFrame, trains: Column | None = None) ->
         rows = sorted(row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "y")), strict=True))
         model = train([text for _, text, _ in rows], np.array([y for *_, y in rows], np.int64))
         yield pa.RecordBatch.from_pydict({
-            "weights": [model.weights.astype("<f4").tobytes()], "constant": [float(model.constant)],
-            "centre": [float(model.centre)], "slope": [float(model.slope)], "repeats": [model.repeats.tobytes()]})
+            "gate": [model.gate.astype("<f4").tobytes()], "level": [float(model.level)],
+            "weights": [model.weights.astype("<f4").tobytes()], "constant": [float(model.constant)], "centre": [float(model.centre)]})
 
     sample = labelled_sample(docs, labels, "toxic", trains, SAMPLE).repartition(1)
-    found = sample.mapInArrow(fit, "weights binary, constant double, centre double, slope double, repeats binary").collect()
+    found = sample.mapInArrow(fit, "gate binary, level double, weights binary, constant double, centre double").collect()
     if not found:  # no labelled text at all
         return train([], np.zeros(0, np.int64))
-    return Model(np.frombuffer(found[0].weights, "<f4"), found[0].constant, found[0].centre, found[0].slope, symbol_table(), np.frombuffer(found[0].repeats, REPEAT))
+    gate, weights = (np.frombuffer(found[0][name], "<f4") for name in ("gate", "weights"))
+    return Model(gate, found[0].level, weights, found[0].constant, found[0].centre, SLOPE, symbol_table())
 
 
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,7 +1,7 @@
 """A search index that grows by segments: appended to, searched while it grows, merged now and then.
 
 Every append writes a segment of its own: its rows, their postings, the vocabulary with how often each token occurs,
-character grams for substring search, and a filter of its keys. One published state (:mod:`vulnatlas.sinks.manifest`)
+character grams for substring search, a filter of its keys, and its share of the summaries. One published state (:mod:`vulnatlas.sinks.manifest`)
 names the live segments; a segment without a state that names it does not exist for readers, so an append that was
 stopped leaves nothing behind and may simply be run again. A merge folds small segments into one without tokenising
 again.
@@ -27,6 +27,7 @@ from vulnatlas.operators.match_tree import Tree, analyzed, match_tree, required
 from vulnatlas.operators.merging import one_per_key
 from vulnatlas.operators.ngrams import gram_postings, substring_rows
 from vulnatlas.operators.postings import build_postings
+from vulnatlas.operators.summaries import merged_summary, partial_summary
 from vulnatlas.session import hadoop_path, staged
 from vulnatlas.sinks.manifest import publish_state, read_state, remove_older_states, remove_unused
 
@@ -35,7 +36,7 @@ UNSCORED = -1
 NARROW_IDS = 100_000
 #: Keys that may be stored up to which they are given to the scan of the stored ones.
 KEYS_IN_SCAN = 1000
-PARTS = ("rows", "postings", "terms", "grams", "gram_terms", "keys")
+PARTS = ("rows", "postings", "terms", "grams", "gram_terms", "keys", "summary")
 
 
 def folder(root: str, part: str, segment: str) -> str:
@@ -144,6 +145,7 @@ def append_segment(
             with staged(gram_postings(rows, key, substring), "grams") as found:
                 _write_grams(found, root, name)
         _write_keys(rows, key, words, root, name)
+        partial_summary(rows, score).write.parquet(folder(root, "summary", name))
         segments.append({"name": name, "rows": n, "blocks": blocks, "filter_words": words})
     else:
         target, fs = hadoop_path(spark, folder(root, "rows", name))
@@ -192,6 +194,7 @@ def merge_segments(spark: SparkSession, root: str, smaller_than: int | None = No
     n = sum(s["rows"] for s in chosen)
     words = words_for(n)
     _write_keys(rows, key, words, index.root, name)
+    merged_summary(index.part("summary", chosen)).write.parquet(folder(index.root, "summary", name))
     blocks: dict[str, int] = {}
     for segment in chosen:
         for block, size in segment["blocks"].items():

@@ -133,5 +133,16 @@ def patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unified_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One unified diff per document, in two hunks, with the document's source, language and first 30 characters as lines."""
+    lines = (
+        "'diff --git a/x b/x'", "'--- a/' || source || '/' || lang || '.c'", "'+++ b/' || source || '/' || lang || '.c'",
+        "'@@ -' || CAST(doc_id % 50 + 1 AS STRING) || ',4 +' || CAST(doc_id % 70 + 2 AS STRING) || ',4 @@ f()'", "' ' || lang",
+        "'-' || '-- ' || source", "'+' || '++ ' || source", "' ' || replace(left(text, 30), '\n', ' ')", "''",
+        "'@@ -200 +300,2 @@'", "'-' || lang", "'+' || source", "'+' || upper(source)", "'--- not in a hunk'",
+    )
+    return table(spark, sf_dir, "documents").selectExpr("doc_id AS id", f"concat_ws('\n', {', '.join(lines)}) AS diff")
+
+
 def postings(spark: SparkSession, sf_dir: str, only: list[str] | None = None, stem: bool = False) -> DataFrame:
     return build_postings(texts(spark, sf_dir), only=only, stem=stem)

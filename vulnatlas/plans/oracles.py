@@ -112,6 +112,19 @@ STEMS = ", ".join(
   FROM occurrences o JOIN s{len(STEM_STEPS) - 1} s ON o.token = s.token)"""
 RESULT = "id, published, severity, cvss, cwe, description"
 
+DIFFS = """base AS (
+  SELECT doc_id AS id, source || '/' || lang || '.c' AS file, doc_id % 50 + 1 AS o, doc_id % 70 + 2 AS n, lang, source,
+    replace(left(text, 30), chr(10), ' ') AS start FROM documents),
+diffs AS (
+  SELECT id, file, 1 AS hunk, 'context' AS side, o AS old_line, n AS new_line, lang AS line FROM base
+  UNION ALL SELECT id, file, 1, 'removed', o + 1, NULL, '-- ' || source FROM base
+  UNION ALL SELECT id, file, 1, 'added', NULL, n + 1, '++ ' || source FROM base
+  UNION ALL SELECT id, file, 1, 'context', o + 2, n + 2, start FROM base
+  UNION ALL SELECT id, file, 1, 'context', o + 3, n + 3, '' FROM base
+  UNION ALL SELECT id, file, 2, 'removed', 200, NULL, lang FROM base
+  UNION ALL SELECT id, file, 2, 'added', NULL, 300, source FROM base
+  UNION ALL SELECT id, file, 2, 'added', NULL, 301, upper(source) FROM base)"""
+
 ORACLES: dict[str, str] = {
     # --- normalisation
     "advisories": f"WITH {CVES} SELECT * FROM cves",
@@ -210,7 +223,7 @@ ORACLES: dict[str, str] = {
           AND cwe IN ('CWE-73', 'CWE-81') ORDER BY cvss DESC NULLS LAST, id LIMIT 40""",
     "lookup_cve": f"""WITH {CVES} SELECT id, published, severity, cvss, cwe, description, source AS "references",
         status AS "refTags", source, status FROM cves WHERE id = 'CVE-2006-00007'""",
-    "lookup_exploits": f"""WITH {EXPLOITS} SELECT cve AS cve_id, id // 100000 AS block, id AS exploitdb_id, description, type,
+    "lookup_exploits": f"""WITH {EXPLOITS} SELECT cve AS cve_id, 0 AS block, id AS exploitdb_id, description, type,
         platform, markdown, url FROM exploits WHERE cve = 'CVE-2006-00007'""",
     "cwe_exact": f"WITH {CVES} SELECT id, cwe FROM cves WHERE cwe IN ('CWE-75', 'CWE-8')",
     "cwe_substring": f"WITH {CVES} SELECT id, cwe FROM cves WHERE cwe LIKE '%CWE-75%' OR cwe LIKE '%CWE-8%'",
@@ -228,9 +241,11 @@ ORACLES: dict[str, str] = {
     "exploit_cve_map": f"WITH {EXPLOITS} SELECT id AS exploit_id, cves FROM exploits WHERE cve IS NOT NULL",
     "cve_exploits": f"""WITH {CVES}, {EXPLOITS} SELECT c.id AS cve_id, c.severity, c.cvss, e.id AS exploit_id, e.type, e.platform
         FROM cves c JOIN exploits e ON e.cve = c.id""",
-    "cve_with_exploits": f"""WITH {CVES}, {EXPLOITS} SELECT c.id, c.severity, e.id // 100000 AS block,
+    "cve_with_exploits": f"""WITH {CVES}, {EXPLOITS} SELECT c.id, c.severity, e.id // 1000 AS block,
         CAST(count(e.id) AS INTEGER) AS n, string_agg(CAST(e.id AS VARCHAR), ',' ORDER BY e.id) AS exploit_ids
         FROM cves c LEFT JOIN exploits e ON e.cve = c.id GROUP BY ALL""",
+    "stored_lookup": f"""WITH {CVES}, {EXPLOITS} SELECT cve AS cve_id, e.id AS exploitdb_id, e.description, type, platform, markdown, url
+        FROM exploits e JOIN cves c ON c.id = e.cve WHERE cve = 'CVE-2006-00007'""",
     "exploit_counts": f"""WITH {CVES}, {EXPLOITS} SELECT c.id, count(e.id) AS n FROM cves c LEFT JOIN exploits e ON e.cve = c.id
         GROUP BY c.id""",
     "coverage_gap": """SELECT d.doc_id AS id, d.lang, d.source FROM documents d
@@ -255,6 +270,10 @@ ORACLES: dict[str, str] = {
         UNION ALL (SELECT 'top_scored', substring(description, 1, 60), NULL FROM cves ORDER BY cvss DESC NULLS LAST, id LIMIT 5)
         UNION ALL SELECT 'enrichment_tables', 'hf_vuln_patches', NULL
         UNION ALL SELECT 'enrichment_tables', 'hf_vuln_scores', NULL""",
+    "kept_summaries": f"""WITH {CVES}, y AS (SELECT substring(published, 1, 4) AS year, count(*) AS n FROM cves GROUP BY 1)
+        SELECT 'by_severity' AS section, severity AS item, count(*) AS n FROM cves GROUP BY severity
+        UNION ALL (SELECT 'top_cwe', cwe, count(*) AS n FROM cves WHERE cwe IS NOT NULL GROUP BY cwe ORDER BY n DESC, cwe LIMIT 10)
+        UNION ALL SELECT 'by_year', year, n FROM y""",
     # --- enrichment
     "any_table_search": """SELECT * FROM (
           SELECT 'hf_benchmark' AS "table", CAST(item_id AS VARCHAR) AS id, text AS description, NULL AS title,
@@ -280,6 +299,8 @@ ORACLES: dict[str, str] = {
         FROM documents d WHERE contains(lower(d.text), 'of the')""",
     "b64_roundtrip": f"""SELECT {ID} AS id, CAST(0 AS INTEGER) AS n, decode(from_base64(to_base64(encode(d.text)))) AS diff FROM documents d
         UNION ALL SELECT {ID}, 1, NULL FROM documents d""",
+    "patch_lines": f"WITH {DIFFS} SELECT * FROM diffs",
+    "changed_lines": f"WITH {DIFFS} SELECT * FROM diffs WHERE side = 'added' AND contains(lower(line), 'src1') AND contains(file, '/en')",
     "text_compat": f"""WITH {EXPLOITS} SELECT CAST(id AS VARCHAR) AS id, description, date, author, type, platform, port,
         CASE WHEN verified THEN 'true' ELSE 'false' END AS verified,
         CASE WHEN cve IS NULL THEN '[]' ELSE '["' || cve || '"]' END AS cves,
@@ -297,7 +318,13 @@ ORACLES: dict[str, str] = {
     "provenance": """SELECT 'own/' || t AS dataset, 'parquet' AS mode, 'default' AS config, 'train' AS split, n AS rows, 'hf_' || t AS "table"
         FROM (SELECT 'documents' AS t, count(*) AS n FROM documents UNION ALL SELECT 'labels', count(*) FROM labels
               UNION ALL SELECT 'pages', count(*) FROM pages)""",
+    "enrichment_build": """SELECT 'own: doc_id,quality,toxic' AS "table", count(*) AS n FROM labels
+        UNION ALL SELECT 'own__new: item_id,text', count(*) FROM benchmark
+        UNION ALL SELECT 'own__old: event_id,event_type,props,ts,user_id,value', count(*) FROM events""",
     # --- landing, merging and publishing
+    "feed_files": f"""WITH {FEED} SELECT id, published, severity, cvss, cwe, description, source, status, year FROM feed""",
+    "published_state": f"""WITH {CVES}, {EXPLOITS} SELECT 'cves' AS "table", id, severity AS item FROM cves
+        UNION ALL SELECT 'exploits', CAST(id AS VARCHAR), platform FROM exploits""",
     "catalogue_csv": """SELECT CAST(doc_id AS VARCHAR) AS id, text AS description, '"' || lang || '",' || source AS tags,
         '' AS port, CAST(NULL AS VARCHAR) AS codes FROM documents""",
     "jsonl_index": f"""WITH {CVES} SELECT id, published, severity, cvss, cwe, description, source, status,
@@ -318,4 +345,5 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["scan_search"] = ORACLES["append_then_search"] = ORACLES["search_all_filters"]
 ORACLES["stream_then_search"] = ORACLES["search_filtered"]
+ORACLES["stored_cve_exploits"] = ORACLES["cve_exploits"]
 ORACLES["table_upsert"] = ORACLES["map_upsert"]

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from vulnatlas.functions import columns as C
 from vulnatlas.functions.text import tokens
-from vulnatlas.operators import enrichment, filters, limits, links, matching, merging, normalize, segments
+from vulnatlas.operators import diffs, enrichment, filters, limits, link_store, links, matching, merging, normalize, segments, summaries
 from vulnatlas.operators import match_tree as T
 from vulnatlas.operators.postings import write_postings
 from vulnatlas.plans import driver_tables as D
+from vulnatlas.plans import pipeline
 from vulnatlas.plans import queries as Q
 from vulnatlas.plans import stats as S
 from vulnatlas.session import shared_path
@@ -401,13 +402,36 @@ def cve_exploits(spark, sf_dir):
 
 @query
 def cve_with_exploits(spark, sf_dir):
-    rows = links.advisories_with_exploits(D.cves(spark, sf_dir).select("id", "severity"), D.exploits(spark, sf_dir))
+    rows = links.advisories_with_exploits(D.cves(spark, sf_dir).select("id", "severity"), D.exploits(spark, sf_dir), block=1000)
     ids = F.transform("exploits", lambda e: e["exploitdb_id"])
     return rows.select(
         "id", "severity", "block", F.coalesce(F.size("exploits"), F.lit(0)).alias("n"), joined(ids).alias("exploit_ids")
     )
 
 
+def bucketed(spark, sf_dir) -> tuple[str, str]:
+    """Advisories and links stored by buckets, the second half of the exploits added afterwards, twice."""
+    names = tuple(f"{name}_{uuid.uuid4().hex}" for name in ("cves_by_id", "exploit_links"))
+    exploits = D.exploits(spark, sf_dir)
+    link_store.store_links(D.cves(spark, sf_dir).select("id", "severity", "cvss"), exploits.filter("verified"), *names)
+    for _ in range(2):
+        link_store.add_links(exploits, names[1])
+    return names
+
+
+@query
+def stored_cve_exploits(spark, sf_dir):
+    """Stored links joined bucket by bucket."""
+    return link_store.stored_links(spark, *bucketed(spark, sf_dir)).select("cve_id", "severity", "cvss", "exploit_id", "type", "platform")
+
+
+@query
+def stored_lookup(spark, sf_dir):
+    """Exploits of one advisory from one bucket."""
+    rows = link_store.stored_lookup(spark, *bucketed(spark, sf_dir), "cve-2006-00007")
+    return rows.select("cve_id", "exploitdb_id", "description", "type", "platform", "markdown", "url")
+
+
 @query
 def exploit_counts(spark, sf_dir):
     """Exploits per advisory, counted before the join so that a hot advisory is one row."""
@@ -463,6 +487,21 @@ def stats(spark, sf_dir):
     return S.stats(D.cves(spark, sf_dir), D.exploits(spark, sf_dir), files, ["hf_vuln_patches", "hf_vuln_scores"])
 
 
+@query
+def kept_summaries(spark, sf_dir):
+    """Summaries merged from those of two deliveries and a merge, without reading an advisory again."""
+    root = delivered_index(spark, sf_dir)
+    parts = segments.open_index(spark, root).part("summary")
+    segments.merge_segments(spark, root)
+    merged = segments.open_index(spark, root).part("summary")
+
+    def section(name, df, item):
+        return df.select(F.lit(name).alias("section"), F.col(item).alias("item"), "n")
+
+    return section("by_severity", summaries.kept_severity_counts(parts), "severity").unionAll(
+        section("top_cwe", summaries.kept_top_cwe(merged), "cwe")).unionAll(section("by_year", summaries.kept_year_counts(merged), "year"))
+
+
 # --- enrichment ----------------------------------------------------------------------------
 
 
@@ -502,6 +541,17 @@ def b64_roundtrip(spark, sf_dir):
     return enrichment.decoded_patches(D.patches(spark, sf_dir)).select("id", "n", "diff")
 
 
+@query
+def patch_lines(spark, sf_dir):
+    """Lines of unified diffs by file, hunk, side and number; removed and added lines look like file headers."""
+    return diffs.diff_lines(D.unified_patches(spark, sf_dir))
+
+
+@query
+def changed_lines(spark, sf_dir):
+    return diffs.changed_lines(D.unified_patches(spark, sf_dir), "SRC1", side="added", file="/en")
+
+
 @query
 def text_compat(spark, sf_dir):
     return enrichment.text_view(D.exploits(spark, sf_dir))
@@ -563,9 +613,46 @@ def joined_names(df: DataFrame) -> str:
     return ",".join(df.columns)
 
 
+@query
+def enrichment_build(spark, sf_dir):
+    """Datasets whose names begin alike, built into catalog tables twice, listed and read back."""
+    path, mark = shared_path(spark, "enrichment"), f"hf_{uuid.uuid4().hex}_"
+    for table, name in (("labels", "own"), ("benchmark", "own__new"), ("events", "own__old")):
+        writers.land_enrichment(D.table(spark, sf_dir, table), name, path, f"{mark}{name}")
+    for _ in range(2):
+        pipeline.build(spark, shared_path(spark, "postings"), enrichment_dir=path)
+    stored = [name for name in tables.enrichment_tables(spark) if name.startswith(mark)]
+    return S.table_counts({f"{name.removeprefix(mark)}: {joined_names(df)}": df for name, df in tables.existing_tables(spark, stored).items()})
+
+
 # --- landing, merging and publishing -------------------------------------------------------
 
 
+@query
+def feed_files(spark, sf_dir):
+    """Feed documents, one file for each year and language, written, scanned and built into the advisory table."""
+    path = shared_path(spark, "feeds")
+    items = D.feed_items(spark, sf_dir)
+    text = F.concat(F.lit('{"vulnerabilities":['), F.array_join(F.collect_list("raw"), ","), F.lit("]}"))
+    documents = items.groupBy(C.published_year(F.col("cve.published")), "source_order.file").agg(text.alias("value"))
+    documents.select("value").write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+    rows = pipeline.advisory_table(spark, f"{path}/*.gz")
+    return rows.select("id", "published", "severity", "cvss", "cwe", "description", "source", "status", "year")
+
+
+@query
+def published_state(spark, sf_dir):
+    """Two tables published together, one of them published anew, both read as of the newest state."""
+    root = shared_path(spark, "state")
+    cves = D.cves(spark, sf_dir).select("id", "severity")
+    writers.publish_together(spark, root, {"cves": cves.limit(0), "exploits": D.exploits(spark, sf_dir).select("id", "platform")}, {"exploits": "id"})
+    writers.publish_together(spark, root, {"cves": cves}, {"cves": "id"})
+    found = tables.read_together(spark, root)
+    return found["cves"].selectExpr("'cves' AS `table`", "id", "severity AS item").unionAll(
+        found["exploits"].selectExpr("'exploits'", "CAST(id AS STRING)", "platform"))
+
+
+
 @query
 def catalogue_csv(spark, sf_dir):
     """Whole texts with quotes and line breaks written as CSV and scanned as a catalogue."""

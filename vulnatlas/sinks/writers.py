@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
@@ -9,6 +11,7 @@ from pyspark.sql.observation import Observation
 from vulnatlas.functions.columns import json_row, published_year
 from vulnatlas.operators.merging import new_rows, one_per_key, require_unique, upsert
 from vulnatlas.session import path_exists, staged, write_text_file
+from vulnatlas.sinks.manifest import publish_state, read_state
 from vulnatlas.sources.tables import ENRICHMENT_PREFIX, qualified, stored_table
 
 # Published folder of each table.
@@ -28,12 +31,16 @@ def counted_write(df: DataFrame, write) -> int:
     return counter.get["n"]
 
 
-def publish_table(df: DataFrame, path: str, key: str, parts: int | None = None) -> int:
+def publish_table(df: DataFrame, path: str, key: str | None, parts: int | None = None) -> int:
     """Write one table as Parquet ordered by ``key`` and return its row count.
 
     Ranges of the key per file, sorted rows and a bloom filter make a lookup by key read one row
-    group. ``parts`` fixes the number of files.
+    group. ``parts`` fixes the number of files. Without a key, rows are dealt out evenly: no other column is
+    known to part them.
     """
+    if key is None:
+        dealt = df.repartition(parts) if parts else df
+        return counted_write(dealt, lambda d: d.write.mode("overwrite").option("compression", "zstd").parquet(path))
     ranged = df.repartitionByRange(parts, key) if parts else df.repartitionByRange(key)
     ordered = ranged.sortWithinPartitions(key)
     return counted_write(
@@ -51,12 +58,30 @@ def publish(tables: dict[str, DataFrame], directory: str, parts: dict[str, int]
     for table, folder in PUBLISHED.items():
         if table in tables:
             df = tables[table]
-            key = "path" if table == "writeups" else "id" if "id" in df.columns else df.columns[0]
+            key = next((name for name in ("path", "id") if name in df.columns), None)
             path = f"{directory.rstrip('/')}/{folder}/train"
             counts[folder] = publish_table(df, path, key, (parts or {}).get(folder))
     return counts
 
 
+def publish_together(spark: SparkSession, root: str, tables: dict[str, DataFrame], keys: dict[str, str] | None = None) -> dict[str, int]:
+    """Publish the given tables as one new state of ``root``, in which all others stay as they are; their row counts.
+
+    Every table is written to a folder of its own before the state that names them all is published, so readers
+    (:func:`vulnatlas.sources.tables.read_together`) see the old tables or the new ones, never some of each. Tables
+    with a key in ``keys`` are stored in ranges of it.
+    """
+    root = root.rstrip("/")
+    number, state = read_state(spark, root)
+    folders, counts = dict(state.get("tables", {})), {}
+    for name, df in tables.items():
+        folders[name] = f"{name}/{uuid.uuid4().hex}"
+        path, key = f"{root}/{folders[name]}", (keys or {}).get(name)
+        counts[name] = publish_table(df, path, key) if key else counted_write(df, lambda d, path=path: d.write.parquet(path))
+    publish_state(spark, root, number, state | {"tables": folders})
+    return counts
+
+
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One JSON object per row, nulls written, non-ASCII text as it is."""
     df.write.mode(mode).option("ignoreNullFields", False).json(path)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vulnatlas.session import path_exists
+from vulnatlas.sinks.manifest import read_state
 from vulnatlas.sources.jsonl import read_any
 
 ENRICHMENT_PREFIX = "hf_"
@@ -35,6 +36,12 @@ def read_published(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}/train")
 
 
+def read_together(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """All tables of the newest published state; those of an older one keep their files until they are removed."""
+    _, state = read_state(spark, root)
+    return {name: spark.read.parquet(f"{root.rstrip('/')}/{folder}") for name, folder in sorted(state.get("tables", {}).items())}
+
+
 def existing_tables(spark: SparkSession, names: list[str]) -> dict[str, DataFrame]:
     """The named catalog tables that exist; the others are left out."""
     return {name: stored_table(spark, name) for name in names if spark.catalog.tableExists(qualified(spark, name))}

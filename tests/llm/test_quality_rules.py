@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
+from math import log2
 
 from pyspark.sql import functions as F
 
@@ -67,3 +69,55 @@ def test_rare_and_small_values_are_reached(spark):
     labels = spark.range(600).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 20 == 0, 0).otherwise(1).alias("quality"))
     rows = Q.judged(docs, labels, F.lit(True)).join(labels, "doc_id")
     assert rows.filter("quality = 0 AND kept").count() == 0 and rows.filter("quality = 1 AND NOT kept").count() == 0
+
+
+def plain_learn(rows, thresholds):
+    """The decision list as its definition says it, on rows as dictionaries."""
+    def holds(row, conditions):
+        return all((row[name] > k) == above for name, above, k in conditions)
+
+    def count(rows, conditions=()):
+        chosen = [row["y"] for row in rows if holds(row, conditions)]
+        return chosen.count(0), chosen.count(1)
+
+    rules, left = [], rows
+    while len(rules) < Q.RULES:
+        grown = ()
+        while len(grown) < Q.CONDITIONS:
+            covered = [row for row in left if not row["prunes"] and holds(row, grown)]
+            p0, n0 = count(covered)
+            gains = []
+            for name in Q.FEATURES if p0 and n0 else ():
+                for k in range(len(thresholds[name])):
+                    for above in (True, False):
+                        p, n = count(covered, ((name, above, k),))
+                        if p:
+                            gains.append((p * (log2(p / (p + n)) - log2(p0 / (p0 + n0))), (name, above, k)))
+            best = max(gains, key=lambda g: g[0], default=(0, None))
+            if best[0] <= 1e-9:
+                break
+            grown += (best[1],)
+        prunes = [row for row in left if row["prunes"]]
+        worth = [(p - n) / (p + n) if p + n else -1 for p, n in (count(prunes, grown[:k + 1]) for k in range(len(grown)))]
+        while len(grown) > 1 and worth[len(grown) - 2] >= worth[len(grown) - 1]:
+            grown = grown[:-1]
+        p, n = count(prunes, grown)
+        if not grown or not p or p < Q.PRECISION * (p + n):
+            return rules
+        rules.append(Q.Rule(tuple((name, above, thresholds[name][k]) for name, above, k in grown)))
+        left = [row for row in left if not holds(row, grown)]
+    return rules
+
+
+def test_the_list_equals_its_definition(spark):
+    rng = random.Random(9)
+    rows = []
+    for k in range(500):
+        bins = {name: rng.randrange(4) for name in Q.FEATURES}
+        low = bins["n_words"] == 3 and bins["word_length"] > 0 or bins["symbol_share"] > 2 or rng.random() < 0.04
+        rows.append(bins | {"y": int(not low), "prunes": k % 3 == 0})
+    thresholds = {name: [0.5, 1.5, 2.5] for name in Q.FEATURES}
+    want = plain_learn(rows, thresholds)
+    assert len(want) >= 2 and any(len(rule.conditions) > 1 for rule in want)
+    assert Q.learn(spark.createDataFrame(rows), thresholds) == want
+    assert Q.learn(spark.createDataFrame(rows).limit(0), thresholds) == []

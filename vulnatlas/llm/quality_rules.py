@@ -1,23 +1,23 @@
 """Quality rules: statistics of a text, and a decision list learned from labelled ones, all as Spark expressions.
 
 The statistics are SQL expressions over each text alone. For learning, the labelled rows' features are cut at
-quantiles of all rows, of the low-quality ones and of values above 0, midway between two values, into bins, and Spark counts the rows of each combination of bins, label and half: those counts, at
-most one per combination, are all that leaves Spark. On them, sequential covering grows one rule after the
-other for low quality: conditions are added by the gain in information over the growing half, then taken back
-while that raises (p - n) / (p + n) on the pruning half; a rule that is right on less than ``PRECISION`` of the
-pruning half ends the list. The list comes out as one ordered CASE expression over thresholds.
+quantiles of all rows, of the low-quality ones and of values above 0, midway between two values, into bins, which
+are stored. Sequential covering grows one rule after the other for low quality: conditions are added by the gain in
+information over the growing half, then taken back while that raises (p - n) / (p + n) on the pruning half; a rule
+that is right on less than ``PRECISION`` of the pruning half ends the list. For each condition Spark counts the rows
+still covered by feature, bin and label: a few hundred numbers, however many rows there are, are all that leaves it.
+The list comes out as one ordered CASE expression over thresholds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from math import log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vulnatlas.llm.text import id_and_text, stored
+from vulnatlas.llm.text import id_and_text, remove_stored, stored
 
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -114,14 +114,15 @@ def decision(rules: list[Rule]) -> Column:
     return out
 
 
-def labelled_counts(stats: DataFrame, labels: DataFrame, trains: Column) -> tuple[list[dict], dict[str, list[float]]]:
-    """Rows of each combination of bins, label and half, and the bins' thresholds, over all labelled rows that train.
+def binned_rows(stats: DataFrame, labels: DataFrame, trains: Column) -> tuple[DataFrame, dict[str, list[float]]]:
+    """``y, prunes`` and each feature's bin of the labelled rows that train, stored, and the bins' thresholds.
 
     A row that fails the base rules trains nothing; a repeated id counts once, with the larger label.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
     known = known.filter("doc_id IS NOT NULL AND y IN (0, 1)").filter(trains).groupBy("doc_id").agg(F.max("y").alias("y"))
     rows = features(stats).filter(~base_failed()).join(known, "doc_id").select("doc_id", "y", *FEATURES)
+
     def quantiles(of: Column, parts: int) -> Column:
         return F.coalesce(F.percentile_approx(of, F.array(*(F.lit(k / parts) for k in range(parts + 1))), 1000), F.array().cast("array<double>"))
 
@@ -136,66 +137,68 @@ def labelled_counts(stats: DataFrame, labels: DataFrame, trains: Column) -> tupl
         sum((F.when(F.col(name) > t, 1).otherwise(0) for t in thresholds[name]), F.lit(0)).cast("int").alias(name) for name in FEATURES
     ]
     half = (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("prunes")
-    counts = rows.select("y", half, *bins).groupBy("y", "prunes", *FEATURES).agg(F.count(F.lit(1)).alias("n"))
-    return [row.asDict() for row in counts.collect()], thresholds
-
-
-def learn(counts: list[dict], thresholds: dict[str, list[float]]) -> list[Rule]:
-    """The decision list from counts of combinations of bins."""
-
-    def holds(row: dict, condition: tuple[str, bool, int]) -> bool:
-        name, above, k = condition
-        return (row[name] > k) == above
-
-    def total(rows: list[dict], conditions: tuple, prunes: bool) -> tuple[int, int]:
-        p = n = 0
-        for row in rows:
-            if row["prunes"] == prunes and all(holds(row, c) for c in conditions):
-                p, n = (p + row["n"], n) if row["y"] == 0 else (p, n + row["n"])
-        return p, n
-
-    def totals(rows: list[dict]) -> Iterator[tuple[tuple[str, bool, int], int, int]]:
-        """Each condition with the low-quality and the good rows that it holds for."""
-        for name in FEATURES:
-            bins = [[0, 0] for _ in range(len(thresholds[name]) + 1)]
-            for row in rows:
-                bins[row[name]][row["y"]] += row["n"]
-            everything, below = [sum(b[y] for b in bins) for y in (0, 1)], [0, 0]
-            for k in range(len(thresholds[name])):
-                below = [below[y] + bins[k][y] for y in (0, 1)]
-                yield (name, True, k), everything[0] - below[0], everything[1] - below[1]
-                yield (name, False, k), *below
-
-    rules, left = [], counts
+    return stored(rows.select("y", half, *bins), "binned"), thresholds
+
+
+Condition = tuple[str, bool, int]  # a feature's bin is above a number, or not
+
+
+def _holds(conditions: tuple[Condition, ...]) -> Column:
+    out = F.lit(True)
+    for name, above, k in conditions:
+        out = out & (F.col(name) > k if above else F.col(name) <= k)
+    return out
+
+
+def _totals(covered: DataFrame, thresholds: dict[str, list[float]]) -> tuple[list[int], list[tuple[Condition, int, int]]]:
+    """The low-quality and good rows covered, and those that each condition leaves, from one count by feature and bin."""
+    cells = F.explode(F.array(*(F.struct(F.lit(k).alias("feature"), F.col(name).alias("bin")) for k, name in enumerate(FEATURES))))
+    found = covered.select("y", cells.alias("c")).groupBy("c.feature", "c.bin", "y").agg(F.count(F.lit(1)).alias("n")).collect()
+    bins = [[[0, 0] for _ in range(len(thresholds[name]) + 1)] for name in FEATURES]
+    for row in found:
+        bins[row.feature][row.bin][row.y] += row.n
+    everything, out = [sum(b[y] for b in bins[0]) for y in (0, 1)], []
+    for name, counts in zip(FEATURES, bins, strict=True):
+        below = [0, 0]
+        for k in range(len(thresholds[name])):
+            below = [below[y] + counts[k][y] for y in (0, 1)]
+            out.append(((name, True, k), everything[0] - below[0], everything[1] - below[1]))
+            out.append(((name, False, k), *below))
+    return everything, out
+
+
+def learn(rows: DataFrame, thresholds: dict[str, list[float]]) -> list[Rule]:
+    """The decision list from binned rows; for equal gains the first condition in the order of features and thresholds."""
+    rules, left = [], rows
     while len(rules) < RULES:
-        grown, covered = (), [row for row in left if not row["prunes"]]
+        grown: tuple[Condition, ...] = ()
         while len(grown) < CONDITIONS:
-            p0, n0 = total(covered, (), False)
+            (p0, n0), totals = _totals(left.filter(~F.col("prunes") & _holds(grown)), thresholds)
             if not p0 or not n0:
                 break
             best = None
-            for c, p, n in totals(covered):
+            for condition, p, n in totals:
                 if p:
                     gain = p * (log2(p / (p + n)) - log2(p0 / (p0 + n0)))
-                    best = max(best or (0.0, c), (gain, c), key=lambda g: g[0])
+                    best = max(best or (0.0, condition), (gain, condition), key=lambda g: g[0])
             if best is None or best[0] <= 1e-9:
                 break
             grown += (best[1],)
-            covered = [row for row in covered if holds(row, best[1])]
         if not grown:
             break
-
-        def worth(conditions: tuple, left=left) -> float:
-            p, n = total(left, conditions, True)
-            return (p - n) / (p + n) if p + n else -1.0
-
-        while len(grown) > 1 and worth(grown[:-1]) >= worth(grown):
-            grown = grown[:-1]
-        p, n = total(left, grown, True)
+        # How the rule and its shorter forms do on the pruning half, in one aggregate.
+        forms = [grown[:k] for k in range(1, len(grown) + 1)]
+        counts = left.filter("prunes").agg(*(
+            F.coalesce(F.sum((_holds(form) & (F.col("y") == y)).cast("long")), F.lit(0)) for form in forms for y in (0, 1))).first()
+        worth = [(p - n) / (p + n) if p + n else -1.0 for p, n in zip(counts[::2], counts[1::2], strict=True)]
+        size = len(grown)
+        while size > 1 and worth[size - 2] >= worth[size - 1]:
+            size -= 1
+        p, n = counts[2 * size - 2], counts[2 * size - 1]
         if not p or p < PRECISION * (p + n):
             break
-        rules.append(Rule(tuple((name, above, thresholds[name][k]) for name, above, k in grown)))
-        left = [row for row in left if not all(holds(row, c) for c in grown)]
+        rules.append(Rule(tuple((name, above, thresholds[name][k]) for name, above, k in grown[:size])))
+        left = left.filter(~_holds(grown[:size]))
     return rules
 
 
@@ -205,7 +208,9 @@ def judged(docs: DataFrame, labels: DataFrame, trains: Column) -> DataFrame:
     Without a labelled row of each kind there is no rule, and the base rules decide alone.
     """
     stats = stored(statistics(docs), "statistics")
-    rules = learn(*labelled_counts(stats, labels, trains))
+    rows, thresholds = binned_rows(stats, labels, trains)
+    rules = learn(rows, thresholds)
+    remove_stored(rows)
     rule = decision(rules)
     return features(stats).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"),

@@ -21,6 +21,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,38 +58,113 @@ def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return gzip.compress(b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n", LEVEL, mtime=0)
 
 
-def _members(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
-    """The contents of gzip members that follow each other."""
-    at = 0
-    while at < len(data):
-        member = zlib.decompressobj(31)
-        while not member.eof:
-            if at >= len(data):
-                raise ValueError("a gzip member that is cut short")
-            some = data[at:at + step]
-            yield member.decompress(some)
-            at += len(some) - len(member.unused_data)
-
-
-def records(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
-    """Headers and block of each record of a file, gzip members or plain."""
-    plain = b"".join(_members(data)) if data[:2] == b"\x1f\x8b" else data
+GZIP = b"\x1f\x8b\x08"
+
+
+def _contents(data: bytes, step: int = 1 << 16) -> Iterator[bytes | None]:
+    """The bytes of a file piece by piece: of its gzip members if it has any, None where one of them is broken."""
+    if data[:2] != GZIP[:2]:
+        yield from (data[at:at + step] for at in range(0, len(data), step))
+        return
     at = 0
-    while at < len(plain):
-        if plain.startswith(b"\r\n", at):
-            at += 2
+    while at >= 0:
+        begin, member = at, zlib.decompressobj(31)
+        try:
+            while not member.eof:
+                if at >= len(data):
+                    raise zlib.error("a gzip member that is cut short")
+                some = data[at:at + step]
+                yield member.decompress(some)
+                at += len(some) - len(member.unused_data)
+            at = data.find(GZIP, at)  # what does not begin a member, such as padding, is passed over
+        except zlib.error:
+            yield None
+            at = data.find(GZIP, begin + 1)
+
+
+def records(data: bytes, broken: list[str] | None = None) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
+    """Headers and block of each record of a file, gzip members or plain, of which one is held at a time.
+
+    A broken member or record is an error; or, with a list ``broken``, noted there and passed over up to the next
+    member or record that begins.
+    """
+
+    def fault(what: str) -> None:
+        if broken is None:
+            raise ValueError(what)
+        broken.append(what)
+
+    held, need = bytearray(), 0
+    for piece in _contents(data):
+        if piece is None:
+            fault("a gzip member that is cut short or damaged")
+            held, need = bytearray(), 0
             continue
-        head = plain.index(b"\r\n\r\n", at)
-        version, *lines = plain[at:head].split(b"\r\n")
-        if not version.startswith(b"WARC/"):
-            raise ValueError("not a record of a web archive")
-        headers = [(n.strip(), v.strip()) for n, _, v in (line.decode("utf-8", "replace").partition(":") for line in lines)]
-        size = int(next(v for n, v in headers if n.lower() == "content-length"))
-        block = plain[head + 4:head + 4 + size]
-        if len(block) < size:
-            raise ValueError("a record that is cut short")
-        yield headers, block
-        at = head + 4 + size
+        held += piece
+        while len(held) >= need:
+            begin = len(held) - len(held.lstrip(b"\r\n"))
+            head = held.find(b"\r\n\r\n", begin)
+            if head < 0:
+                break
+            version, *lines = bytes(held[begin:head]).split(b"\r\n")
+            headers = [(n.strip(), v.strip()) for n, _, v in (line.decode("utf-8", "replace").partition(":") for line in lines)]
+            length = next((v for n, v in headers if n.lower() == "content-length"), "")
+            if not version.startswith(b"WARC/") or not length.isdigit():
+                fault("not a record of a web archive")
+                found = held.find(b"WARC/", begin + 1)
+                del held[:found if found >= 0 else len(held)]
+                continue
+            need = head + 4 + int(length)
+            if len(held) < need:
+                break
+            yield headers, bytes(held[head + 4:need])
+            del held[:need]
+            need = 0
+    if held.strip(b"\r\n\0 "):
+        fault("a record that is cut short")
+
+
+def _unchunked(body: bytes) -> bytes:
+    """The body of a chunked transfer; as far as it goes if it is cut short."""
+    out, at = [], 0
+    while (end := body.find(b"\r\n", at)) >= 0:
+        size = re.match(rb"\s*([0-9a-fA-F]+)", body[at:end])
+        if not size or not int(size[1], 16):
+            break
+        at = end + 2 + int(size[1], 16)
+        out.append(body[end + 2:at])
+        at += 2
+    return b"".join(out)
+
+
+def http_body(block: bytes) -> tuple[str, dict[str, str], bytes, bool]:
+    """Status line, headers by lower-case name, decoded body of a response, and whether all its codings were known.
+
+    Chunked transfers and gzip, deflate and zstd contents are decoded; a body that is not what its headers say, as
+    archives often store it decoded, stays as it is.
+    """
+    head, _, body = block.partition(b"\r\n\r\n")
+    status, *lines = head.split(b"\r\n")
+    headers = {n.strip().lower(): v.strip() for n, _, v in (line.decode("latin-1").partition(":") for line in lines)}
+    if "chunked" in headers.get("transfer-encoding", "").lower() and re.match(rb"\s*[0-9a-fA-F]+\s*(;[^\r\n]*)?\r\n", body):
+        body = _unchunked(body)
+    known = True
+    for coding in reversed([c.strip().lower() for c in headers.get("content-encoding", "").split(",") if c.strip()]):
+        try:
+            if coding in ("gzip", "x-gzip"):
+                body = zlib.decompressobj(47).decompress(body) if body[:2] == GZIP[:2] else body
+            elif coding == "deflate":
+                try:
+                    body = zlib.decompressobj().decompress(body)
+                except zlib.error:
+                    body = zlib.decompressobj(-15).decompress(body)
+            elif coding == "zstd":
+                body = zstandard.ZstdDecompressor().decompressobj().decompress(body)
+            elif coding != "identity":
+                known = False
+        except (zlib.error, zstandard.ZstdError):
+            break  # stored decoded already
+    return status.decode("latin-1"), headers, body, known
 
 
 def plain_text(page: str) -> str:
@@ -112,19 +188,23 @@ def response(page_id: str, url: str, page: str) -> bytes:
 
 
 def derivatives(headers: list[tuple[str, str]], block: bytes) -> tuple[bytes, bytes]:
-    """The metadata and the conversion record of one response."""
+    """The metadata and the conversion record of one response.
+
+    A response without a record id gets one from its URI, date and block; the text of one in a coding that is not
+    known is empty.
+    """
     known = {name.lower(): value for name, value in headers}
-    source = known["warc-record-id"]
-    head, _, payload = block.partition(b"\r\n\r\n")
-    charset = re.search(rb"charset=([\w-]+)", head, re.I)
+    source = known.get("warc-record-id") or record_id("source", known.get("warc-target-uri", ""), known.get("warc-date", ""), digest(block))
+    status, http, body, decoded = http_body(block)
+    payload = block.partition(b"\r\n\r\n")[2]
+    charset = re.search(r"charset=[\"']?([\w-]+)", http.get("content-type", ""), re.I)
     try:
-        page = payload.decode(charset[1].decode() if charset else "utf-8", "replace")
+        page = body.decode(charset[1] if charset else "utf-8", "replace")
     except LookupError:  # a charset no one knows
-        page = payload.decode("utf-8", "replace")
-    text = plain_text(page).encode("utf-8", "replace")
+        page = body.decode("utf-8", "replace")
+    text = plain_text(page).encode("utf-8", "replace") if decoded else b""
     kept = [(f"Source-{name}", value) for name, value in headers if name.lower() not in ("warc-type", "warc-refers-to", "content-length")]
     links = [(n, known[n.lower()]) for n in ("WARC-Date", "WARC-Target-URI") if n.lower() in known]
-    status = head.split(b"\r\n")[0].decode("latin-1")
     facts = "".join(f"{n}: {v}\r\n" for n, v in (
         ("status-line", status), ("payload-digest", digest(payload)), ("payload-length", str(len(payload))),
         ("text-digest", digest(text)), ("text-length", str(len(text))))).encode()
@@ -154,12 +234,12 @@ class _Files:
         if self.held:
             name = f"part-{self.part:06d}-{self.turn:06d}.warc.gz"
             write_whole(self.folder, name, b"".join(self.held))
-            yield pa.RecordBatch.from_pydict({"file": [name], "records": pa.array([self.count], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"file": [name], "records": pa.array([self.count], pa.int64()), "broken": pa.array([0], pa.int64())})
             self.turn, self.held, self.size, self.count = self.turn + 1, [], 0, 0
 
 
 def write_responses(pages: DataFrame, folder: str) -> DataFrame:
-    """Write ``pages`` (page_id, url, html) as response records; ``file, records`` of each file.
+    """Write ``pages`` (page_id, url, html) as response records; ``file, records, broken`` of each file (none is broken).
 
     Null urls and pages count as empty, a null id as ``''``. Repeated rows are records of the same id. Other
     columns are ignored; no page gives no file.
@@ -173,22 +253,31 @@ def write_responses(pages: DataFrame, folder: str) -> DataFrame:
         yield from files.close()
 
     rows = pages.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("page_id", "url", "html")))
-    return rows.mapInArrow(write, "file string, records long")
+    return rows.mapInArrow(write, "file string, records long, broken long")
 
 
 def build_derivatives(spark: SparkSession, source: str, folder: str) -> DataFrame:
-    """Write the derivatives of all response records below ``source``; ``file, records`` of each file."""
+    """Write the derivatives of all response records below ``source``; ``file, records, broken`` of each file.
+
+    Records of other types are passed over. A member or record that is damaged or cut short is passed over too and
+    counted: ``broken`` of a row without a file is how many a source file has. Names of headers are in any case.
+    Records that repeat an id give derivatives that repeat theirs; no source gives no file.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = _Files(folder)
         for batch in batches:
             for data in batch.column("content"):
-                for headers, block in records(data.as_buffer().to_pybytes()):
-                    if ("WARC-Type", "response") in headers:
+                broken: list[str] = []
+                for headers, block in records(data.as_buffer().to_pybytes(), broken):
+                    if any(name.lower() == "warc-type" and value.lower() == "response" for name, value in headers):
                         yield from files.add(*derivatives(headers, block))
+                if broken:
+                    yield pa.RecordBatch.from_pydict({
+                        "file": pa.nulls(1, pa.string()), "records": pa.array([0], pa.int64()), "broken": pa.array([len(broken)], pa.int64())})
         yield from files.close()
 
-    return archive(spark, source).mapInArrow(write, "file string, records long")
+    return archive(spark, source).mapInArrow(write, "file string, records long, broken long")
 
 
 def archive(spark: SparkSession, folder: str) -> DataFrame:
@@ -200,20 +289,21 @@ def read_records(spark: SparkSession, folder: str, digests: bool = False) -> Dat
     """Every record below a folder: type, id, the id it refers to, source headers, its digest, and its text.
 
     With ``digests`` the ``block`` is left out; ``intact`` says whether the block has the digest of its header.
+    Headers are found by name in any case, null where a record lacks one; what is damaged is passed over.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column("content"):
                 rows = []
-                for headers, block in records(data.as_buffer().to_pybytes()):
-                    known = dict(headers)
+                for headers, block in records(data.as_buffer().to_pybytes(), []):
+                    known = {name.lower(): value for name, value in reversed(headers)}
                     text = block.decode("utf-8", "replace")
                     rows.append({
-                        "page_id": known.get("Source-X-Page-Id"), "type": known.get("WARC-Type"), "record_id": known.get("WARC-Record-ID"),
-                        "refers_to": known.get("WARC-Refers-To"), "url": known.get("WARC-Target-URI"),
-                        "source_digest": known.get("Source-WARC-Payload-Digest"), "block_digest": known.get("WARC-Block-Digest"),
-                        "n_chars": len(text), "intact": known.get("WARC-Block-Digest") == digest(block),
+                        "page_id": known.get("source-x-page-id"), "type": known.get("warc-type"), "record_id": known.get("warc-record-id"),
+                        "refers_to": known.get("warc-refers-to"), "url": known.get("warc-target-uri"),
+                        "source_digest": known.get("source-warc-payload-digest"), "block_digest": known.get("warc-block-digest"),
+                        "n_chars": len(text), "intact": known.get("warc-block-digest") == digest(block),
                     } | ({} if digests else {"block": text}))
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)

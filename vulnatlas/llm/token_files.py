@@ -258,10 +258,13 @@ class WordTokens:
 
 
 def open_folder(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """The file system and inner path of a folder that all executors share."""
-    if path.startswith("file:") or "://" not in path:
+    """The file system and inner path of a folder that all executors share; names of schemes as Spark has them."""
+    scheme, colon, inner = path.partition(":")
+    if scheme == "dbfs":  # mounted at every executor
+        return pyarrow.fs.LocalFileSystem(), "/dbfs/" + inner.lstrip("/")
+    if scheme == "file" or not colon or "://" not in path:
         return pyarrow.fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    return pyarrow.fs.FileSystem.from_uri(path)
+    return pyarrow.fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3", "gs": "gs"}.get(scheme, scheme) + ":" + inner)
 
 
 def write_whole(folder: str, name: str, data: bytes) -> None:

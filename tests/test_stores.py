@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from vulnatlas.operators import diffs, link_store, segments, summaries
 from vulnatlas.sinks import manifest, writers
 from vulnatlas.sources.tables import read_together
+from vulnatlas.streaming.ingest import ingest_latest, latest_state
 
 EXPLOIT = "id long, cves array<string>, description string, type string, platform string, markdown string, url string"
 
@@ -138,3 +139,20 @@ def test_all_tables_change_together(spark, tmp_path, monkeypatch):
     writers.publish_together(spark, root, new)
     assert {name: df.first().n for name, df in read_together(spark, root).items()} == {"cves": 2, "exploits": 2, "writeups": 1}
     assert before["cves"].first().n == 1 and manifest.read_state(spark, root)[0] == 2
+
+
+def test_latest_rows_in_any_order_of_deliveries(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(f"K{rng.randint(0, 15)}" if rng.random() < 0.97 else None, rng.choice([None, "2024-01-01", "2024-02-01", "2024-03-01"]), f"row {k}") for k in range(120)]
+    found = []
+    for seed in (1, 2):
+        landing, target, checkpoint = (str(tmp_path / f"{name}{seed}") for name in ("landing", "target", "checkpoint"))
+        order = random.Random(seed).sample(rows, len(rows))
+        for part in (order[:50], order[50:60], order[40:], order[:5]):
+            spark.createDataFrame(part, "id string, last_modified string, text string").write.mode("append").parquet(landing)
+            ingest_latest(spark.readStream.schema("id string, last_modified string, text string").parquet(landing), target, checkpoint)
+        found.append({r.id: (r.last_modified, r.text) for r in latest_state(spark, target).collect()})
+        assert latest_state(spark, target).count() == len(found[-1])
+    assert found[0] == found[1] and None not in found[0]
+    for key, (modified, _) in found[0].items():
+        assert (modified or "") == max(m or "" for k, m, _ in rows if k == key)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vulnatlas.functions import columns as C
 from vulnatlas.operators.normalize import index_writeups
 from vulnatlas.plans import queries
-from vulnatlas.sources.writeups import read_writeups
+from vulnatlas.sources.writeups import hidden_writeups, read_writeups, skipped_writeups
 
 FILES = {
     "top.md": b"# Title \nbody",
@@ -63,3 +63,15 @@ def test_search_is_literal(index):
 ])
 def test_extension(spark, name, ext):
     assert spark.range(1).select(C.file_extension(F.lit(name)).alias("e")).first().e == ext
+
+
+def test_what_a_scan_leaves_out_is_told(spark, tmp_path):
+    for name, content in {
+        "a/x.md": b"# A", "a/b.MD": b"caf\xe9", "a/pic.png": b"1", "e.txt": b"", "_repos.json": b"{}", "r/_repos.json": b"{}", ".git/c.md": b"x", "a/_y.md": b"y", "a/none": b"z",
+    }.items():
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(content)
+    skipped = {(r.path, r.reason) for r in skipped_writeups(spark, str(tmp_path)).collect()}
+    assert skipped == {("a/pic.png", "extension"), ("a/none", "extension"), ("e.txt", "empty"), ("a/b.MD", "not UTF-8")}
+    assert hidden_writeups(spark, str(tmp_path)) == [".git/c.md", "_repos.json", "a/_y.md", "r/_repos.json"]

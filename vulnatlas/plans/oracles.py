@@ -333,6 +333,11 @@ ORACLES: dict[str, str] = {
     "row_budget": f"WITH {FEED} SELECT id FROM feed ORDER BY lang, doc_id LIMIT 100",
     "append_new": f"SELECT {ID} AS id, d.text, d.lang, CASE WHEN d.lang <> 'en' THEN 'first' ELSE 'second' END AS delivery FROM documents d",
     "ingest_stream": f"SELECT {ID} AS id, d.text, d.lang, CASE WHEN d.lang <> 'en' THEN 'first' ELSE 'second' END AS delivery FROM documents d",
+    "stream_latest": f"""WITH {CVES} SELECT id, severity, description, CASE WHEN severity <> 'LOW' THEN '2024-01-03' ELSE '2024-01-01' END AS last_modified
+        FROM cves""",
+    "writeup_files": """SELECT CASE WHEN line LIKE '# %' THEN trim(substring(line, 3)) ELSE substring(line, 1, 120) END AS title, '' AS reason FROM (
+          SELECT coalesce(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '')[1], '') AS line FROM benchmark)
+        UNION ALL SELECT '', 'extension'""",
     "dedup_first": """SELECT conv_id, turn, role, text FROM conversations
         QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) = 1""",
     "latest_wins": f"SELECT {ID} AS id, d.text, d.lang, 'second' AS delivery FROM documents d",

@@ -20,8 +20,8 @@ from vulnatlas.plans import stats as S
 from vulnatlas.session import shared_path
 from vulnatlas.sinks import writers
 from vulnatlas.sources import exploits as exploit_source
-from vulnatlas.sources import jsonl, tables
-from vulnatlas.streaming.ingest import ingest_indexed, ingest_landed
+from vulnatlas.sources import jsonl, tables, writeups
+from vulnatlas.streaming.ingest import ingest_indexed, ingest_landed, ingest_latest, latest_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -723,6 +723,30 @@ def ingest_stream(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@query
+def stream_latest(spark, sf_dir):
+    """Three deliveries, the newest rows in the second: the latest row of each id, whatever lands after it."""
+    landing, target, checkpoint = (shared_path(spark, name) for name in ("landing", "target", "checkpoint"))
+    rows = D.cves(spark, sf_dir).select("id", "severity", "description")
+    for day, part in (("2024-01-02", "severity = 'HIGH'"), ("2024-01-03", "severity <> 'LOW'"), ("2024-01-01", "true")):
+        rows.filter(part).withColumn("last_modified", F.lit(day)).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema("id string, severity string, description string, last_modified string").parquet(landing)
+        ingest_latest(stream, target, checkpoint)
+    return latest_state(spark, target)
+
+
+@query
+def writeup_files(spark, sf_dir):
+    """Writeups written as files, scanned, and what the scan leaves out."""
+    path = shared_path(spark, "writeups")
+    rows = D.table(spark, sf_dir, "benchmark").selectExpr("text AS value", "CAST(item_id % 3 AS STRING) AS part")
+    rows.write.option("maxRecordsPerFile", 1).partitionBy("part").text(f"{path}/read")
+    rows.select("value").write.option("maxRecordsPerFile", 10).csv(f"{path}/left")
+    read = normalize.index_writeups(writeups.read_writeups(spark, path)).select("title", F.lit("").alias("reason"))
+    left = writeups.skipped_writeups(spark, path).select(F.lit("").alias("title"), "reason").distinct()
+    return read.unionAll(left)
+
+
 @query
 def dedup_first(spark, sf_dir):
     turns = D.table(spark, sf_dir, "conversations")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vulnatlas.session import hadoop_path
@@ -20,13 +22,54 @@ def _glob() -> str:
     return "*.{" + ",".join("".join(f"[{c}{c.upper()}]" for c in ext[1:]) for ext in TEXT_EXTENSIONS) + "}"
 
 
+def skipped_writeups(spark: SparkSession, root: str) -> DataFrame:
+    """``path, reason`` of the files below ``root`` that :func:`read_writeups` gives no whole text for.
+
+    ``extension``: not one of the text files; ``manifest``; ``empty``; ``not UTF-8``: read, with signs replaced. The content of
+    text files alone is opened. Files and folders whose names begin with ``_`` or ``.`` are not listed by Spark at
+    all; :func:`hidden_writeups` counts on the file system's own listing for these.
+    """
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("ignoreMissingFiles", True)
+        .option("ignoreCorruptFiles", True).load(root)
+    )
+    listed = files.select(_relative(spark, root).alias("path"), "length")
+    name = F.lower(F.element_at(F.split("path", "/"), -1))
+    text = reduce(Column.__or__, (F.endswith(name, F.lit(ext)) for ext in TEXT_EXTENSIONS))
+    why = F.when(name == MANIFEST, "manifest").when(~text, "extension").when(F.col("length") == 0, "empty")
+    unread = listed.select("path", why.alias("reason")).filter("reason IS NOT NULL")
+    opened = files_of_text(spark, root).filter(~F.is_valid_utf8(F.col("content").cast("string")))
+    return unread.unionAll(opened.select(_relative(spark, root).alias("path"), F.lit("not UTF-8").alias("reason")))
+
+
+def hidden_writeups(spark: SparkSession, root: str) -> list[str]:
+    """Paths of files that Spark does not list because of a name that begins with ``_`` or ``.``, theirs or a folder's.
+
+    The file system lists them one after the other on the driver; their names alone are kept.
+    """
+    base, fs = hadoop_path(spark, root)
+    start = len(fs.makeQualified(base).toString().rstrip("/")) + 1
+    found, files = [], fs.listFiles(base, True)
+    while files.hasNext():
+        path = files.next().getPath().toString()[start:]
+        if any(part.startswith(("_", ".")) for part in path.split("/")):
+            found.append(path)
+    return sorted(found)
+
+
 def read_writeups(spark: SparkSession, root: str) -> DataFrame:
     """All text files below ``root``; ``path`` is relative to it.
 
     The file source does not list names that start with ``_`` or ``.`` and does not open empty
-    files. Where those are wanted, land them as rows ``(path, content, size)`` instead.
+    files. Where those are wanted, land them as rows ``(path, content, size)`` instead. What is left out
+    is told by :func:`skipped_writeups` and :func:`hidden_writeups`.
     """
-    files = (
+    text = F.make_valid_utf8(F.col("content").cast("string"))
+    return files_of_text(spark, root).select(_relative(spark, root).alias("path"), text.alias("content"), F.col("length").alias("size"))
+
+
+def files_of_text(spark: SparkSession, root: str) -> DataFrame:
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", _glob())
@@ -34,7 +77,8 @@ def read_writeups(spark: SparkSession, root: str) -> DataFrame:
         .option("ignoreCorruptFiles", True)
         .load(root)
     )
+
+
+def _relative(spark: SparkSession, root: str) -> Column:
     base, fs = hadoop_path(spark, root)
-    relative = F.substr("path", F.lit(len(fs.makeQualified(base).toString().rstrip("/")) + 2))
-    text = F.make_valid_utf8(F.col("content").cast("string"))
-    return files.select(relative.alias("path"), text.alias("content"), F.col("length").alias("size"))
+    return F.substr("path", F.lit(len(fs.makeQualified(base).toString().rstrip("/")) + 2))

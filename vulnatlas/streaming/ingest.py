@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vulnatlas.operators.merging import one_per_key
 from vulnatlas.operators.normalize import normalize_advisories
 from vulnatlas.operators.segments import append_segment
 from vulnatlas.sinks.writers import append_new
@@ -52,6 +54,32 @@ def ingest_indexed(
     query.awaitTermination()
 
 
+def ingest_latest(stream: DataFrame, target: str, checkpoint: str, key: str = "id", modified: str = "last_modified") -> None:
+    """Keep the most recently modified row of each key over all that ever landed, then stop; :func:`latest_state` reads it.
+
+    The stream's state holds the winning row of each key, so a delivery that comes late, or again, changes nothing
+    unless it is newer. Of rows modified at the same time, or never, one wins by the hash of all its columns, in
+    whatever order they land. Rows without a key are left out. A batch writes the rows that changed to a folder
+    of its own number; one that runs again after a failure writes the same folder anew.
+    """
+    newest = F.max_by(F.struct(*stream.columns), F.struct(F.col(modified), F.xxhash64(*stream.columns)))
+    latest = stream.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("of_key")).agg(newest.alias("row")).select("row.*")
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
+
+    query = (
+        latest.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
+def latest_state(spark: SparkSession, target: str, key: str = "id") -> DataFrame:
+    """The row of each key that :func:`ingest_latest` wrote last."""
+    return one_per_key(spark.read.parquet(target), key, F.desc("batch")).drop("batch")
+
+
 def ingest_feeds(spark: SparkSession, landing: str, target: str, checkpoint: str, max_files: int | None = None) -> None:
     """Ingest feed documents newly landed in a folder into the ``cves`` table at ``target``.
 

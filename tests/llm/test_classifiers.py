@@ -90,7 +90,7 @@ def test_ngrams_do_not_cross_texts_and_start_at_boundaries():
         return [sorted(f) for f in found]
 
     assert buckets("ab cd", "é x", "", "q q") == [f for t in ("ab cd", "é x", "", "q q") for f in buckets(t)]
-    assert buckets("a  b") == buckets("a  b "[:4]) and Q.BUCKETS - 1 in buckets("q q")[0]
+    assert buckets("a  b") == buckets("a  b "[:4]) and Q.REPEATED in buckets("q q")[0] and max(buckets("ab cd")[0]) < Q.BUCKETS
 
 
 def test_awkward_rows(spark, awkward):
@@ -105,3 +105,74 @@ def test_awkward_rows(spark, awkward):
     assert T.drop_toxic(awkward, model).count() == awkward.count() and T.drop_toxic(awkward, model).columns == awkward.columns
     assert T.toxicity_scores(awkward.limit(0), model).collect() == []
     assert Q.quality_scores(awkward.limit(0), Q.trained(awkward, none, everything)).collect() == []
+
+
+def plain_buckets(text):
+    """Buckets of a text by the definition: words, repeated words, and runs of characters with one boundary for white space."""
+    def bucket(key):
+        return int(Q.mixed(np.array([key], np.uint64))[0]) >> (64 - Q.BUCKETS.bit_length() + 1)
+
+    words = text.encode().split()
+    hashes = [int(Q.span_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]) for w in words]
+    out = [bucket(h) for h in hashes] + [Q.REPEATED for a, b in zip(words, words[1:], strict=False) if a == b]
+    codes = [32 if c in " \t\n\x0b\x0c\r" else int.from_bytes(c.encode(), "big") for c in text]
+    for width in Q.GRAMS:
+        for k in range(len(codes) - width + 1):
+            run = codes[k:k + width]
+            if 32 not in run[1:-1] and not (run[0] == 32 and run[-1] == 32):
+                key = width
+                for code in run:
+                    key = (key * 0x9E3779B97F4A7C15 + code) % 2**64
+                out.append(bucket(key))
+    return out
+
+
+def test_scores_are_plain_means_and_softmax():
+    rng = np.random.default_rng(4)
+    model = Q.Model(rng.normal(size=Q.REPEATED + 1).astype(np.float32), 0.3)
+    texts = ["the cat cat sat", "é  ü\n\nab abc", "", " ", "x", "aaaa aaaa aaaa", "日本 日本 text"]
+    for text, score in zip(texts, model.scores(*text_bytes(pa.array(texts))), strict=True):
+        logits = [float(model.table[b]) for b in plain_buckets(text)]
+        logit = (sum(logits) / len(logits) if logits else 0) + model.constant
+        chances = np.exp([0, logit]) / np.exp([0, logit]).sum()
+        assert score == pytest.approx(chances[1], rel=1e-5)
+
+
+def test_training_is_plain_gradient_descent(monkeypatch):
+    """The table equals one made by differences of the loss, in whole vectors, a step per text."""
+    for name, value in (("BUCKETS", 8), ("REPEATED", 8), ("DIMENSIONS", 2), ("EPOCHS", 2)):
+        monkeypatch.setattr(Q, name, value)
+    texts = [(np.array([0, 3]), np.array([1.0, 3.0], np.float32)), (np.array([3, 5, 8]), np.array([2.0, 1.0, 1.0], np.float32)), (np.array([7]), np.array([1.0], np.float32))]
+    labels, rng = np.array([1, 0, 0]), np.random.default_rng(11)
+    v, layer, bias = rng.uniform(-0.5, 0.5, (9, 2)), np.zeros((2, 2)), np.zeros(2)
+    weight, step = len(texts) / (2 * np.bincount(labels)), 0
+
+    def loss(v, layer, bias, k):
+        buckets, counts = texts[k]
+        logits = (counts / counts.sum()) @ v[buckets] @ layer + bias
+        return np.log(np.exp(logits).sum()) - logits[labels[k]]
+
+    def slope(k, which, args):
+        out, eps = np.zeros_like(args[which]), 1e-5
+        for at in np.ndindex(out.shape):
+            near = [[a.copy() for a in args] for _ in range(2)]
+            near[0][which][at] += eps
+            near[1][which][at] -= eps
+            out[at] = (loss(*near[0], k) - loss(*near[1], k)) / (2 * eps)
+        return out
+
+    for _ in range(2):
+        for k in rng.permutation([0, 1, 2]):
+            rate = Q.RATE * (1 - step / 6) * min(weight[labels[k]], 10.0)
+            step += 1
+            buckets, counts = texts[k]
+            args = [v, layer, bias]
+            dv, dl, db = (slope(k, which, args) for which in range(3))
+            # A vector moves by its share's part of the mean's slope times the root of the number of vectors.
+            share = counts / counts.sum()
+            dv[buckets] *= (len(buckets) ** 0.5)
+            v, layer, bias = v - rate * dv, layer - rate * dl, bias - rate * 0.1 * db
+            assert share.sum() == pytest.approx(1)
+    model = Q.train(texts, labels)
+    change = layer[:, 1] - layer[:, 0]
+    assert model.table == pytest.approx(v @ change, abs=2e-3) and model.constant == pytest.approx(bias[1] - bias[0], abs=2e-3)

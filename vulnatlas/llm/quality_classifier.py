@@ -1,10 +1,10 @@
 """Quality classifier: learned vectors of hashed words and character n-grams, averaged per document, with softmax.
 
 Every word and every run of ``GRAMS`` characters of a text (a white space counts as one boundary character)
-is hashed to one of ``BUCKETS`` vectors, and so is each word that repeats the one before, all such words to
-the same vector; the document is their mean, and a linear layer with softmax gives the
-probability of each label. Vectors and layer are trained together by stochastic gradient descent in numpy on
-the driver, over a bounded sample of labelled texts whose bucket counts the executors work out.
+is hashed to one of ``BUCKETS`` vectors, and each word that repeats the one before has a vector more, which all
+such words share; the document is their mean, and a linear layer with softmax gives the
+probability of each label. Vectors and layer are trained together by stochastic gradient descent in numpy, in
+one task, over a bounded sample of labelled texts whose bucket counts the executors work out.
 
 At scoring time the layer is applied to each vector first: a text's logit is then the mean of one number per
 n-gram, so the executors hold one table of ``BUCKETS`` numbers.
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from vulnatlas.llm.text import SPACE, id_and_text, mixed, slices, span_hashes, text_bytes, word_spans
 
 BUCKETS = 1 << 17
+#: The vector of words that repeat the one before, beyond the hashed ones.
+REPEATED = BUCKETS
 GRAMS = (3, 4)
 DIMENSIONS = 8
 EPOCHS = 12
@@ -41,7 +43,7 @@ def buckets_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarr
     words = span_hashes(data, starts, ends)
     yield owner, (mixed(words) >> shift).astype(np.int32)
     again = np.flatnonzero((words[1:] == words[:-1]) & (owner[1:] == owner[:-1]))
-    yield owner[again], np.full(len(again), BUCKETS - 1, np.int32)
+    yield owner[again], np.full(len(again), REPEATED, np.int32)
     # Characters as code points; white space and the edges of texts are boundaries.
     lead = (data & 0xC0) != 0x80
     at = np.flatnonzero(lead)
@@ -92,10 +94,10 @@ def bucket_counts(docs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             data, offsets = text_bytes(part.column("text"))
-            keys = np.concatenate([owner.astype(np.int64) * BUCKETS + bucket for owner, bucket in buckets_of(data, offsets)])
+            keys = np.concatenate([owner.astype(np.int64) * (REPEATED + 1) + bucket for owner, bucket in buckets_of(data, offsets)])
             keys, counts = np.unique(keys, return_counts=True)
-            cuts = np.searchsorted(keys, np.arange(part.num_rows + 1) * BUCKETS)
-            rows = [(keys[a:b] % BUCKETS, counts[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            cuts = np.searchsorted(keys, np.arange(part.num_rows + 1) * (REPEATED + 1))
+            rows = [(keys[a:b] % (REPEATED + 1), counts[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("y"), pa.array([b.astype("<i4").tobytes() for b, _ in rows], pa.binary()),
                  pa.array([c.astype("<f4").tobytes() for _, c in rows], pa.binary())], names=["doc_id", "y", "buckets", "counts"])
@@ -106,7 +108,7 @@ def bucket_counts(docs: DataFrame) -> DataFrame:
 def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 11) -> Model:
     """Stochastic gradient descent over texts given as distinct buckets and their counts; labels weigh alike."""
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
+    vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (REPEATED + 1, DIMENSIONS)).astype(np.float32)
     layer, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
     filled = [k for k, (buckets, _) in enumerate(rows) if len(buckets)]
     weight = len(filled) / (2 * np.maximum(np.bincount(labels[filled], minlength=2), 1)) if filled else np.ones(2)
@@ -134,17 +136,24 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: i
 def trained(docs: DataFrame, labels: DataFrame, trains: Column) -> Model:
     """The model from at most ``SAMPLE`` texts of each label whose ids meet ``trains``.
 
-    A repeated id counts once, with the larger label and text; null ids and labels are left out.
+    One task trains it; the driver gets a number per bucket. A repeated id counts once, with the larger label and text; null ids and labels are left out.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
     known = known.filter("doc_id IS NOT NULL AND y IN (0, 1)").filter(trains).groupBy("doc_id").agg(F.max("y").alias("y"))
     known = known.join(id_and_text(docs).select("doc_id").distinct(), "doc_id", "left_semi")
     parts = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE) for y in (0, 1)]
     rows = id_and_text(docs).join(parts[0].union(parts[1]), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("y").alias("y"))
-    found = sorted(bucket_counts(rows).collect())
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("doc_id", "y", "buckets", "counts")
+        found = sorted(row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True))
+        pairs = [(np.frombuffer(b, "<i4"), np.frombuffer(c, "<f4")) for *_, b, c in found]
+        model = train(pairs, np.array([y for _, y, *_ in found], np.int64))
+        yield pa.RecordBatch.from_pydict({"table": [model.table.astype("<f4").tobytes()], "constant": [model.constant]})
+
     of_label = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
-    pairs = [(np.frombuffer(r.buckets, "<i4"), np.frombuffer(r.counts, "<f4")) for r in found]
-    model = train(pairs, np.array([r.y for r in found], np.int64))
+    found = bucket_counts(rows).repartition(1).mapInArrow(fit, "table binary, constant double").collect()
+    model = Model(np.frombuffer(found[0].table, "<f4"), found[0].constant) if found else train([], np.zeros(0, np.int64))
     if len(of_label) == 2:  # training weighs the labels alike; the scores follow their shares
         model.constant += float(np.log(of_label[1] / of_label[0]))
     return model

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vulnatlas.functions import columns as C
 from vulnatlas.operators.normalize import index_writeups
 from vulnatlas.plans import queries
-from vulnatlas.sources.writeups import hidden_writeups, read_writeups, skipped_writeups
+from vulnatlas.sources.writeups import read_writeups, skipped_writeups, unlisted_writeups
 
 FILES = {
     "top.md": b"# Title \nbody",
@@ -73,5 +73,6 @@ def test_what_a_scan_leaves_out_is_told(spark, tmp_path):
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_bytes(content)
     skipped = {(r.path, r.reason) for r in skipped_writeups(spark, str(tmp_path)).collect()}
-    assert skipped == {("a/pic.png", "extension"), ("a/none", "extension"), ("e.txt", "empty"), ("a/b.MD", "not UTF-8")}
-    assert hidden_writeups(spark, str(tmp_path)) == [".git/c.md", "_repos.json", "a/_y.md", "r/_repos.json"]
+    assert skipped == {("a/pic.png", "extension"), ("a/none", "extension"), ("a/b.MD", "not UTF-8")}
+    unlisted = {path: reason for path, reason in unlisted_writeups(spark, str(tmp_path)) if not path.endswith(".crc")}
+    assert unlisted == dict.fromkeys([".git/c.md", "_repos.json", "a/_y.md", "r/_repos.json"], "hidden") | {"e.txt": "empty"}

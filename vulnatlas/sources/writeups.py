@@ -25,35 +25,36 @@ def _glob() -> str:
 def skipped_writeups(spark: SparkSession, root: str) -> DataFrame:
     """``path, reason`` of the files below ``root`` that :func:`read_writeups` gives no whole text for.
 
-    ``extension``: not one of the text files; ``manifest``; ``empty``; ``not UTF-8``: read, with signs replaced. The content of
-    text files alone is opened. Files and folders whose names begin with ``_`` or ``.`` are not listed by Spark at
-    all; :func:`hidden_writeups` counts on the file system's own listing for these.
+    ``extension``: not one of the text files; ``not UTF-8``: read, with signs replaced. The content of text files alone is
+    opened. What Spark does not list at all, :func:`unlisted_writeups` tells from the file system's own listing.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("ignoreMissingFiles", True)
         .option("ignoreCorruptFiles", True).load(root)
     )
-    listed = files.select(_relative(spark, root).alias("path"), "length")
+    listed = files.select(_relative(spark, root).alias("path"))
     name = F.lower(F.element_at(F.split("path", "/"), -1))
     text = reduce(Column.__or__, (F.endswith(name, F.lit(ext)) for ext in TEXT_EXTENSIONS))
-    why = F.when(name == MANIFEST, "manifest").when(~text, "extension").when(F.col("length") == 0, "empty")
-    unread = listed.select("path", why.alias("reason")).filter("reason IS NOT NULL")
+    unread = listed.filter(~text).select("path", F.lit("extension").alias("reason"))
     opened = files_of_text(spark, root).filter(~F.is_valid_utf8(F.col("content").cast("string")))
     return unread.unionAll(opened.select(_relative(spark, root).alias("path"), F.lit("not UTF-8").alias("reason")))
 
 
-def hidden_writeups(spark: SparkSession, root: str) -> list[str]:
-    """Paths of files that Spark does not list because of a name that begins with ``_`` or ``.``, theirs or a folder's.
+def unlisted_writeups(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """Path and reason of files that Spark does not list: ``hidden``, by a name that begins with ``_`` or ``.``, theirs or a folder's; ``empty``.
 
-    The file system lists them one after the other on the driver; their names alone are kept.
+    The file system lists them one after the other on the driver; these paths alone are kept.
     """
     base, fs = hadoop_path(spark, root)
     start = len(fs.makeQualified(base).toString().rstrip("/")) + 1
     found, files = [], fs.listFiles(base, True)
     while files.hasNext():
-        path = files.next().getPath().toString()[start:]
+        file = files.next()
+        path = file.getPath().toString()[start:]
         if any(part.startswith(("_", ".")) for part in path.split("/")):
-            found.append(path)
+            found.append((path, "hidden"))
+        elif not file.getLen():
+            found.append((path, "empty"))
     return sorted(found)
 
 
@@ -62,7 +63,7 @@ def read_writeups(spark: SparkSession, root: str) -> DataFrame:
 
     The file source does not list names that start with ``_`` or ``.`` and does not open empty
     files. Where those are wanted, land them as rows ``(path, content, size)`` instead. What is left out
-    is told by :func:`skipped_writeups` and :func:`hidden_writeups`.
+    is told by :func:`skipped_writeups` and :func:`unlisted_writeups`.
     """
     text = F.make_valid_utf8(F.col("content").cast("string"))
     return files_of_text(spark, root).select(_relative(spark, root).alias("path"), text.alias("content"), F.col("length").alias("size"))

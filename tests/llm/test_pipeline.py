@@ -82,3 +82,47 @@ def test_queries_equal_their_sql(spark, name):
             con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
         result = con.execute(ORACLES[name])
         assert got == comparable([c[0] for c in result.description], result.fetchall())
+
+
+CLASHING = ("_changed", "_gone", "_ranges", "row", "row_key", "ranges", "own_id", "own_mark", "group", "number", "mark")
+
+
+def write_tables(spark, folder, docs, labels, benchmark):
+    docs = spark.createDataFrame(docs, "doc_id long, text string").selectExpr(
+        "*", "'en' AS lang", "'s' AS source", "CAST(length(text) AS BIGINT) AS n_chars", *(f"{k} AS `{name}`" for k, name in enumerate(CLASHING)))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return docs
+
+
+def test_awkward_documents_pass_all_stages(spark, tmp_path):
+    """Ids that repeat or lack, null, empty and very long texts, names that clash: each row is judged by its own text."""
+    unique = [" ".join(f"{name}{k}" for k in range(40)) for name in "abcdefg"]
+    long = " ".join(f"w{k % 977}x{k % 31}" for k in range(30_000))
+    item = " ".join(f"q{k}" for k in range(30))
+    docs = [
+        (1, unique[0]), (3, unique[1]), (3, unique[0]), (4, unique[2]), (4, unique[2]), (None, unique[3]), (None, None), (5, ""), (6, " \t"), (7, None),
+        (8, long), (9, long), (10, f"{unique[4]} {item}"), (11, f"{unique[5]} {unique[6]}"), (12, f"{unique[6]} {unique[4]} tail")]
+    labels = [(1, 1, 0), (None, 1, 1), (77, 0, 1), (3, None, None)]
+    write_tables(spark, tmp_path, docs, labels, [(1, item), (2, None), (None, "x y z"), (3, "")])
+    rows = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stored(stage(spark, rows, str(tmp_path)), name)
+        assert after.columns == rows.columns and after.schema["n_chars"].dataType == rows.schema["n_chars"].dataType
+        assert all(r[column] == k for r in after.collect() for k, column in enumerate(CLASHING))
+        rows = after
+    kept = sorted(((r.doc_id or 0, r.text) for r in rows.collect()), key=repr)
+    assert kept == sorted([
+        (1, unique[0]), (3, unique[1]), (4, unique[2]), (0, unique[3]), (0, None), (5, ""), (6, " \t"), (7, None), (8, long),
+        (11, f"{unique[5]} {unique[6]}"), (12, "tail")], key=repr)
+    ended = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id or 0 for r in ended) == sorted(i for i, _ in kept) and all(r.lossless for r in ended)
+
+
+@pytest.mark.parametrize("empty", ["documents", "labels", "benchmark"])
+def test_empty_tables(spark, tmp_path, empty):
+    docs = [] if empty == "documents" else [(1, "one two three four five six"), (2, "seven eight nine ten eleven twelve")]
+    write_tables(spark, tmp_path, docs, [] if empty == "labels" else [(1, 1, 0), (2, 0, 1)], [] if empty == "benchmark" else [(1, "a b c d e f g")])
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(found) <= len(docs) and (empty != "labels" or len(found) == 2)

@@ -78,6 +78,17 @@ def test_whole_and_reordered_passages(spark, monkeypatch):
     monkeypatch.setattr(C, "BLOCK_BYTES", 500)
     blocks = C.contamination(docs, items).collect()
     assert sorted(map(tuple, blocks)) == sorted(map(tuple, found))
+    kept = C.drop_contaminated(docs.selectExpr("*", "1 AS row_key"), items)
+    assert kept.columns == ["doc_id", "text", "row_key"] and {r.doc_id for r in kept.collect()} == {r.doc_id for r in found if not r.contaminated}
+
+
+def test_a_benchmark_of_any_size_gives_the_same_awkward_rows(spark, awkward, monkeypatch):
+    items = spark.createDataFrame([(3, "one two three four five six"), (1, "One, two; three four five six"), (5, "solo"), (6, ""), (7, "...")], "item_id long, text string")
+    rows = lambda: sorted(map(tuple, C.contamination(awkward, items).collect()), key=repr)
+    one = rows()
+    monkeypatch.setattr(C, "BLOCK_BYTES", 3)
+    monkeypatch.setattr(C, "FILTER_BITS", 6)  # a filter that is full rules nothing out
+    assert rows() == one
 
 
 def test_awkward_rows(spark, awkward):

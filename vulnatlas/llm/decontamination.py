@@ -6,10 +6,12 @@ not marked yet are found, compared token by token and marked, again and again wi
 ``least``. The share of the item's tokens inside tiles is its coverage; since tiles may lie anywhere, an
 item whose sentences were put in another order is still covered.
 
-A tile is made of seeds, so only the document's tokens inside shared seeds take part in tiling. Documents are
-read once for each block of benchmark items and are never shuffled, so a passage that a third of them hold
-costs no more than any other. The benchmark is the stated query set: it comes in blocks of at most
-``BLOCK_BYTES`` of text, which bounds what a task holds.
+A tile is made of seeds, so only the document's tokens inside shared seeds take part in tiling. A benchmark of at
+most ``BLOCK_BYTES`` of text goes to every task: documents are read once and never shuffled, so a passage that a
+third of them hold costs no more than any other. A larger one stays a table and documents are still read once: their
+seeds that a filter of a fixed size does not rule out are joined with the items' seeds, and the places that a
+document and an item share are tiled together. What the document's tokens are is known from the item's. Both ways
+give the same rows.
 """
 
 from __future__ import annotations
@@ -22,12 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vulnatlas.llm.text import combined, id_and_text, in_slices, slices, span_hashes, stored
+from vulnatlas.llm.text import combined, free_name, id_and_text, in_slices, mixed, slices, span_hashes, stored
 
 LEAST = 5
 #: Percent of an item's tokens inside tiles from which a document counts as contaminated.
 COVERED = 50
+#: Bytes of benchmark text that a task holds.
 BLOCK_BYTES = 16_000_000
+#: Bits of the filter of a larger benchmark's seeds, as a power of two.
+FILTER_BITS = 26
 
 _PART = np.zeros(256, dtype=bool)
 _PART[48:58] = _PART[65:91] = _PART[97:123] = _PART[128:] = True
@@ -168,17 +173,93 @@ class Block:
         return out
 
 
-def blocks(benchmark: DataFrame, least: int) -> Iterator[Block]:
-    """The items (item_id, text) in blocks of at most ``BLOCK_BYTES`` of text, or one item; null ids and texts are left out."""
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    """``item_id, text``; null ids and texts are left out."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    held, size = [], 0
-    for row in rows.filter("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator():
-        if held and size + len(row.text) > BLOCK_BYTES:
-            yield Block(held, least)
-            held, size = [], 0
-        held.append((row.item_id, row.text))
-        size += len(row.text)
-    yield Block(held, least)
+    return rows.filter("item_id IS NOT NULL AND text IS NOT NULL")
+
+
+def one_block(items: DataFrame, least: int) -> Block | None:
+    """The items as one block, if their texts are within ``BLOCK_BYTES``."""
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return Block([(r.item_id, r.text) for r in items.collect()], least) if size <= BLOCK_BYTES else None
+
+
+def _seeds(texts: list[str], widths: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """``text, place, seed, check`` of the seeds of each width: two hashes of 64 bits of its tokens, the width part of the first."""
+    data, starts, ends, first = tokens_of(texts)
+    hashes = span_hashes(np.frombuffer(data, np.uint8), starts, ends)
+    for width in widths:
+        seed, check = combined(hashes, width) + np.uint64(width), combined(mixed(hashes), width)
+        owner = np.searchsorted(first, np.arange(len(seed)), side="right") - 1
+        whole = np.flatnonzero(np.arange(len(seed)) + width <= first[owner + 1]) if len(seed) else np.zeros(0, np.int64)
+        yield owner[whole], whole - first[owner[whole]], seed[whole].view(np.int64), check[whole].view(np.int64)
+
+
+def _joined(rows: DataFrame, items: DataFrame, least: int) -> DataFrame:
+    """``row, n_items, b`` of the ``rows`` (row, text) that share a seed with an item; b is the best of them."""
+    keyed = stored(items.withColumn("item", F.monotonically_increasing_id()), "items")
+
+    def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            texts = part.column("text").to_pylist()
+            first = tokens_of(texts)[3]
+            size = np.diff(first)
+            for width in range(1, least + 1):
+                own = np.flatnonzero(size >= least if width == least else size == width)
+                for text, place, seed, check in _seeds([texts[k] for k in own], [width]):
+                    item = part.column("item").to_numpy()[own[text]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(item), pa.array(place, pa.int32()), pa.array(seed), pa.array(check), pa.array(np.full(len(seed), width), pa.int32())],
+                        names=["item", "at", "seed", "check", "width"])
+
+    found = keyed.mapInArrow(item_seeds, "item long, at int, seed long, check long, width int")
+    # One place of each seed in an item is enough to know its tokens.
+    seeds = stored(found.groupBy("item", "seed", "check", "width").agg(F.min("at").alias("at")), "seeds")
+    widths = sorted(r.width for r in seeds.select("width").distinct().collect())
+    bit = F.pmod("seed", F.lit(1 << FILTER_BITS))
+    words = seeds.groupBy(F.floor(bit / 64).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))).alias("bits"))
+    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for word, bits in words.collect():  # no more than the table has words
+        table[word] = bits
+    table = table.view(np.uint64)
+
+    def row_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            for text, place, seed, check in _seeds(part.column("text").to_pylist(), widths):
+                at = seed.astype(np.int64) % (1 << FILTER_BITS)
+                may = np.flatnonzero((table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part.column("row").to_numpy()[text[may]]), pa.array(place[may], pa.int32()), pa.array(seed[may]), pa.array(check[may])],
+                    names=["row", "place", "seed", "check"])
+
+    shared = rows.mapInArrow(row_seeds, "row long, place int, seed long, check long").join(seeds, ["seed", "check"])
+    pairs = shared.groupBy("row", "item").agg(F.collect_list(F.struct("place", "at", "width")).alias("spots")).join(keyed, "item")
+
+    def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, spots in zip(batch.column("text").to_pylist(), batch.column("spots").to_pylist(), strict=True):
+                data, starts, ends, _ = tokens_of([text])
+                item = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                tokens, end = [], -1
+                for spot in sorted(spots, key=lambda s: s["place"]):
+                    place, at, width = spot["place"], spot["at"], spot["width"]
+                    if place > end >= 0:
+                        tokens.append(b"")  # a gap: no tile runs across it
+                    fresh = max(place, end)
+                    tokens.extend(item[at + fresh - place:at + width])
+                    end = place + width
+                out.append((sum(k for _, _, k in greedy_tiles(item, tokens, min(least, len(item)))), len(item)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("item_id"), *(pa.array(c, pa.int64()) for c in zip(*out, strict=True))] if out else
+                [batch.column("row"), batch.column("item_id"), pa.array([], pa.int64()), pa.array([], pa.int64())],
+                names=["row", "item_id", "n_tiled", "n_tokens"])
+
+    tiled = pairs.select("row", "item_id", "text", "spots").mapInArrow(tile, "row long, item_id long, n_tiled long, n_tokens long")
+    best = F.max_by(F.struct("item_id", "n_tiled", "n_tokens"), F.struct(F.col("n_tiled") / F.col("n_tokens"), -F.col("item_id"), -F.col("n_tiled")))
+    covered = F.sum((100 * F.col("n_tiled") >= COVERED * F.col("n_tokens")).cast("long"))
+    return tiled.groupBy("row").agg(covered.alias("n_items"), best.alias("b"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:
@@ -188,41 +269,44 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) ->
     shares a seed (of equal ones the smallest), ``n_tiled`` of its ``n_tokens`` tokens lie in tiles; null and
     0 where none shares a seed. An item shorter than a seed has to occur whole. A text or item that is null,
     empty or without tokens matches nothing; so does an empty benchmark. Repeated items count each. Repeated
-    rows and rows without an id get a row each, for any number of blocks: with more than one, the rows are stored
+    rows and rows without an id get a row each, for any size of the benchmark: for a large one, the rows are stored
     with a key first. Other columns are ignored.
     """
-    parts = []
-    for block in blocks(benchmark, least):
-        def match(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+    rows, items = id_and_text(docs), benchmark_items(benchmark)
+    block = one_block(items, least)
+    if block is None:
+        keyed = stored(rows.withColumn("row", F.monotonically_increasing_id()), "keyed_rows")
+        found = keyed.select("row", "doc_id").join(_joined(keyed, items, least), "row", "left")
+        zero = F.lit(0).cast("long")
+        found = found.select(
+            "doc_id", F.coalesce("n_items", zero).alias("n_items"), F.col("b.item_id").alias("item_id"),
+            *(F.coalesce(F.col(f"b.{name}"), zero).alias(name) for name in ("n_tiled", "n_tokens")))
+    else:
+        def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in slices(batches):
-                found = block.best(part.column("text").to_pylist())
-                columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
-                kept = [name for name in part.schema.names if name != "text"]
-                yield pa.RecordBatch.from_arrays(
-                    [*map(part.column, kept), *columns], names=[*kept, "n_items", "item_id", "n_tiled", "n_tokens"])
+                columns = [pa.array(c, pa.int64()) for c in zip(*block.best(part.column("text").to_pylist()), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", "n_items", "item_id", "n_tiled", "n_tokens"])
 
-        parts.append(match)
-    rows = id_and_text(docs)
-    schema = "doc_id long, n_items long, item_id long, n_tiled long, n_tokens long"
-    if len(parts) == 1:
-        found = rows.mapInArrow(parts[0], schema)
-    else:
-        found, rows = None, stored(rows.withColumn("row", F.monotonically_increasing_id()), "keyed_rows")
-        for match in parts:
-            one = rows.mapInArrow(match, schema.replace("doc_id long", "doc_id long, row long"))
-            found = one if found is None else found.union(one)
-        best = F.max_by(F.struct("item_id", "n_tiled", "n_tokens"), F.struct(F.try_divide("n_tiled", "n_tokens"), -F.col("item_id")))
-        found = found.groupBy("row", "doc_id").agg(F.sum("n_items").alias("n_items"), best.alias("b")).select("doc_id", "n_items", "b.*")
-        found = found.select("doc_id", "n_items", "item_id", F.coalesce("n_tiled", F.lit(0)).alias("n_tiled"), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
+        found = rows.mapInArrow(match, "doc_id long, n_items long, item_id long, n_tiled long, n_tokens long")
     return found.select("doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items", "item_id", "n_tiled", "n_tokens")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:
-    """The rows of ``docs`` whose text covers no benchmark item, with all their columns."""
-    kept = docs
-    for block in blocks(benchmark, least):
-        def clean(texts, block=block):
-            return texts.__class__([n == 0 for n, *_ in in_slices([t or "" for t in texts], block.best)])
-
-        kept = kept.filter(F.pandas_udf(clean, "boolean", F.PandasUDFType.SCALAR)(kept["text"].cast("string")))
-    return kept
+    """The rows of ``docs`` whose text covers no benchmark item, with all their columns.
+
+    Each row is judged by its own text; null and empty ones stay, and so does everything with an empty benchmark.
+    """
+    items = benchmark_items(benchmark)
+    block = one_block(items, least)
+    if block is None:
+        key = free_name(docs.columns, "row_key")
+        keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed_rows")
+        rows = keyed.select(F.col(key).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+        gone = _joined(rows, items, least).filter("n_items > 0").select(F.col("row").alias(key))
+        return keyed.join(gone, key, "left_anti").select(docs.columns)
+
+    @F.pandas_udf("boolean")
+    def clean(texts):
+        return texts.__class__([n == 0 for n, *_ in in_slices([t or "" for t in texts], block.best)])
+
+    return docs.filter(clean(docs["text"].cast("string")))

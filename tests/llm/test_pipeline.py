@@ -116,7 +116,11 @@ def test_awkward_documents_pass_all_stages(spark, tmp_path):
     assert kept == sorted([
         (1, unique[0]), (3, unique[1]), (4, unique[2]), (0, unique[3]), (0, None), (5, ""), (6, " \t"), (7, None), (8, long),
         (11, f"{unique[5]} {unique[6]}"), (12, "tail")], key=repr)
-    ended = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    result = corpus_pipeline.run(spark, str(tmp_path))
+    assert [path.name.rpartition("-")[0] for path in set(shared.iterdir()) - before] == ["pieces"]
+    ended = result.collect()
     assert sorted(r.doc_id or 0 for r in ended) == sorted(i for i, _ in kept) and all(r.lossless for r in ended)
 
 

@@ -7,11 +7,12 @@ never split a UTF-8 character.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vulnatlas.session import hadoop_path, shared_path
@@ -36,13 +37,33 @@ def id_and_text(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: its lineage is cut, and any executor can read it."""
+_scratch: list[list[str]] = []
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read again: its lineage is cut, and any executor can read it.
+
+    Inside :func:`scratch` it goes at the end, unless it is to be kept.
+    """
     spark, path = df.sparkSession, shared_path(df.sparkSession, name)
+    if _scratch and not keep:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what is stored inside the block, whatever becomes of it; results that read it have to be kept by then."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            target, fs = hadoop_path(spark, path)
+            fs.delete(target, True)
+
+
 def free_name(taken: list[str], name: str) -> str:
     """``name``, with underscores before it until none of ``taken`` has it, in any case."""
     while name.lower() in {other.lower() for other in taken}:

@@ -391,7 +391,10 @@ def judged(scores: DataFrame, parts: int, held: int) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that the machine does not find toxic, with all their columns."""
+    """The rows of ``docs`` that the machine does not find toxic, with all their columns.
+
+    Each row is judged by its own text, repeated ones and those without an id too; null and empty texts stay.
+    """
 
     @F.pandas_udf("double")
     def score(texts):

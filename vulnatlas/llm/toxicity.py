@@ -47,6 +47,8 @@ HEARD = 0.97
 PARTS = 3
 #: How many times the share of clean texts found toxic counts against the share of toxic ones missed.
 CLEAN_WEIGHT = 5
+#: The most that the centre may be.
+HALF = 0.5
 #: Steepness of the score around the centre.
 SLOPE = 4.0
 
@@ -182,21 +184,23 @@ def _codes(units: Units, table: np.ndarray | None = None, level: float = 0.0) ->
         s = units.symbols[runs(first, size)].astype(np.int64)
         left = np.repeat(np.cumsum(size), size) - np.arange(len(s))
         norm = np.repeat(1 / np.sqrt(self_kernel(size)), size)
-        out = np.zeros(SYMBOLS**3)
+        codes, weights = [np.zeros(0, np.int64)], [np.zeros(0)]
         for a, b in _pairs():
             at = np.flatnonzero(left > b)
-            if len(at):
-                codes = (s[at] * SYMBOLS + s[at + a]) * SYMBOLS + s[at + b]
-                out += np.bincount(codes, norm[at] * DECAY ** (b + 1), SYMBOLS**3)
-        yield out
+            codes.append((s[at] * SYMBOLS + s[at + a]) * SYMBOLS + s[at + b])
+            weights.append(norm[at] * DECAY ** (b + 1))
+        yield np.bincount(np.concatenate(codes), np.concatenate(weights), SYMBOLS**3)
 
 
 def _vectors(texts: list[str], table: np.ndarray, gate: np.ndarray | None = None, level: float = 0.0) -> np.ndarray:
     """The vectors of texts: of length one, or, of the units above the gate's level, divided by the root of all units."""
     units = units_of(texts, table)
-    out = np.array(list(_codes(units, gate, level)), np.float32).reshape(-1, SYMBOLS**3)
+    out = np.empty((len(texts), SYMBOLS**3), np.float32)
+    for k, vector in enumerate(_codes(units, gate, level)):
+        out[k] = vector
     scale = np.linalg.norm(out, axis=1) if gate is None else np.sqrt(np.diff(units.before))
-    return out / np.maximum(scale, 1e-9)[:, None].astype(np.float32)
+    out /= np.maximum(scale, 1e-9)[:, None].astype(np.float32)
+    return out
 
 
 def _machine(texts: list[str], y: np.ndarray, table: np.ndarray, gate: np.ndarray | None = None, level: float = 0.0) -> tuple[np.ndarray, float]:
@@ -215,7 +219,7 @@ def _machine(texts: list[str], y: np.ndarray, table: np.ndarray, gate: np.ndarra
     unit = np.sqrt(max(1e-12, (z**2).sum(axis=1).mean()))
     balance = np.where(y > 0, (y < 0).sum() / max(1, (y > 0).sum()), 1.0)
     w = _support_vectors(z / unit, y, balance / len(y), RATE)
-    return (landmarks.T @ (project @ w[:-1] / unit)).astype(np.float64), float(w[-1])
+    return ((project @ w[:-1] / unit).astype(np.float32) @ landmarks).astype(np.float64), float(w[-1])
 
 
 def _evenly(items: np.ndarray, n: int) -> np.ndarray:
@@ -289,25 +293,30 @@ def train(texts: list[str], labels: np.ndarray) -> Model:
         learn, rest = np.flatnonzero(part != k), np.flatnonzero(part == k)
         if len(rest) and 0 < labels[learn].sum() < len(learn):
             one = _both_machines([texts[i] for i in learn], labels[learn], table)
-            unseen.append(one.evidence([texts[i] for i in rest]))
+            unseen.append(_evidence(one, [texts[i] for i in rest]))
             known.append(labels[rest])
-    # What the machine itself was taught as toxic stays so, also where too few texts show how it fares with others.
-    model.centre = _centre(model.evidence(texts), labels)
-    if unseen:
-        model.centre = min(model.centre, _centre(np.concatenate(unseen), np.concatenate(known)))
+    # Toxic texts that trained lie at the margin, 1: up to half of it they stay so, also where few texts show how others fare.
+    model.centre = min(HALF, _centre(np.concatenate(unseen), np.concatenate(known))) if unseen else 0.0
     return model
 
 
 def _both_machines(texts: list[str], labels: np.ndarray, table: np.ndarray) -> Model:
     y = np.where(labels == 1, 1.0, -1.0)
     gate, _ = _machine(texts, y, table)
-    units = units_of(texts, table)
-    scored = unit_scores(units.symbols, units.first, units.size, gate)
+    scored = [np.zeros(0, np.float32)]
+    for k in range(0, len(texts), BLOCK):
+        units = units_of(texts[k:k + BLOCK], table)
+        scored.append(unit_scores(units.symbols, units.first, units.size, gate))
+    scored = np.concatenate(scored)
     level = float(np.quantile(scored, HEARD)) if len(scored) else 0.0
     weights, constant = _machine(texts, y, table, gate, level)
     return Model(gate.astype(np.float32), level, weights.astype(np.float32), constant, 0.0, SLOPE, table)
 
 
+def _evidence(model: Model, texts: list[str]) -> np.ndarray:
+    return np.concatenate([model.evidence(texts[k:k + BLOCK]) for k in range(0, len(texts), BLOCK)])
+
+
 def _centre(values: np.ndarray, y: np.ndarray) -> float:
     """The evidence with the smallest shares of errors, of equal ones that in the widest gap."""
     if y.min() == y.max():

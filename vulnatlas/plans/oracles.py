@@ -322,6 +322,9 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'own__new: item_id,text', count(*) FROM benchmark
         UNION ALL SELECT 'own__old: event_id,event_type,props,ts,user_id,value', count(*) FROM events""",
     # --- landing, merging and publishing
+    "feeds_then_search": f"""WITH {FEED}, worded AS (SELECT *, {WORDS.format('description')} AS w FROM feed)
+        SELECT {RESULT} FROM worded WHERE list_contains(w, 'the') AND len(list_filter(w, lambda x: starts_with(x, 'ingre'))) > 0
+          AND year >= 2001 ORDER BY cvss DESC NULLS LAST, id LIMIT 25""",
     "feed_files": f"""WITH {FEED} SELECT id, published, severity, cvss, cwe, description, source, status, year FROM feed""",
     "published_state": f"""WITH {CVES}, {EXPLOITS} SELECT 'cves' AS "table", id, severity AS item FROM cves
         UNION ALL SELECT 'exploits', CAST(id AS VARCHAR), platform FROM exploits""",

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vulnatlas.operators import normalize
 from vulnatlas.operators.merging import one_per_key
 from vulnatlas.operators.postings import build_postings, write_postings
+from vulnatlas.operators.segments import append_segment
 from vulnatlas.sinks.writers import append_new, replace_table
 from vulnatlas.sources import advisories, exploits, tables, writeups
 
@@ -33,6 +34,15 @@ def append_advisories(spark: SparkSession, feeds: str | list[str], path: str) ->
     return append_new(rows, path, "id", "source_order", partition_by="year", transient=("source_order",))
 
 
+def append_indexed(spark: SparkSession, feeds: str | list[str], root: str, **made) -> int:
+    """Append the advisories of the feeds that the search index at ``root`` does not hold yet; how many there were.
+
+    ``made`` is how :func:`~vulnatlas.operators.segments.append_segment` makes the index.
+    """
+    rows = normalize.normalize_advisories(advisories.read_feeds(spark, feeds), "source_order")
+    return append_segment(spark, rows, root, "source_order", transient=("source_order",), **made)
+
+
 def append_exploits(spark: SparkSession, catalogue: str, path: str) -> int:
     """Append the exploits of the catalogue that are not stored yet; how many there were."""
     rows = normalize.normalize_exploits(exploits.read_catalogue(spark, catalogue), "source_order")

@@ -21,7 +21,7 @@ from vulnatlas.session import shared_path
 from vulnatlas.sinks import writers
 from vulnatlas.sources import exploits as exploit_source
 from vulnatlas.sources import jsonl, tables, writeups
-from vulnatlas.streaming.ingest import ingest_indexed, ingest_landed, ingest_latest, latest_state
+from vulnatlas.streaming.ingest import ingest_indexed, ingest_indexed_feeds, ingest_landed, ingest_latest, latest_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -628,15 +628,30 @@ def enrichment_build(spark, sf_dir):
 # --- landing, merging and publishing -------------------------------------------------------
 
 
-@query
-def feed_files(spark, sf_dir):
-    """Feed documents, one file for each year and language, written, scanned and built into the advisory table."""
+def landed_feeds(spark, sf_dir) -> str:
+    """A folder of feed documents, one file for each year and language."""
     path = shared_path(spark, "feeds")
     items = D.feed_items(spark, sf_dir)
     text = F.concat(F.lit('{"vulnerabilities":['), F.array_join(F.collect_list("raw"), ","), F.lit("]}"))
     documents = items.groupBy(C.published_year(F.col("cve.published")), "source_order.file").agg(text.alias("value"))
     documents.select("value").write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
-    rows = pipeline.advisory_table(spark, f"{path}/*.gz")
+    return path
+
+
+@query
+def feeds_then_search(spark, sf_dir):
+    """Feed documents landed, ingested into a search index as a stream, delivered again as a batch, and searched."""
+    landing, root, checkpoint = landed_feeds(spark, sf_dir), shared_path(spark, "index"), shared_path(spark, "checkpoint")
+    ingest_indexed_feeds(spark, landing, root, checkpoint, stem=False, substring=None)
+    pipeline.append_indexed(spark, f"{landing}/*.gz", root, stem=False, substring=None)
+    found = segments.search_index(segments.open_index(spark, root), T.all_of("the", T.prefix("ingre")), 25, since=2001)
+    return found.select(*Q.ADVISORY_RESULT)
+
+
+@query
+def feed_files(spark, sf_dir):
+    """Feed documents written, scanned and built into the advisory table."""
+    rows = pipeline.advisory_table(spark, f"{landed_feeds(spark, sf_dir)}/*.gz")
     return rows.select("id", "published", "severity", "cvss", "cwe", "description", "source", "status", "year")
 
 

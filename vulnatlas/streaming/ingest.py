@@ -80,13 +80,8 @@ def latest_state(spark: SparkSession, target: str, key: str = "id") -> DataFrame
     return one_per_key(spark.read.parquet(target), key, F.desc("batch")).drop("batch")
 
 
-def ingest_feeds(spark: SparkSession, landing: str, target: str, checkpoint: str, max_files: int | None = None) -> None:
-    """Ingest feed documents newly landed in a folder into the ``cves`` table at ``target``.
-
-    The first delivery of an id stays: within a batch by the order of
-    :func:`~vulnatlas.sources.advisories.feed_items`, and batches of ``max_files`` take files in the order they
-    landed too. Without ``max_files`` all of them are one batch.
-    """
+def landed_feeds(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
+    """Items of the feed documents that land in a folder; at most ``max_files`` documents a batch."""
     limit = {"maxFilesPerTrigger": max_files} if max_files else {}
     feeds = (
         spark.readStream.schema("vulnerabilities array<variant>")
@@ -96,11 +91,31 @@ def ingest_feeds(spark: SparkSession, landing: str, target: str, checkpoint: str
         .options(**limit)
         .json(landing)
     )
+    return feed_items(feeds)
+
+
+def _normalized(batch: DataFrame) -> DataFrame:
+    return normalize_advisories(parse_items(batch.hint("rebalance")), "source_order")
+
 
-    def normalized(batch: DataFrame) -> DataFrame:
-        return normalize_advisories(parse_items(batch.hint("rebalance")), "source_order")
+def ingest_feeds(spark: SparkSession, landing: str, target: str, checkpoint: str, max_files: int | None = None) -> None:
+    """Ingest feed documents newly landed in a folder into the ``cves`` table at ``target``.
 
+    The first delivery of an id stays: within a batch by the order of
+    :func:`~vulnatlas.sources.advisories.feed_items`, and batches of ``max_files`` take files in the order they
+    landed too. Without ``max_files`` all of them are one batch.
+    """
     ingest_landed(
-        feed_items(feeds), target, checkpoint, order=("source_order",), partition_by="year",
-        transient=("source_order",), transform=normalized,
+        landed_feeds(spark, landing, max_files), target, checkpoint, order=("source_order",), partition_by="year",
+        transient=("source_order",), transform=_normalized,
+    )
+
+
+def ingest_indexed_feeds(
+    spark: SparkSession, landing: str, root: str, checkpoint: str, max_files: int | None = None, **made,
+) -> None:
+    """Ingest feed documents as :func:`ingest_feeds` does, into the search index at ``root``."""
+    ingest_indexed(
+        landed_feeds(spark, landing, max_files), root, checkpoint, order=("source_order",), transform=_normalized,
+        transient=("source_order",), **made,
     )

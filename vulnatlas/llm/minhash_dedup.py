@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vulnatlas.llm.components import connected_components
-from vulnatlas.llm.text import LOWER, combined, free_name, id_and_text, mixed, slices, span_hashes, stored, text_bytes, word_spans
+from vulnatlas.llm.text import LOWER, combined, free_name, id_and_text, mixed, scratch, slices, span_hashes, stored, text_bytes, word_spans
 
 BANDS, ROWS = 20, 4  # a pair at a similarity of 0.8 shares no band with a probability of 3e-5
 HASHES = 128
@@ -293,8 +293,9 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
     """
     key = free_name(docs.columns, "row_key")
     keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
-    found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), width, percent)
-    found = stored(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"), "kept"), "found")
+    with scratch(docs.sparkSession):  # signatures, texts and links are not asked for again
+        found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), width, percent)
+        found = stored(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"), "kept"), "found", keep=True)
     groups = found.filter("NOT kept").select("group").distinct()
     ids = keyed.select(F.col(key).alias("row"), F.col("doc_id").cast("long").alias("id"))
     members = stored(found.join(groups, "group", "left_semi").join(ids, "row").select("row", "group", "id"), "members")

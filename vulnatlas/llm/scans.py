@@ -24,10 +24,9 @@ def running(
 ) -> DataFrame:
     """``df`` with the running ``fold`` (a sum or an exclusive or) of each of ``sums`` up to and with the row itself.
 
-    ``segment`` cuts a group into pieces that follow each other in ``order``. Pieces are folded by themselves and
-    what comes before a piece is added, so a group is never in one task unless it has one piece. Rows before and
-    after a piece's first are told apart by ``order``, which has to be total. ``levels`` folds the pieces in
-    pieces again, for a single group of all rows. ``df`` is read twice.
+    ``segment`` numbers pieces of a group that follow each other in ``order``. Pieces are folded by themselves and
+    what comes before a piece is added, so no task holds a group of many pieces. Rows that are equal in ``order`` come
+    in any order. ``levels`` folds the pieces in pieces again, for a single group of all rows. ``df`` is read twice.
     """
     names, piece = list(sums), f"_segment{levels}"
     cut = df.withColumn(piece, segment.cast("long"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vulnatlas.functions.text import fold, tokens
+from vulnatlas.operators.match_tree import near
 
 
 def in_field(postings: DataFrame, field: str | None) -> DataFrame:
@@ -81,6 +82,7 @@ def match_none(ids: DataFrame, postings: DataFrame, tokens: list[str], field: st
 
 
 def match_prefix(postings: DataFrame, prefix: str, field: str | None = None) -> DataFrame:
+    """Rows with a token that begins with ``prefix``, as it is; :func:`~vulnatlas.operators.match_tree.prefix` is analysed first."""
     return in_field(postings, field).filter(F.col("token").startswith(prefix)).select("id").distinct()
 
 
@@ -114,8 +116,9 @@ def match_phrase(postings: DataFrame, tokens: list[str], field: str | None = Non
 
 
 def match_near(postings: DataFrame, left: str, right: str, distance: int = 10, field: str | None = None) -> DataFrame:
-    """Rows with both tokens in one field, in either order, at most ``distance`` tokens between."""
-    grouped, (p, q) = _positions(in_field(postings, field), [left, right])
-    reach = distance + 1
-    around = F.flatten(F.transform(p, lambda x: F.sequence(x - reach, x + reach)))
-    return grouped.filter(F.arrays_overlap(around, q)).select("id").distinct()
+    """Rows with both tokens in one field, in either order, at most ``distance`` tokens between.
+
+    :func:`~vulnatlas.operators.match_tree.match_tree` has the form for phrases, any number of them, and any tree.
+    """
+    grouped, places = _positions(in_field(postings, field), [left, right])
+    return grouped.filter(near(places, [1, 1], distance)).select("id").distinct()

@@ -6,6 +6,7 @@ never split a UTF-8 character.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
@@ -80,17 +81,31 @@ def remove_stored(*tables: DataFrame) -> None:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut between rows so that each holds about ``limit`` bytes of ``column``."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        ends = np.cumsum(np.asarray(pyarrow.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64))
-        first = 0
-        while first < batch.num_rows:
-            base = ends[first - 1] if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, base + limit, side="right")))
-            yield batch.slice(first, last - first)
-            first = last
+    """The batches cut between rows so that each holds about ``limit`` bytes of ``column``.
+
+    At the end, memory that is free goes back to the system: the worker serves other stages after this one.
+    """
+    try:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ends = np.cumsum(np.asarray(pyarrow.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64))
+            first = 0
+            while first < batch.num_rows:
+                base = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, base + limit, side="right")))
+                yield batch.slice(first, last - first)
+                first = last
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Return free memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def in_slices(texts: list[str], run: Callable[[list[str]], Iterable], limit: int = SLICE_BYTES // 2) -> list:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vulnatlas.llm.text import combined, id_and_text, in_slices, mixed, runs, slices, span_hashes, text_bytes, word_spans
+from vulnatlas.llm.text import combined, give_back, id_and_text, in_slices, mixed, runs, slices, span_hashes, text_bytes, word_spans
 
 SPAN = 8
 DECAY = 0.5
@@ -364,6 +364,8 @@ def trained(docs: DataFrame, labels: DataFrame, trains: Column | None = None) ->
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted(row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "y")), strict=True))
         model = train([text for _, text, _ in rows], np.array([y for *_, y in rows], np.int64))
+        rows.clear()
+        give_back()
         yield pa.RecordBatch.from_pydict({
             "gate": [model.gate.astype("<f4").tobytes()], "level": [float(model.level)],
             "weights": [model.weights.astype("<f4").tobytes()], "constant": [float(model.constant)], "centre": [float(model.centre)]})

@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from vulnatlas.llm import sentencepiece_sampling as S
+from vulnatlas.llm.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -69,3 +70,11 @@ def test_awkward_rows(spark, awkward):
     assert once == again and len(once) == awkward.count() and all(r[-1] for r in once)
     assert {r[:2] for r in once if r[1] == 0} == {(2, 0), (3, 0), (None, 0)}
     assert S.encoded(awkward.limit(0), ids=False).collect() == []
+
+
+def test_the_query_returns_the_sampled_pieces(spark, pieces, tmp_path):
+    rows = [(1, "several words  of one text"), (2, None), (3, "日本 é\n"), (3, ""), (None, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op2_sentencepiece_sampling"](spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id or 0, S.decode(np.array(r.ids, np.int64), pieces)) for r in found)) == sorted((i or 0, t or "") for i, t in rows)
+    assert all(len(r.ids) == r.n_pieces and r.lossless for r in found)

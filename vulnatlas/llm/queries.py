@@ -89,7 +89,7 @@ def op5_benchmark_decontamination(spark, sf_dir):
 
 @query
 def op2_sentencepiece_sampling(spark, sf_dir):
-    return sentencepiece_sampling.encoded(table(spark, sf_dir, "documents"), ids=False)
+    return sentencepiece_sampling.encoded(table(spark, sf_dir, "documents"))
 
 
 @query

@@ -27,6 +27,10 @@ def _folding() -> tuple[str, str]:
 
 
 _ACCENTED, _BASE = _folding()
+#: What :func:`fold` does to lower-cased text, for ``str.translate``.
+FOLDING = {ord(letter): _BASE[n] if n < len(_BASE) else None for n, letter in enumerate(_ACCENTED)}
+#: Tokens before folding: marks that it removes are still among their letters.
+MARKED_PATTERN = r"([\p{L}\p{N}\p{Co}\u0300-\u0331]+)"
 
 
 def fold(text: Column) -> Column:
@@ -36,3 +40,8 @@ def fold(text: Column) -> Column:
 def tokens(text: Column) -> Column:
     """Lower-cased, accent-folded tokens in text order; null gives an empty array."""
     return F.regexp_extract_all(fold(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), F.lit(1))
+
+
+def marked_words(text: Column) -> Column:
+    """Lower-cased words in text order; each is a token of :func:`tokens` once ``FOLDING`` is applied, or nothing is left of it."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(MARKED_PATTERN), F.lit(1))

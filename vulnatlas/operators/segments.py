@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ UNSCORED = -1
 NARROW_IDS = 100_000
 #: Keys that may be stored up to which they are given to the scan of the stored ones.
 KEYS_IN_SCAN = 1000
+#: Rows whose postings of one block a task of a merge sorts at least, if the block has so many.
+ROWS_PER_FILE = 10_000
 PARTS = ("rows", "postings", "terms", "grams", "gram_terms", "keys", "summary")
 
 
@@ -139,8 +142,7 @@ def append_segment(
     n = sum(blocks.values())
     if n:
         words = words_for(n)
-        with staged(build_postings(rows, key, fields, stem, keep=("block",)), "postings") as postings:
-            _write_postings(postings, root, name)
+        _write_postings(rows, key, fields, stem, root, name)
         if substring:
             with staged(gram_postings(rows, key, substring), "grams") as found:
                 _write_grams(found, root, name)
@@ -156,13 +158,28 @@ def append_segment(
     return n
 
 
-def _write_postings(postings: DataFrame, root: str, name: str) -> None:
-    """Postings by block, token and id, and the vocabulary."""
+def _write_postings(rows: DataFrame, key: str, fields: tuple[str, ...], stem: bool, root: str, name: str) -> None:
+    """Postings by block, token and id, and the vocabulary.
+
+    Texts are dealt out in ranges of block and key before they are tokenised: a row's postings are many times its
+    size and stay in its task, which sorts them once; texts that come in order give long sorted runs. So a task has
+    few blocks, and the work follows the rows, not the files that they lie in.
+    """
+    texts = rows.select(*dict.fromkeys((key, *fields, "block"))).repartitionByRange("block", key).sortWithinPartitions("block", key)
+    _sorted_postings(build_postings(texts, key, fields, stem, keep=("block",)), root, name)
+    postings = rows.sparkSession.read.parquet(folder(root, "postings", name))
+    _write_terms(postings.groupBy("token").agg(F.count("*").alias("n")), root, name)
+
+
+def _sorted_postings(postings: DataFrame, root: str, name: str) -> None:
+    """The postings of each task, sorted in files of its own."""
     (
-        postings.repartitionByRange("block", "token", "id").sortWithinPartitions("block", "token", "id").write.partitionBy("block")
+        postings.sortWithinPartitions("block", "token", "id").write.partitionBy("block")
         .option("parquet.bloom.filter.enabled#token", "true").parquet(folder(root, "postings", name))
     )
-    terms = postings.groupBy("token").agg(F.count("*").alias("n"))
+
+
+def _write_terms(terms: DataFrame, root: str, name: str) -> None:
     terms.repartitionByRange("token").sortWithinPartitions("token").write.parquet(folder(root, "terms", name))
 
 
@@ -188,7 +205,8 @@ def merge_segments(spark: SparkSession, root: str, smaller_than: int | None = No
         rows.hint("rebalance", "block").sortWithinPartitions("block", key).write.partitionBy("block")
         .option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(folder(index.root, "rows", name))
     )
-    _write_postings(index.part("postings", chosen), index.root, name)
+    _fold_postings(index, chosen, name)
+    _write_terms(index.part("terms", chosen).groupBy("token").agg(F.sum("n").alias("n")), index.root, name)
     if index.state["made"]["substring"]:
         _write_grams(index.part("grams", chosen), index.root, name)
     n = sum(s["rows"] for s in chosen)
@@ -205,6 +223,18 @@ def merge_segments(spark: SparkSession, root: str, smaller_than: int | None = No
     return len(chosen)
 
 
+def _fold_postings(index: Index, chosen: list[dict], name: str) -> None:
+    """The postings of the given segments, block by block, sorted anew without a shuffle.
+
+    A block's files are read by as many tasks as its rows ask for, each of which writes one file: small ones are
+    folded together, and large ones, sorted already, are merged with few others.
+    """
+    sizes = Index(index.spark, index.root, index.number, {"segments": chosen}).blocks()
+    blocks = [
+        index.part("postings", chosen).filter(F.col("block") == block).coalesce(-(-n // ROWS_PER_FILE)) for block, n in sizes.items() if n]
+    _sorted_postings(reduce(DataFrame.unionAll, blocks), index.root, name)
+
+
 def vacuum(spark: SparkSession, root: str) -> list[str]:
     """Remove segments that are not live any more, or never were, while nobody reads or writes; their names."""
     index = open_index(spark, root)

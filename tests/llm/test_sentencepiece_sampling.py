@@ -78,3 +78,17 @@ def test_the_query_returns_the_sampled_pieces(spark, pieces, tmp_path):
     found = QUERIES["op2_sentencepiece_sampling"](spark, str(tmp_path)).collect()
     assert sorted(((r.doc_id or 0, S.decode(np.array(r.ids, np.int64), pieces)) for r in found)) == sorted((i or 0, t or "") for i, t in rows)
     assert all(len(r.ids) == r.n_pieces and r.lossless for r in found)
+
+
+def test_slices_are_bounded(spark, monkeypatch):
+    """What a worker cuts at a time stays small: in the pipeline it shares the executor with the stages before it."""
+    encode = S.encode
+
+    def watched(texts, *more):
+        if sum(map(len, texts)) > 2_000_000:
+            raise ValueError(f"{sum(map(len, texts))} characters at a time")
+        return encode(texts, *more)
+
+    monkeypatch.setattr(S, "encode", watched)
+    docs = spark.createDataFrame([(k, "some words of a text " * 5_000) for k in range(30)], "doc_id long, text string").coalesce(1)
+    assert all(r.lossless for r in S.encoded(docs, ids=False).collect())

@@ -34,6 +34,8 @@ BYTE = -25.0
 SEED = 2024
 MARK = "▁"
 
+#: Bytes of text that are cut into pieces at a time; the arrays of a slice take many times as much.
+SLICE = 2_000_000
 #: Cells of a lattice table that are filled at a time.
 CELLS = 1_000_000
 SLOT_BITS = 20
@@ -233,7 +235,7 @@ def encoded(docs: DataFrame, model: str | None = None, alpha: float = ALPHA, see
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(model, alpha)
-        for part in slices(batches, limit=4_000_000):
+        for part in slices(batches, limit=SLICE):
             keys = np.asarray(part.column("doc_id").fill_null(0), np.int64).view(np.uint64)
             texts = part.column("text").to_pylist()
             found = encode(texts, keys, pieces, seed)

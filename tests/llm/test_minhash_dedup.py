@@ -6,9 +6,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vulnatlas.llm import minhash_dedup as M
 from vulnatlas.llm.components import connected_components
+from vulnatlas.llm.text import stored
 
 
 def brute(rows, width, percent):
@@ -101,3 +103,47 @@ def test_chains_and_empty_links(spark):
     found = dict(tuple(r) for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect())
     assert found == {k: 0 for k in range(61)} | {100: 100, 101: 100}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_copies_of_one_text_meet_it_and_not_each_other(spark, monkeypatch):
+    """Copies that are linked by their original alone are not compared pair by pair, wherever it stands."""
+    n, base = 100, [f"w{k}" for k in range(150)]
+    places = [(7 + 13 * k % 40, 55 + 7 * k % 41, 103 + 11 * k % 42) for k in range(n)]
+    copies = [(k, " ".join(f"c{k}x{j}" if j in places[k] else w for j, w in enumerate(base))) for k in range(n)]
+    docs = spark.createDataFrame([*copies, (n, " ".join(base)), (n + 1, "quite another text of more than five words")], "doc_id long, text string")
+    counts = []
+
+    def counted(df, name, *args, **kwargs):
+        table = stored(df, name, *args, **kwargs)
+        if name == "pairs":
+            counts.append(table.count())
+        return table
+
+    monkeypatch.setattr(M, "stored", counted)
+    found = {r.doc_id: r.component_id for r in M.near_duplicates(docs).collect()}
+    assert found == {k: 0 for k in range(n + 1)} | {n + 1: n + 1}
+    assert sum(counts) < 10 * n
+
+
+def test_rows_go_without_a_shuffle_of_texts(spark, plan):
+    text = "one two three four five six seven"
+    docs = spark.createDataFrame([(k, text if k % 3 else f"{text} {k} {k} {k} {k}") for k in range(30)], "doc_id long, text string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = M.drop_near_duplicates(docs)
+        assert "Exchange hashpartitioning" not in plan(kept)
+        assert sorted(r.doc_id for r in kept.collect()) == [k for k in range(30) if k % 3 == 0 or k == 1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+@pytest.mark.parametrize("limit", [0, 16_000])
+def test_rows_that_go_are_found_by_their_bits(spark, monkeypatch, limit):
+    monkeypatch.setattr(M, "BROADCAST_BITMAPS", limit)
+    rows = spark.range(0, 200_000, 1, 3).select(F.monotonically_increasing_id().alias("row_key"), "id", F.lit(1).alias("KEY_BITS"))
+    goes = "id % 7 = 3 OR id IN (0, 32767, 32768, 32769, 65536, 199999)"
+    left = M._without(rows, rows.filter(goes).select("row_key"), "row_key").select(rows.columns)
+    want = rows.filter(f"NOT ({goes})")
+    assert left.count() == want.count() and left.exceptAll(want).isEmpty()
+    assert M._without(rows, rows.limit(0).select("row_key"), "row_key").count() == 200_000

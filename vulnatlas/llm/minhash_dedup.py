@@ -35,6 +35,8 @@ BATCH = 16
 LEADERS = 2
 #: Ids of documents in shared buckets up to which they are broadcast to pick their texts.
 BROADCAST_IDS = 1_000_000
+#: Bitmaps of rows that go, 4 KB each, up to which they are broadcast.
+BROADCAST_BITMAPS = 16_000
 #: Buckets of at most so many members compare all pairs of different components; larger ones join by prefixes.
 SMALL = 32
 MISS = 1e-6
@@ -235,11 +237,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     members = banded(classes)
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     spots = stored(members.join(shared, "band").select("rep", "band", "n"), "spots")
-    hot = stored(spots.select("rep").distinct(), "hot")
+    hot = stored(spots.groupBy("rep").agg(F.sum("n").alias("met")), "hot")
     few = hot.count() <= BROADCAST_IDS
     small = F.broadcast(hot) if few else hot
     signatures = stored(classes.select("rep", "signature").join(small, "rep", "left_semi"), "signatures")
-    ids = small.withColumnRenamed("rep", "doc_id")
+    ids = small.select(F.col("rep").alias("doc_id"))
     texts = stored(id_and_text(docs).filter("doc_id IS NOT NULL").join(ids, "doc_id", "left_semi"), "texts")
 
     def links(pairs: DataFrame) -> DataFrame:
@@ -248,8 +250,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
         alive = stored(_pruned(pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb"), percent / 100, miss).distinct(), "pairs")
         return stored(_confirmed(alive, texts, width, percent).distinct(), "links")
 
-    chosen = [F.min("rep")] + [F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(1, LEADERS)]
-    leaders = spots.groupBy("band").agg(F.array_distinct(F.array(*chosen)).alias("leaders"))
+    # The text that others were made from meets most of them, and is linked to most.
+    chosen = [F.min_by("rep", F.struct(-F.col("met"), "rep"))] + [F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(1, LEADERS)]
+    leaders = spots.join(small, "rep").groupBy("band").agg(F.array_distinct(F.array(*chosen)).alias("leaders"))
     met = (
         spots.select("rep", "band").join(leaders, "band")
         .select("rep", F.explode("leaders").alias("leader")).filter("rep <> leader")
@@ -283,6 +286,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     )
 
 
+def _without(keyed: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """The rows of ``keyed`` whose ``key`` is not in ``gone``; keys are distinct and not negative.
+
+    Bitmaps of 32,768 keys name the rows that go, so that these are broadcast, a bit each, and no text is shuffled.
+    """
+    bucket, bits = (free_name(keyed.columns, name) for name in ("key_bucket", "key_bits"))
+    marks = gone.groupBy(F.bitmap_bucket_number(key).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias(bits))
+    marks = stored(marks, "marks", keep=True)
+    marks = F.broadcast(marks) if marks.count() <= BROADCAST_BITMAPS else marks
+    place = F.bitmap_bit_position(key)
+    byte = F.conv(F.hex(F.substring(bits, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    goes = F.coalesce(F.call_function("shiftright", byte, (place % 8).cast("int")) % 2 == 1, F.lit(False))
+    return keyed.join(marks, F.bitmap_bucket_number(key) == F.col(bucket), "left").filter(~goes)
+
+
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without near copies of others, with all their columns: one row of each group stays.
 
@@ -301,4 +319,4 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
     members = stored(found.join(groups, "group", "left_semi").join(ids, "row").select("row", "group", "id"), "members")
     stays = members.groupBy("group").agg(F.min_by("row", F.struct(F.col("id").isNull(), "id", "row")).alias("row"))
     gone = members.join(stays, ["group", "row"], "left_anti").select(F.col("row").alias(key))
-    return keyed.join(gone, key, "left_anti").select(docs.columns)
+    return _without(keyed, gone, key).select(docs.columns)

@@ -44,12 +44,12 @@ _scratch: list[list[str]] = []
 def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage is cut, and any executor can read it.
 
-    Inside :func:`scratch` it goes at the end, unless it is to be kept.
+    Inside :func:`scratch` it goes at the end; if it is to be kept, it does so with the block around that one, if any.
     """
     spark, path = df.sparkSession, shared_path(df.sparkSession, name)
-    if _scratch and not keep:
-        _scratch[-1].append(path)
-    df.write.parquet(path)
+    if len(_scratch) > keep:
+        _scratch[-1 - keep].append(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -293,7 +293,7 @@ def _without(keyed: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """
     bucket, bits = (free_name(keyed.columns, name) for name in ("key_bucket", "key_bits"))
     marks = gone.groupBy(F.bitmap_bucket_number(key).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias(bits))
-    marks = stored(marks, "marks", keep=True)
+    marks = stored(marks, "marks")
     marks = F.broadcast(marks) if marks.count() <= BROADCAST_BITMAPS else marks
     place = F.bitmap_bit_position(key)
     byte = F.conv(F.hex(F.substring(bits, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")

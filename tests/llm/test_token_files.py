@@ -60,3 +60,64 @@ def test_awkward_rows(spark, awkward, monkeypatch, per_file):
     found = [(-1 if r.doc_id is None else r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in T.round_trip(awkward).collect()]
     assert sorted(found) == sorted(want)
     assert T.round_trip(awkward.limit(0)).collect() == []
+
+
+class Counting:
+    """The merges, and every part that went to them."""
+
+    def __init__(self, merges):
+        self.merges, self.seen = merges, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.seen += [part for text in texts for part in text.split()]
+        return self.merges.encode_batch_fast(texts, **options)
+
+
+def test_words_met_most_are_not_forgotten(monkeypatch):
+    """However many words come, one of every text goes to the merges once; and the ids stay right."""
+    monkeypatch.setattr(T, "KEPT_WORDS", 20)
+    words = T.WordTokens(T.default_tokenizer())
+    words.merges = counting = Counting(words.merges)
+    for k in range(60):
+        text = f"often often caf\xe9 {' '.join('abcdefghij'[int(d)] * 3 + chr(97 + k % 26) * j for j, d in enumerate(str(k + 100)))}"
+        found = np.frombuffer(words.encode([text.encode()])[0], "<u4").tolist()
+        assert found == words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert counting.seen.count("often") == 1 and len(set(counting.seen)) > 60
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.characters(max_codepoint=255) | st.sampled_from("''''stmdrevl 1aB"), max_size=60))
+def test_latin_texts_are_cut_like_the_pattern(text):
+    lowered = (text.encode("latin-1") + b"  ").translate(T.LOWERED)
+    solid, begun = T.cut_parts(lowered)
+    last = 0
+    cut = []
+    for first in np.flatnonzero(begun).tolist():
+        last = first + 1
+        while solid[last] and not begun[last]:
+            last += 1
+        cut.append(lowered[first:last].decode("latin-1"))
+    assert cut == T.CUT.findall(text.lower()) and sum(map(len, cut)) == int(solid.sum())
+
+
+def test_a_worker_loads_the_tokenizer_once(spark, tmp_path, monkeypatch):
+    class Noted(T.WordTokens):
+        def __init__(self, path):
+            import os
+
+            super().__init__(path)
+            with open(tmp_path / "loads", "a") as out:
+                out.write(f"{os.getpid()}\n")
+
+    monkeypatch.setattr(T, "WordTokens", Noted)
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        files = T.write_tokens(spark.range(20 * tasks).selectExpr("id AS doc_id", "'some words' AS text"), str(tmp_path / "ids")).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    loads = (tmp_path / "loads").read_text().split()
+    assert len(files) > spark.sparkContext.defaultParallelism and len(loads) == len(set(loads))

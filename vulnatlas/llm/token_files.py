@@ -18,22 +18,25 @@ writes the same file again. Only the counts per file meet on the way to the offs
 
 from __future__ import annotations
 
+import codecs
 import json
-import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vulnatlas.llm.text import id_and_text, slices, stored
+from vulnatlas.llm.text import SPACE, id_and_text, slices, stored
 from vulnatlas.session import hadoop_path, shared_path
 
 BLOCK = 1024
@@ -47,8 +50,11 @@ WIDTHS = 60 // COUNTS
 ESCAPE = len(COUNTS)
 MAGIC = b"SB8\0"
 END_ID = 2
-#: Words, and parts of words, whose ids a task keeps for the next texts.
+#: Words, and parts of words, whose ids a worker keeps for the next texts.
 KEPT_WORDS = 400_000
+#: Parts that go to the merges at a time, and bytes of text that are encoded at a time.
+MERGED_PARTS = 4_000
+ENCODED_BYTES = 4_000_000
 
 # How the tokenizer of lower-cased words normalises and cuts, as its file has it.
 END = "</w>"
@@ -59,9 +65,14 @@ PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
     {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 CUT = regex.compile(PATTERN.replace(r"\s", r"\p{White_Space}"))
-# The same for lower-cased texts of the first 256 characters: letters, digits and white space written out.
-SIMPLE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|"
-                    "[^a-z0-9\t-\r \x85\xa0\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+")
+# The same for Latin-1 texts, a byte a character: lower case, and what each character is to the pattern.
+LOWERED = bytes(ord(chr(k).lower()) for k in range(256))
+LETTER, DIGIT, OTHER = 1, 2, 3
+KINDS = bytes(
+    0 if regex.match(r"\p{White_Space}", chr(k)) else LETTER if regex.match(r"\p{L}", chr(k)) else DIGIT if regex.match(r"\p{N}", chr(k)) else OTHER
+    for k in range(256))
+#: What goes with the apostrophe before it: its first two bytes, by the size of both.
+SHORT = {2: [ord(c) << 8 for c in "stmd"], 3: [ord(a) << 8 | ord(b) for a, b in ("re", "ve", "ll")]}
 #: Words of characters below this one are normalised here; above, other versions of Unicode may differ.
 LATIN = "\u0250"
 
@@ -74,6 +85,8 @@ def _byte_characters() -> list[str]:
 
 
 BYTES = _byte_characters()
+#: The same as a table for whole lists of words, which keep the space between them.
+SPACED_BYTES = "".join([*BYTES[:32], " ", *BYTES[33:]])
 
 
 def default_tokenizer() -> str:
@@ -185,17 +198,21 @@ class WordTokens:
     The tokenizer drops white space and never looks across it, so a text's ids are those of its words, one
     after the other. Texts, or else words, of Latin letters are normalised and cut as the tokenizer does it, and
     their parts go to its merges many at a time: a part's last id is the only one that ends a word. All others go
-    to the tokenizer as they are. A tokenizer of another kind gets every word as it is.
+    to the tokenizer as they are. A tokenizer of another kind gets every word as it is. Arrow numbers the distinct
+    words of a slice of texts and puts their ids in place of each, so only distinct ones are looked up one by one.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, decoders, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, decoders, models, normalizers, pre_tokenizers
 
-        self.tokenizer, merges = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.path, merges = path, Tokenizer.from_file(path)
+        self.known_parts, self.known_words = Known(), Known()
         self.parts: dict[str, bytes] = {}
-        rules = json.loads(self.tokenizer.to_str())
-        self.plain = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == PRE_TOKENIZER and rules["model"]["end_of_word_suffix"] == END
+        rules = Tokenizer(models.BPE())  # with the rules alone: the vocabulary is long to write and read
+        rules.normalizer, rules.pre_tokenizer = merges.normalizer, merges.pre_tokenizer
+        rules = json.loads(rules.to_str())
+        ends = getattr(merges.model, "end_of_word_suffix", None) == END
+        self.plain = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == PRE_TOKENIZER and ends
         if self.plain:
             merges.normalizer, merges.pre_tokenizer, merges.decoder = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit(), decoders.Fuse()
             self.merges = merges
@@ -203,59 +220,147 @@ class WordTokens:
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self.ends[[k for name, k in vocabulary.items() if name.endswith(END)]] = True
 
+    @cached_property
+    def tokenizer(self):
+        """The tokenizer itself: only texts that are not normalised here need it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _merge(self, parts: list[str]) -> None:
-        """Learn the ids of parts that are one run for the merges each."""
-        for a in range(0, len(parts), 4000):
-            some = parts[a:a + 4000]
-            mapped = " ".join([p if p.isascii() and p.isprintable() else "".join(map(BYTES.__getitem__, p.encode())) for p in some])
-            ids = np.array(self.merges.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(some):
+    def _merge(self, runs: Iterable[str]) -> pa.Array:
+        """The ids of parts that are one run for the merges each; many are given at a time, with a space between them."""
+        ids, ends, size = [], [np.zeros(1, np.int64)], 0
+        for run in runs:
+            mapped = codecs.charmap_decode(run.encode(), "strict", SPACED_BYTES)[0]
+            ids.append(np.array(self.merges.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, "<u4"))
+            cuts = np.flatnonzero(self.ends[ids[-1]]) + 1
+            if len(cuts) != run.count(" ") + 1:
                 raise ValueError("the merges do not end each part with one id")
-            raw, begin = ids.tobytes(), 0
-            for part, end in zip(some, (cuts * 4).tolist(), strict=True):
-                self.parts[part] = raw[begin:end]
-                begin = end
-
-    def _learn(self, words: list[bytes]) -> None:
-        cut, rest = {}, []
-        for word in words:
-            text = word.decode()
+            ends.append(size + 4 * cuts)
+            size = int(ends[-1][-1])
+        return byte_strings(np.concatenate([np.zeros(0, "<u4"), *ids]), np.concatenate(ends))
+
+    def _learn_parts(self, parts: pa.Array) -> pa.Array:
+        """The ids of parts of Latin-1 texts."""
+        return self._merge(b" ".join(parts[a:a + MERGED_PARTS].to_pylist()).decode("latin-1") for a in range(0, len(parts), MERGED_PARTS))
+
+    def _learn_words(self, words: pa.Array) -> pa.Array:
+        """The ids of words of any characters."""
+        cut, rest, texts = {}, [], [w.decode() for w in words.to_pylist()]
+        for text in texts:
             if self.plain and (text.isascii() or max(text) < LATIN) and "<|" not in text:
-                cut[word] = CUT.findall((text if text.isascii() else unicodedata.normalize("NFC", text)).lower())
+                cut[text] = CUT.findall((text if text.isascii() else unicodedata.normalize("NFC", text)).lower())
             else:
-                rest.append(word)
-        self._merge(sorted({p for parts in cut.values() for p in parts if p not in self.parts}))
-        for word, parts in cut.items():
-            self.known[word] = b"".join(map(self.parts.__getitem__, parts))
-        for word, ids in zip(rest, self._ids([w.decode() for w in rest]), strict=True):
-            self.known[word] = ids
+                rest.append(text)
+        fresh = sorted({p for parts in cut.values() for p in parts if p not in self.parts})
+        found = self._merge(" ".join(fresh[a:a + MERGED_PARTS]) for a in range(0, len(fresh), MERGED_PARTS))
+        self.parts.update(zip(fresh, found.to_pylist(), strict=True))
+        ids = {text: b"".join(map(self.parts.__getitem__, parts)) for text, parts in cut.items()} | dict(zip(rest, self._ids(rest), strict=True))
+        return pa.array([ids[t] for t in texts], pa.large_binary())
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        for kept in (self.known, self.parts):
-            if len(kept) > KEPT_WORDS:
-                kept.clear()
-        cut: list[tuple[dict, list]] = [(self.parts, SIMPLE.findall(text.lower())) if (text := self._simple(t)) is not None else (self.known, t.split()) for t in texts]
-        self._merge(list({p for kept, row in cut if kept is self.parts for p in row if p not in kept}))
-        if fresh := {w for kept, row in cut if kept is self.known for w in row if w not in kept}:
-            self._learn(sorted(fresh))
-        return [b"".join(map(kept.__getitem__, row)) for kept, row in cut]
-
-    def _simple(self, text: bytes) -> str | None:
-        """A text that is cut here as a whole: of the first 256 characters, which normalising leaves as they are."""
+        self.known_parts.thin()
+        self.known_words.thin()
+        if len(self.parts) > KEPT_WORDS:
+            self.parts.clear()
+        simple = [self._simple(t) for t in texts]
+        whole = iter(self._by_parts([t for t in simple if t is not None]))
+        words = iter(self._by_words([t for t, s in zip(texts, simple, strict=True) if s is None]))
+        return [next(words if s is None else whole) for s in simple]
+
+    def _simple(self, text: bytes) -> bytes | None:
+        """A text that is cut here as a whole, a byte a character: of the first 256, which normalising leaves as they are."""
         if not self.plain or b"<|" in text:
             return None
-        decoded = text.decode()
         try:
-            return decoded if decoded.isascii() or decoded.encode("latin-1") else decoded
+            return text if text.isascii() else text.decode().encode("latin-1")
         except UnicodeEncodeError:
             return None
 
+    def _by_parts(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of texts as :meth:`_simple` gives them."""
+        lowered = b" ".join([*texts, b" "]).translate(LOWERED)  # two bytes of white space at the end
+        return self.known_parts.placed(lowered, *cut_parts(lowered), texts, self._learn_parts) if texts else []
+
+    def _by_words(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of other texts."""
+        joined = b" ".join([*texts, b""])
+        solid = ~SPACE[np.frombuffer(joined, np.uint8)]
+        begun = solid.copy()
+        begun[1:] &= ~solid[:-1]
+        return self.known_words.placed(joined, solid, begun, texts, self._learn_words) if texts else []
+
+
+class Known:
+    """Words that were met, the ids of each, and in how many slices of texts it was."""
+
+    def __init__(self):
+        self.words, self.ids, self.met = pa.array([], pa.large_binary()), pa.array([], pa.large_binary()), np.zeros(0, np.int64)
+
+    def thin(self) -> None:
+        """Of too many words, forget all but the half of ``KEPT_WORDS`` that was met most."""
+        if len(self.words) > KEPT_WORDS:
+            most = np.argsort(-self.met, kind="stable")[:KEPT_WORDS // 2]
+            self.words, self.ids, self.met = self.words.take(pa.array(most)), self.ids.take(pa.array(most)), self.met[most] // 2
+
+    def placed(self, joined: bytes, solid: np.ndarray, begun: np.ndarray, texts: list[bytes], learn: Callable[[pa.Array], pa.Array]) -> list[bytes]:
+        """The ids of each text, for each of its words those that are known or else ``learn`` finds.
+
+        ``joined`` holds the texts, a space behind each; ``solid`` says which bytes are in words, ``begun`` which begin one.
+        """
+        data = np.frombuffer(joined, np.uint8)[solid]
+        words = byte_strings(data, np.append(np.flatnonzero(begun[solid]), len(data))).dictionary_encode()
+        numbers = pc.index_in(words.dictionary, value_set=self.words)
+        if numbers.null_count:
+            new, n = numbers.is_null(), len(self.words)
+            fresh = words.dictionary.filter(new)
+            numbers = pc.replace_with_mask(numbers, new, pa.array(np.arange(n, n + len(fresh), dtype=np.int32)))
+            self.words, self.ids, self.met = (
+                pa.concat_arrays([self.words, fresh]), pa.concat_arrays([self.ids, learn(fresh)]), np.append(self.met, np.zeros(len(fresh), np.int64)))
+        self.met[numbers.to_numpy(zero_copy_only=False)] += 1
+        ids = self.ids.take(numbers.take(words.indices))
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        counts = np.add.reduceat(begun, begins[:-1], dtype=np.int64)
+        places = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, 8 * ids.offset)
+        ends = places[np.cumsum([0, *counts])].tolist()
+        raw = memoryview(ids.buffers()[2] or b"")
+        return [raw[first:last].tobytes() for first, last in pairwise(ends)]
+
+
+def byte_strings(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Strings of bytes one after the other in ``data``, the first from ``ends[0]`` on."""
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def cut_parts(lowered: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """For lower-cased Latin-1 text: whether each character is in a part of ``PATTERN``, and whether it begins one.
+
+    The text has to end with two characters of white space.
+    """
+    kind = np.frombuffer(lowered.translate(KINDS), np.uint8)
+    solid = kind != 0
+    begun = np.empty(len(kind), bool)
+    begun[0] = True
+    np.not_equal(kind[1:], kind[:-1], out=begun[1:])
+    begun |= kind == DIGIT
+    begun &= solid
+    # An apostrophe that begins a run, before certain letters: they go with it, and the next letters begin anew.
+    data = np.frombuffer(lowered, np.uint8)
+    quotes = np.flatnonzero((data == ord("'")) & begun)
+    quotes = quotes[kind[quotes + 1] == LETTER]
+    after = data[quotes + 1].astype(np.uint16) << 8
+    for size, endings in SHORT.items():
+        pairs = after | (data[quotes + 2] if size == 3 else 0)
+        chosen = quotes[np.isin(pairs, endings)]
+        begun[chosen + 1] = False
+        begun[chosen + size] |= kind[chosen + size] == LETTER
+    return solid, begun
+
 
 def open_folder(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """The file system and inner path of a folder that all executors share; names of schemes as Spark has them."""
@@ -284,9 +389,11 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
     it by their text. A text that is null or empty is its end id alone. Other columns are ignored.
     """
     tokenizer = tokenizer or default_tokenizer()
+    # A worker has one copy of what is broadcast for all its tasks: there it keeps the tokenizer and the words it met.
+    shared = docs.sparkSession.sparkContext.broadcast({})
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part = WordTokens(tokenizer), TaskContext.get().partitionId()
+        words, part = shared.value.get("words") or shared.value.setdefault("words", WordTokens(tokenizer)), TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         ids, counts, doc_ids, size, turn = [], [], [], 0, 0
 
@@ -295,7 +402,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
             write_whole(folder, name, file_bytes(np.array(doc_ids, np.int64), np.array(counts, np.uint64), np.frombuffer(b"".join(ids), "<u4")))
             return pa.RecordBatch.from_pydict({"file": [name], "number": pa.array([part * 1_000_000 + turn], pa.int64()), "ids": pa.array([size], pa.int64())})
 
-        for batch in slices(batches):
+        for batch in slices(batches, limit=ENCODED_BYTES):
             rows = words.encode([t.as_buffer().to_pybytes() for t in batch.column("text")])
             for doc_id, row in zip(batch.column("doc_id").fill_null(NO_ID).to_pylist(), rows, strict=True):
                 ids.append(row + end)

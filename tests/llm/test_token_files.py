@@ -85,6 +85,17 @@ def test_words_met_most_are_not_forgotten(monkeypatch):
     assert counting.seen.count("often") == 1 and len(set(counting.seen)) > 60
 
 
+def test_long_words_are_not_kept_for_ever(monkeypatch):
+    monkeypatch.setattr(T, "KEPT_BYTES", 20_000)
+    words = T.WordTokens(T.default_tokenizer())
+    for k in range(40):
+        for text in (f"often {chr(97 + k % 26) * (900 + k)}", f"\u2019 often {chr(97 + k % 26) * (900 + k)}"):
+            found = np.frombuffer(words.encode([text.encode()])[0], "<u4").tolist()
+            assert found == words.tokenizer.encode(text, add_special_tokens=False).ids
+            assert max(known.words.nbytes + known.ids.nbytes for known in (words.known_parts, words.known_words)) < 25_000
+            assert b"often" in words.known_parts.words.to_pylist() and sum(map(len, words.parts)) < 25_000
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.characters(max_codepoint=255) | st.sampled_from("''''stmdrevl 1aB"), max_size=60))
 def test_latin_texts_are_cut_like_the_pattern(text):

@@ -50,8 +50,9 @@ WIDTHS = 60 // COUNTS
 ESCAPE = len(COUNTS)
 MAGIC = b"SB8\0"
 END_ID = 2
-#: Words, and parts of words, whose ids a worker keeps for the next texts.
+#: Words, and parts of words, whose ids a worker keeps for the next texts, and their bytes with those of the ids.
 KEPT_WORDS = 400_000
+KEPT_BYTES = 64_000_000
 #: Parts that go to the merges at a time, and bytes of text that are encoded at a time.
 MERGED_PARTS = 4_000
 ENCODED_BYTES = 4_000_000
@@ -208,6 +209,7 @@ class WordTokens:
         self.path, merges = path, Tokenizer.from_file(path)
         self.known_parts, self.known_words = Known(), Known()
         self.parts: dict[str, bytes] = {}
+        self.parts_bytes = 0
         rules = Tokenizer(models.BPE())  # with the rules alone: the vocabulary is long to write and read
         rules.normalizer, rules.pre_tokenizer = merges.normalizer, merges.pre_tokenizer
         rules = json.loads(rules.to_str())
@@ -259,6 +261,7 @@ class WordTokens:
         fresh = sorted({p for parts in cut.values() for p in parts if p not in self.parts})
         found = self._merge(" ".join(fresh[a:a + MERGED_PARTS]) for a in range(0, len(fresh), MERGED_PARTS))
         self.parts.update(zip(fresh, found.to_pylist(), strict=True))
+        self.parts_bytes += sum(map(len, fresh)) + found.nbytes
         ids = {text: b"".join(map(self.parts.__getitem__, parts)) for text, parts in cut.items()} | dict(zip(rest, self._ids(rest), strict=True))
         return pa.array([ids[t] for t in texts], pa.large_binary())
 
@@ -266,8 +269,9 @@ class WordTokens:
         """The ids of each text as little-endian 32-bit integers."""
         self.known_parts.thin()
         self.known_words.thin()
-        if len(self.parts) > KEPT_WORDS:
+        if len(self.parts) > KEPT_WORDS or self.parts_bytes > KEPT_BYTES:
             self.parts.clear()
+            self.parts_bytes = 0
         simple = [self._simple(t) for t in texts]
         whole = iter(self._by_parts([t for t in simple if t is not None]))
         words = iter(self._by_words([t for t, s in zip(texts, simple, strict=True) if s is None]))
@@ -303,9 +307,11 @@ class Known:
         self.words, self.ids, self.met = pa.array([], pa.large_binary()), pa.array([], pa.large_binary()), np.zeros(0, np.int64)
 
     def thin(self) -> None:
-        """Of too many words, forget all but the half of ``KEPT_WORDS`` that was met most."""
-        if len(self.words) > KEPT_WORDS:
+        """Of too many words, or bytes, forget all but half of what may be kept: the words that were met most."""
+        if len(self.words) > KEPT_WORDS or self.words.nbytes + self.ids.nbytes > KEPT_BYTES:
             most = np.argsort(-self.met, kind="stable")[:KEPT_WORDS // 2]
+            sizes = pc.add(pc.binary_length(self.words), pc.binary_length(self.ids)).to_numpy()[most] + 16  # and an offset each
+            most = most[np.cumsum(sizes) <= KEPT_BYTES // 2]
             self.words, self.ids, self.met = self.words.take(pa.array(most)), self.ids.take(pa.array(most)), self.met[most] // 2
 
     def placed(self, joined: bytes, solid: np.ndarray, begun: np.ndarray, texts: list[bytes], learn: Callable[[pa.Array], pa.Array]) -> list[bytes]:

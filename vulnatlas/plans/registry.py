@@ -629,12 +629,19 @@ def enrichment_build(spark, sf_dir):
 
 
 def landed_feeds(spark, sf_dir) -> str:
-    """A folder of feed documents, one file for each year and language."""
+    """A folder of feed documents, one file for each year and language, written item by item by a task each."""
     path = shared_path(spark, "feeds")
-    items = D.feed_items(spark, sf_dir)
-    text = F.concat(F.lit('{"vulnerabilities":['), F.array_join(F.collect_list("raw"), ","), F.lit("]}"))
-    documents = items.groupBy(C.published_year(F.col("cve.published")), "source_order.file").agg(text.alias("value"))
-    documents.select("value").write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+    items = D.feed_items(spark, sf_dir).select(
+        C.published_year(F.col("cve.published")).alias("year"), F.col("source_order.file").alias("file"), F.col("source_order.n").alias("n"), "raw")
+    documents = D.table(spark, sf_dir, "documents").filter(f"{D.CVE_ID} <> ''")
+    feeds = documents.select(C.published_year(F.expr(D.PUBLISHED)), "lang").distinct().collect()
+    numbers = spark.createDataFrame([(*feed, k) for k, feed in enumerate(feeds)], "year string, file string, feed int")
+    numbered = items.join(F.broadcast(numbers), items["year"].eqNullSafe(numbers["year"]) & items["file"].eqNullSafe(numbers["file"]))
+    ends = numbers.select("feed", F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("string").alias("raw"))
+    lines = numbered.select("feed", "n", "raw").unionAll(ends).repartitionById(max(1, len(feeds)), "feed")
+    lines = lines.sortWithinPartitions(F.col("raw").isNull(), "n").withColumn("line", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    begun = F.when(F.col("line") == 0, '{"vulnerabilities":[').otherwise(",")
+    lines.select(F.when(F.col("raw").isNull(), "]}").otherwise(F.concat(begun, "raw"))).write.option("compression", "gzip").text(path)
     return path
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vulnatlas.operators.limits import first_rows
+from vulnatlas.sources.feed_cuts import ITEMS, cut_documents, feed_text
 
 _METRIC = "array<struct<baseSeverity: string, cvssData: struct<baseScore: double, baseSeverity: string, vectorString: string>>>"
 
@@ -37,30 +38,25 @@ def feed_glob(directory: str, first: int, last: int) -> str:
 def read_feeds(spark: SparkSession, paths: str | list[str], limit: int | None = None) -> DataFrame:
     """One row per advisory with an id: ``cve`` typed, ``raw`` as landed, and its ``source_order``.
 
-    A feed is a single compressed document, so a file is parsed by one task; the advisories are
-    spread out right after. Undecodable bytes are replaced. A document that is not JSON fails the
-    read, as a skipped one would lose a year.
+    A feed is a single compressed document, so a file is read by one task, which cuts it into small
+    ones; these are spread out and parsed right after. Undecodable bytes are replaced. A document that
+    is not JSON fails the read, as a skipped one would lose a year.
     """
-    feeds = (
-        spark.read.schema("vulnerabilities array<variant>")
-        .option("multiLine", True)
-        .option("encoding", "UTF-8")
-        .option("mode", "FAILFAST")
-        .json(paths)
-    )
-    items = parse_items(feed_items(feeds).hint("rebalance"))
+    items = parse_items(feed_items(feed_text(spark.read, paths)))
     return first_rows(items, limit, "source_order")
 
 
 def feed_items(feeds: DataFrame) -> DataFrame:
-    """``(source_order, raw)`` per item of feed documents: place in the feeds and JSON text.
+    """``(source_order, raw)`` per item of feed documents read by :func:`feed_text`: place in the feeds and JSON text.
 
     Feeds are ordered by when they landed, those of one moment by full path. ``raw`` is the parsed item
     written again: the same values, with keys in order and numbers in their shortest form.
     """
-    file = (F.col("_metadata.file_modification_time").alias("landed"), F.col("_metadata.file_path").alias("file"))
-    items = feeds.select(*file, F.posexplode("vulnerabilities").alias("n", "item"))
-    return items.select(F.struct("landed", "file", "n").alias("source_order"), F.to_json("item").alias("raw"))
+    parsed = F.from_json("document", f"array<struct<{ITEMS}: array<variant>>>", {"mode": "FAILFAST"})
+    cut = cut_documents(feeds).select("landed", "file", "n", F.explode(parsed).alias("feed"))
+    items = cut.select("landed", "file", F.col("n").alias("first"), F.posexplode(f"feed.{ITEMS}").alias("n", "item"))
+    place = (F.col("first") + F.col("n")).cast("int").alias("n")
+    return items.select(F.struct("landed", "file", place).alias("source_order"), F.to_json("item").alias("raw"))
 
 
 def parse_items(raw: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from vulnatlas.operators.normalize import normalize_advisories
 from vulnatlas.operators.segments import append_segment
 from vulnatlas.sinks.writers import append_new
 from vulnatlas.sources.advisories import feed_items, parse_items
+from vulnatlas.sources.feed_cuts import feed_text
 
 
 def ingest_landed(
@@ -81,21 +82,13 @@ def latest_state(spark: SparkSession, target: str, key: str = "id") -> DataFrame
 
 
 def landed_feeds(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
-    """Items of the feed documents that land in a folder; at most ``max_files`` documents a batch."""
+    """Text of the feed documents that land in a folder; at most ``max_files`` documents a batch."""
     limit = {"maxFilesPerTrigger": max_files} if max_files else {}
-    feeds = (
-        spark.readStream.schema("vulnerabilities array<variant>")
-        .option("multiLine", True)
-        .option("encoding", "UTF-8")
-        .option("mode", "FAILFAST")
-        .options(**limit)
-        .json(landing)
-    )
-    return feed_items(feeds)
+    return feed_text(spark.readStream.options(**limit), landing)
 
 
 def _normalized(batch: DataFrame) -> DataFrame:
-    return normalize_advisories(parse_items(batch.hint("rebalance")), "source_order")
+    return normalize_advisories(parse_items(feed_items(batch)), "source_order")
 
 
 def ingest_feeds(spark: SparkSession, landing: str, target: str, checkpoint: str, max_files: int | None = None) -> None:

@@ -3,11 +3,14 @@
 import gzip
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from vulnatlas.operators.segments import open_index
 from vulnatlas.plans import registry
+from vulnatlas.plans.pipeline import append_indexed
 from vulnatlas.sources import feed_cuts
 from vulnatlas.sources.advisories import feed_items, read_feeds
 from vulnatlas.streaming.ingest import ingest_feeds
@@ -121,6 +124,17 @@ def test_stream_and_batch_read_the_same(spark, tmp_path, monkeypatch):
         assert sorted(r.id for r in spark.read.parquet(target).collect()) == [f"CVE-2021-{n:05}" for n in range(40)]
 
 
+def test_an_append_of_feeds_reads_them_once(spark, tmp_path):
+    """Rows are staged, as an append onto stored rows reads them up to three times, and nothing stays of it."""
+    feed = tmp_path / "a.json.gz"
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    for number, added in ((5, 5), (8, 3), (8, 0)):
+        feed.write_bytes(gzip.compress(json.dumps({"vulnerabilities": [item(n, "text") for n in range(number)] * 2}).encode()))
+        assert append_indexed(spark, str(feed), str(tmp_path / "index"), stem=False, substring=None) == added
+    assert sorted(r.id for r in open_index(spark, str(tmp_path / "index")).rows.collect()) == [f"CVE-2021-{n:05}" for n in range(8)]
+    assert not [*shared.glob("advisories-*")]
+
+
 def test_feeds_land_item_by_item(spark, tmp_path):
     """Each task writes one document a line for an item; before, it held the document as one text."""
     rows = [(n, f"text {n} {{", (None, "", "en", "de")[n % 4], "src", n) for n in range(400)] + [(None, "no id", "xx", "src", 1)]

@@ -8,6 +8,7 @@ from vulnatlas.operators import normalize
 from vulnatlas.operators.merging import one_per_key
 from vulnatlas.operators.postings import build_postings, write_postings
 from vulnatlas.operators.segments import append_segment
+from vulnatlas.session import staged
 from vulnatlas.sinks.writers import append_new, replace_table
 from vulnatlas.sources import advisories, exploits, tables, writeups
 
@@ -37,10 +38,12 @@ def append_advisories(spark: SparkSession, feeds: str | list[str], path: str) ->
 def append_indexed(spark: SparkSession, feeds: str | list[str], root: str, **made) -> int:
     """Append the advisories of the feeds that the search index at ``root`` does not hold yet; how many there were.
 
-    ``made`` is how :func:`~vulnatlas.operators.segments.append_segment` makes the index.
+    ``made`` is how :func:`~vulnatlas.operators.segments.append_segment` makes the index. The parsed rows are staged, as
+    an append reads them up to three times.
     """
     rows = normalize.normalize_advisories(advisories.read_feeds(spark, feeds), "source_order")
-    return append_segment(spark, rows, root, "source_order", transient=("source_order",), **made)
+    with staged(rows, "advisories") as parsed:
+        return append_segment(spark, parsed, root, "source_order", transient=("source_order",), **made)
 
 
 def append_exploits(spark: SparkSession, catalogue: str, path: str) -> int:

@@ -24,6 +24,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 ITEMS = "vulnerabilities"
 #: Bytes of items after which a document is cut.
 CUT_BYTES = 1 << 20
+#: How cut documents are packed on their way, closer than the shuffle packs them.
+PACKED = "zstd"
 #: Stands between two pieces of a text. No JSON text ends with it, so none is lost at the end.
 BETWEEN = b"{"
 #: Strings, what opens, closes and parts values, and a quote whose string goes on after the text. Spark's parser takes both quotes.
@@ -46,9 +48,9 @@ def cut_documents(pieces: DataFrame) -> DataFrame:
     """``landed, file, n, document`` of the cut documents; ``n`` is the place of the first item in the feed.
 
     A compressed file is read by one task, which cuts it. Of a file that Spark splits, the splits are brought together
-    in their order first. The shuffle deals out what is cut, so the items are spread.
+    in their order first. The shuffle deals out what is cut, packed, so the items are spread.
     """
-    cut = pieces.mapInArrow(_cut_files, "landed timestamp, file string, start long, n long, text binary")
+    cut = pieces.mapInArrow(_cut_files, "landed timestamp, file string, start long, n long, text binary, size long")
     dealt = cut.repartition("file", F.when(F.col("start").isNull(), F.col("n"))).sortWithinPartitions("file", "start", "n")
     return dealt.mapInArrow(_cut_splits, "landed timestamp, file string, n long, document string")
 
@@ -58,20 +60,20 @@ def _cut_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (landed, file, start, split), runs in groupby(_runs(batches), itemgetter(0)):
         texts = (text for _, text in runs)
         for n, text in enumerate(texts) if split else _cut(texts):
-            yield _row(landed=landed, file=file, start=start if split else None, n=n, text=text)
+            yield _row(landed=landed, file=file, start=start if split else None, n=n, text=pa.compress(text, PACKED, asbytes=True), size=len(text))
 
 
 def _cut_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cut documents as they are, and those of files whose splits stand one after another."""
     rows = (row for batch in batches for row in zip(*batch.columns))
     for (landed, file, split), found in groupby(rows, lambda row: (row[0].as_py(), row[1].as_py(), row[2].is_valid)):
-        texts = ((n.as_py(), text.as_py()) for *_, n, text in found)
+        texts = ((n.as_py(), pa.decompress(text.as_buffer(), size.as_py(), PACKED, asbytes=True)) for *_, n, text, size in found)
         for n, text in _cut(text for _, text in texts) if split else texts:
             yield _row(landed=landed, file=file, n=n, document=SURROGATE.sub(b"\xef\xbf\xbd", text).decode("utf-8", "replace"))
 
 
 def _row(**values) -> pa.RecordBatch:
-    types = {"landed": pa.timestamp("us", "UTC"), "file": pa.string(), "start": pa.int64(), "n": pa.int64(), "text": pa.binary(), "document": pa.string()}
+    types = {"landed": pa.timestamp("us", "UTC"), "file": pa.string(), "start": pa.int64(), "n": pa.int64(), "text": pa.binary(), "size": pa.int64(), "document": pa.string()}
     return pa.RecordBatch.from_arrays([pa.array([v], types[k]) for k, v in values.items()], list(values))
 
 
